@@ -93,13 +93,13 @@ def points(name: str, source: str, shares: str) -> str:
     return f"""{name}_ordered AS (
   SELECT feature, value, row_number() OVER (PARTITION BY feature ORDER BY value) - 1 AS place FROM {source}),
 {name}_at AS (
-  SELECT feature, k, (n - 1) * share AS at
+  SELECT feature, k, (n - 1) * share AS spot
   FROM (SELECT feature, count(*) AS n FROM {source} GROUP BY feature) CROSS JOIN ({shares})),
 {name} AS (
-  SELECT a.feature, a.k, CASE WHEN at - floor(at) < 0.5e0 THEN lo.value + (hi.value - lo.value) * (at - floor(at))
-                              ELSE hi.value - (hi.value - lo.value) * (1 - (at - floor(at))) END AS value
-  FROM {name}_at a JOIN {name}_ordered lo ON lo.feature = a.feature AND lo.place = CAST(floor(at) AS BIGINT)
-  JOIN {name}_ordered hi ON hi.feature = a.feature AND hi.place = CAST(ceil(at) AS BIGINT))"""
+  SELECT a.feature, a.k, CASE WHEN spot - floor(spot) < 0.5e0 THEN lo.value + (hi.value - lo.value) * (spot - floor(spot))
+                              ELSE hi.value - (hi.value - lo.value) * (1 - (spot - floor(spot))) END AS value
+  FROM {name}_at a JOIN {name}_ordered lo ON lo.feature = a.feature AND lo.place = CAST(floor(spot) AS BIGINT)
+  JOIN {name}_ordered hi ON hi.feature = a.feature AND hi.place = CAST(ceil(spot) AS BIGINT))"""
 
 
 DECILES = "SELECT k, CASE WHEN k = 10 THEN 1e0 ELSE k * 0.1e0 END AS share FROM range(11) t(k)"
