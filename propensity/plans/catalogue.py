@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from propensity.plans import cleaning, quality_checks, ranking, splitting  # noqa: F401
+from propensity.plans import cleaning, drifting, measuring, quality_checks, ranking, splitting  # noqa: F401
 from propensity.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
