@@ -1,4 +1,4 @@
-"""Column expressions: the three blank rules, strict parsing, finite values, bins and the spline basis."""
+"""Expressions: the three blank rules, strict parsing, finite values, bins and the spline basis."""
 
 from __future__ import annotations
 
@@ -84,27 +84,37 @@ def ratio(top: Column, bottom: Column) -> Column:
     return F.when(bottom == 0, F.lit(0.0)).otherwise(top / F.when(bottom != 0, bottom))
 
 
-def spline_basis(value: Column, low: float, high: float, pieces: int = 3) -> list[Column]:
-    """Cubic B-spline basis on equal knots from ``low`` to ``high``, the last function left out.
+# --- SQL text, for transformers that are saved with a model --------------------------------------
 
-    Values outside the range take the value at its border.
-    """
+
+def number_sql(x: float) -> str:
+    """A double literal that keeps every bit."""
+    return f"CAST('{float(x)!r}' AS DOUBLE)"
+
+
+def text_sql(x: str) -> str:
+    return "'" + x.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+# Weights of the five shifted cubes that make up one cubic B-spline.
+CUBE_WEIGHTS = ("1D / 6D", "-4D / 6D", "1D", "-4D / 6D", "1D / 6D")
+
+
+def spline_place(column: str, low: float, high: float, pieces: int = 3) -> str:
+    """Place on equal knots 0..pieces; values outside the range go to its border, a single point to 0."""
     step = (high - low) / pieces
-    clamped = F.least(F.greatest(value, F.lit(float(low))), F.lit(float(high)))
-    place = (clamped - float(low)) / step if step else clamped * 0.0
-    return [_cardinal_cubic(place + float(3 - j)) for j in range(pieces + 2)]
-
-
-def _cardinal_cubic(t: Column) -> Column:
-    rise = t * t * t / 6.0
-    middle = (((t * -3.0 + 12.0) * t - 12.0) * t + 4.0) / 6.0
-    s = 4.0 - t
-    falling_middle = (((s * -3.0 + 12.0) * s - 12.0) * s + 4.0) / 6.0
-    fall = s * s * s / 6.0
-    return (
-        F.when((t < 0.0) | (t >= 4.0), 0.0)
-        .when(t < 1.0, rise)
-        .when(t < 2.0, middle)
-        .when(t < 3.0, falling_middle)
-        .otherwise(fall)
-    )
+    clamped = f"least(greatest(`{column}`, {number_sql(low)}), {number_sql(high)})"
+    return f"({clamped} - {number_sql(low)}) / {number_sql(step)}" if step else f"`{column}` * 0D"
+
+
+def spline_cubes(place: str, pieces: int = 3) -> list[str]:
+    """``max(place - m, 0) ** 3`` for the knots m = -3 .. pieces - 1 that lie below some place."""
+    return [f"power(greatest(`{place}` - {m}D, 0D), 3D)" for m in range(-3, pieces)]
+
+
+def spline_basis(cubes: Sequence[str]) -> list[str]:
+    """Cubic B-spline basis from the names of the cubes, the last function left out."""
+    return [
+        " + ".join(f"({w}) * `{cube}`" for w, cube in zip(CUBE_WEIGHTS, cubes[j:]))
+        for j in range(len(cubes) - 1)
+    ]

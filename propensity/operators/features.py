@@ -127,16 +127,8 @@ def _sql(expressions: Mapping[str, str]) -> SQLTransformer:
     return SQLTransformer(statement=f"SELECT *, {columns} FROM __THIS__")
 
 
-def _number(x: float) -> str:
-    return f"CAST('{float(x)!r}' AS DOUBLE)"
-
-
-def _text(x: str) -> str:
-    return "'" + x.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 def _filled_sql(column: str, value: float | None) -> str:
-    return f"coalesce(CAST(`{column}` AS DOUBLE), {_number(value if value is not None else 0.0)})"
+    return f"coalesce(CAST(`{column}` AS DOUBLE), {v.number_sql(value if value is not None else 0.0)})"
 
 
 def numeric_stages(train: DataFrame, columns: Sequence[str], scale: bool, splines: bool = False) -> tuple[list, list[str]]:
@@ -151,31 +143,24 @@ def numeric_stages(train: DataFrame, columns: Sequence[str], scale: bool, spline
     frame = stages[0].transform(train)
     if splines:
         ends = frame.agg(*[f(F.col(n)).alias(f"{k}:{n}") for n in names for k, f in (("lo", F.min), ("hi", F.max))]).first()
-        basis = {n: _spline_sql(n, ends[f"lo:{n}"], ends[f"hi:{n}"]) for n in names}
-        stages.append(_sql({f"b{j}_{n}": e for n, exprs in basis.items() for j, e in enumerate(exprs)}))
-        frame = stages[-1].transform(frame)
-        names = [f"b{j}_{n}" for n, exprs in basis.items() for j in range(len(exprs))]
+        basis_stages, names = _spline_stages({n: (ends[f"lo:{n}"], ends[f"hi:{n}"]) for n in names})
+        stages += basis_stages
+        for stage in basis_stages:
+            frame = stage.transform(frame)
     learned = scales(frame, {n: F.col(n) for n in names})
-    stages.append(_sql({f"z_{n}": f"(`{n}` - {_number(m)}) / {_number(s)}" for n, (m, s) in learned.items()}))
+    stages.append(_sql({f"z_{n}": f"(`{n}` - {v.number_sql(m)}) / {v.number_sql(s)}" for n, (m, s) in learned.items()}))
     return stages, [f"z_{n}" for n in names]
 
 
-def _spline_sql(name: str, low: float, high: float, pieces: int = 3) -> list[str]:
-    """The basis of :func:`propensity.functions.values.spline_basis` as SQL text."""
-    clamped = f"least(greatest(`{name}`, {_number(low)}), {_number(high)})"
-    step = (high - low) / pieces
-    place = f"(({clamped} - {_number(low)}) / {_number(step)})" if step else "CAST(0 AS DOUBLE)"
-    basis = []
-    for j in range(pieces + 2):
-        t = f"({place} + {3 - j}D)"
-        s = f"(4D - {t})"
-        cube = "(((%s * -3D + 12D) * %s - 12D) * %s + 4D) / 6D"
-        basis.append(
-            f"CASE WHEN {t} < 0 OR {t} >= 4 THEN 0D WHEN {t} < 1 THEN {t} * {t} * {t} / 6D"
-            f" WHEN {t} < 2 THEN {cube % (t, t, t)} WHEN {t} < 3 THEN {cube % (s, s, s)}"
-            f" ELSE {s} * {s} * {s} / 6D END"
-        )
-    return basis
+def _spline_stages(ends: Mapping[str, tuple[float, float]]) -> tuple[list, list[str]]:
+    """Spline basis as three stages (place, cubes, weighted sums), so that no expression repeats another."""
+    places, cubes, basis = {}, {}, {}
+    for n, (low, high) in ends.items():
+        places[f"u_{n}"] = v.spline_place(n, low, high)
+        powers = {f"q{m}_{n}": e for m, e in enumerate(v.spline_cubes(f"u_{n}"))}
+        cubes |= powers
+        basis |= {f"b{j}_{n}": e for j, e in enumerate(v.spline_basis(list(powers)))}
+    return [_sql(step) for step in (places, cubes, basis)], list(basis)
 
 
 def one_hot_stages(train: DataFrame, columns: Sequence[str], min_frequency: int = MIN_FREQUENCY) -> tuple[list, list[str]]:
@@ -185,7 +170,7 @@ def one_hot_stages(train: DataFrame, columns: Sequence[str], min_frequency: int
         return [], []
     fill, words = modes(train, columns), vocabularies(train, columns, min_frequency)
     columns = [c for c in columns if words[c].width]  # a column without any value is left out
-    stages: list = [_sql({f"c_{c}": f"coalesce(CAST(`{c}` AS STRING), {_text(fill[c])})" for c in columns})]
+    stages: list = [_sql({f"c_{c}": f"coalesce(CAST(`{c}` AS STRING), {v.text_sql(fill[c])})" for c in columns})]
     for c in columns:
         stages.append(
             StringIndexerModel.from_labels(list(words[c].values) or ["\u0000"], f"c_{c}", f"i_{c}", handleInvalid="keep")
@@ -211,7 +196,7 @@ def ordinal_stages(train: DataFrame, columns: Sequence[str]) -> tuple[list, list
         return [], []
     fill, words = modes(train, columns), vocabularies(train, columns, min_frequency=1)
     columns = [c for c in columns if words[c].values]
-    stages: list = [_sql({f"c_{c}": f"coalesce(CAST(`{c}` AS STRING), {_text(fill[c])})" for c in columns})]
+    stages: list = [_sql({f"c_{c}": f"coalesce(CAST(`{c}` AS STRING), {v.text_sql(fill[c])})" for c in columns})]
     for c in columns:
         stages.append(StringIndexerModel.from_labels(list(words[c].values), f"c_{c}", f"i_{c}", handleInvalid="keep"))
     unseen = {c: len(words[c].values) for c in columns}
@@ -221,9 +206,9 @@ def ordinal_stages(train: DataFrame, columns: Sequence[str]) -> tuple[list, list
 
 def native_category_stages(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> tuple[list, list[str]]:
     """Numbers with nulls marked, categories as nominal codes with ``missing`` as a value of its own."""
-    marks = {f"n_{c}": f"coalesce(CAST(`{c}` AS DOUBLE), {_number(0.0)})" for c in numeric}
+    marks = {f"n_{c}": f"coalesce(CAST(`{c}` AS DOUBLE), {v.number_sql(0.0)})" for c in numeric}
     marks |= {f"m_{c}": f"CAST(`{c}` IS NULL AS DOUBLE)" for c in missing_at_fit(train, numeric)}
-    stages: list = [_sql(marks | {f"c_{c}": f"coalesce(CAST(`{c}` AS STRING), {_text(FILLED_CATEGORY)})" for c in categorical})]
+    stages: list = [_sql(marks | {f"c_{c}": f"coalesce(CAST(`{c}` AS STRING), {v.text_sql(FILLED_CATEGORY)})" for c in categorical})]
     whole = train.select(*[F.coalesce(F.col(c).cast("string"), F.lit(FILLED_CATEGORY)).alias(c) for c in categorical])
     words = vocabularies(whole, categorical, min_frequency=1) if categorical else {}
     for c in categorical:
@@ -244,5 +229,8 @@ def fit_preparation(train: DataFrame, spec: TableSpec, kind: str) -> PipelineMod
 
 
 def spline_columns(df: DataFrame, column: str, low: float, high: float) -> DataFrame:
-    basis = v.spline_basis(F.col(column).cast("double"), low, high)
-    return df.withColumns({f"{column}_b{j}": e for j, e in enumerate(basis)})
+    """The frame plus ``<column>_b0`` .. ``_b4``, the spline basis of one column."""
+    kept, (stages, names) = df.columns, _spline_stages({column: (low, high)})
+    for stage in stages:
+        df = stage.transform(df)
+    return df.select(*kept, *[F.col(n).alias(f"{column}_b{j}") for j, n in enumerate(names)])

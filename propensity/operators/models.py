@@ -21,6 +21,7 @@ from propensity.spec import TableSpec
 LABEL = "_label"
 SCORE = "score"
 HOLDOUT = "_holdout"
+ROWS_PER_TASK = 20_000
 
 
 @dataclass(frozen=True)
@@ -113,7 +114,8 @@ def fit(train: DataFrame, spec: TableSpec, model: Candidate, preparation: Pipeli
     estimator = model.estimator(labels["n"])
     if estimator.hasParam("maxBins"):
         estimator.set(estimator.getParam("maxBins"), max(32, _widest_category(prepared) + 1))
-    prepared.persist()  # iterative fits read it many times; a lost block is recomputed
+    # Iterative fits run many short passes: small tables get few tasks, large ones keep theirs.
+    prepared = prepared.coalesce(max(1, labels["n"] // ROWS_PER_TASK)).persist()
     try:
         fitted = estimator.fit(prepared)
     finally:

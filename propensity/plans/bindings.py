@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from propensity.session import prepare_session
-from propensity.spec import TableSpec
+from propensity.spec import ROW_NUMBER, TableSpec
 
 ORDER_LEADS = TableSpec(
     id="lead_id",
@@ -25,6 +27,13 @@ ORDER_LEADS = TableSpec(
     tie_break=("lead_id",),
 )
 
+# The same leads as a text file would hold them.
+ORDER_LEADS_TEXT = replace(
+    ORDER_LEADS,
+    source_columns=("lead_id", "created_at", *ORDER_LEADS.categorical, *ORDER_LEADS.numeric, "converted"),
+    tie_break=(ROW_NUMBER,),
+)
+
 LINE_RECORDS = TableSpec(
     id="record_id",
     time="l_shipdate",
