@@ -21,7 +21,8 @@ from propensity.spec import TableSpec
 LABEL = "_label"
 SCORE = "score"
 HOLDOUT = "_holdout"
-ROWS_PER_TASK = 20_000
+SMALL_TABLE = 1_000_000
+ROWS_PER_TASK = 2_000
 
 
 @dataclass(frozen=True)
@@ -114,8 +115,11 @@ def fit(train: DataFrame, spec: TableSpec, model: Candidate, preparation: Pipeli
     estimator = model.estimator(labels["n"])
     if estimator.hasParam("maxBins"):
         estimator.set(estimator.getParam("maxBins"), max(32, _widest_category(prepared) + 1))
-    # Iterative fits run many short passes: small tables get few tasks, large ones keep theirs.
-    prepared = prepared.coalesce(max(1, labels["n"] // ROWS_PER_TASK)).persist()
+    if labels["n"] <= SMALL_TABLE:
+        # A small table sits in one or two files; its many passes should still use all cores.
+        tasks = min(train.sparkSession.sparkContext.defaultParallelism, labels["n"] // ROWS_PER_TASK)
+        prepared = prepared.repartition(max(1, tasks))
+    prepared.persist()  # read by every pass; a lost block is recomputed
     try:
         fitted = estimator.fit(prepared)
     finally:
