@@ -39,14 +39,14 @@ def _numeric_columns(spec: TableSpec, require_target: bool) -> list[str]:
 def malformed_rules(spec: TableSpec, require_target: bool = True) -> list[Rule]:
     """Texts that are neither blank nor a number / a time. To be applied to the raw text frame."""
     rules = [
-        Rule(f"malformed:{c}", c, v.malformed_number(F.col(c)), f"{c} has malformed numbers")
+        Rule(f"malformed:{c}", c, _malformed(c, spec), f"{c} has malformed numbers")
         for c in _numeric_columns(spec, require_target)
     ]
-    return [*rules, Rule(f"malformed:{spec.time}", spec.time, v.malformed_time(F.col(spec.time)), f"{spec.time} has malformed times")]
+    return [*rules, Rule(f"malformed:{spec.time}", spec.time, _malformed(spec.time, spec), f"{spec.time} has malformed times")]
 
 
 def coerce(raw: DataFrame, spec: TableSpec, require_target: bool = True) -> DataFrame:
-    """Typed columns from text; malformed cells become null, so check :func:`malformed_rules` first.
+    """Typed columns from text; malformed cells become null, so run :func:`check` first.
 
     Blank rules differ: numbers and ids are missing when whitespace-only, categories only when empty.
     """
@@ -81,14 +81,18 @@ def count_broken(df: DataFrame, rules: Iterable[Rule], *extra: Column) -> DataFr
     return df.agg(*[F.count_if(rule.broken).alias(rule.name) for rule in rules], *extra)
 
 
-def violation_counts(raw: DataFrame, spec: TableSpec, require_target: bool = True) -> DataFrame:
-    """(rule, rows) of all malformed and contract rules for a raw text frame, in one scan."""
-    # Malformed flags are taken from the text before the cells are typed in place.
+def _judged(raw: DataFrame, spec: TableSpec, require_target: bool) -> tuple[DataFrame, list[Rule]]:
+    """The typed frame plus flag columns for malformed text, and all rules stated on that frame."""
     text_rules = malformed_rules(spec, require_target)
     flagged = raw.withColumns({f"_bad{i}": r.broken for i, r in enumerate(text_rules)})
     typed = coerce(flagged, spec, require_target)
     rules = [Rule(r.name, r.column, F.col(f"_bad{i}"), r.message) for i, r in enumerate(text_rules)]
-    rules += contract_rules(spec, require_target)
+    return typed, rules + contract_rules(spec, require_target)
+
+
+def violation_counts(raw: DataFrame, spec: TableSpec, require_target: bool = True) -> DataFrame:
+    """(rule, rows) of all malformed and contract rules for a raw text frame, in one scan."""
+    typed, rules = _judged(raw, spec, require_target)
     return _long(count_broken(typed, rules), "rule", "rows")
 
 
@@ -101,48 +105,44 @@ def _samples(df: DataFrame, rule: Rule, how_many: int) -> list:
     return [r[0] for r in df.where(rule.broken).select(rule.column).limit(how_many).collect()]
 
 
-def check_text(raw: DataFrame, spec: TableSpec, require_target: bool = True) -> None:
-    """Raise on the first column that holds malformed text."""
-    require_columns(raw, needed_columns(spec, require_target))
-    rules = malformed_rules(spec, require_target)
-    counts = count_broken(raw, rules).first()
-    for rule in rules:
-        if counts[rule.name]:
-            raise DataContractError(f"{rule.message}: {counts[rule.name]} rows; sample={_samples(raw, rule, 3)}")
-
+def check(df: DataFrame, spec: TableSpec, require_target: bool = True, text: bool = True) -> int:
+    """Raise on the first broken rule, in a fixed order; returns the row count. One pass when all is well.
 
-def check_contract(df: DataFrame, spec: TableSpec, require_target: bool = True) -> int:
-    """Raise on the first broken rule of a typed frame; returns the row count. One pass when all is well."""
-    rules = contract_rules(spec, require_target)
+    ``text=False`` is for a frame whose columns are typed already.
+    """
+    require_columns(df, needed_columns(spec, require_target))
+    typed, rules = _judged(df, spec, require_target) if text else (df, contract_rules(spec, require_target))
     extra = [F.count("*").alias("_rows")]
     if require_target:
         extra += [F.min(spec.target).alias("_low"), F.max(spec.target).alias("_high")]
-    counts = count_broken(df, rules, *extra).first()
+    counts = count_broken(typed, rules, *extra).first()
     for rule in rules:
         if counts[rule.name]:
-            if rule.name == "target_invalid":
-                shown = [r[0] for r in df.where(rule.broken).select(rule.column).distinct().limit(5).collect()]
-            else:
-                shown = _samples(df, rule, 3)
-            raise DataContractError(f"{rule.message}: {counts[rule.name]} rows; sample={shown}")
+            # Samples are looked up only once a rule is known to be broken; malformed cells as raw text.
+            text_rule = text and rule.name.startswith("malformed:")
+            source = df.where(_malformed(rule.column, spec)) if text_rule else typed.where(rule.broken)
+            shown = source.select(rule.column)
+            shown = shown.distinct().limit(5) if rule.name == "target_invalid" else shown.limit(3)
+            sample = [r[0] for r in shown.collect()]
+            raise DataContractError(f"{rule.message}: {counts[rule.name]} rows; sample={sample}")
         if rule.name == "target_invalid" and counts["_low"] == counts["_high"]:
             raise DataContractError(f"{spec.target} must contain both classes")
     return counts["_rows"]
 
 
+def _malformed(column: str, spec: TableSpec) -> Column:
+    return (v.malformed_time if column == spec.time else v.malformed_number)(F.col(column))
+
+
 def quarantine(raw: DataFrame, spec: TableSpec, require_target: bool = True) -> tuple[DataFrame, DataFrame]:
     """Split a raw text frame into typed good rows and raw bad rows with their broken rules.
 
-    The class check on the whole table stays with :func:`check_contract`.
+    The class check on the whole table stays with :func:`check`.
     """
     require_columns(raw, needed_columns(spec, require_target))
     names = raw.columns
-    text_rules = malformed_rules(spec, require_target)
-    kept = raw.withColumns({"_raw": F.struct(*names)} | {f"_bad{i}": r.broken for i, r in enumerate(text_rules)})
-    typed = coerce(kept, spec, require_target)
-    tests = [(r.name, F.col(f"_bad{i}")) for i, r in enumerate(text_rules)]
-    tests += [(r.name, r.broken) for r in contract_rules(spec, require_target)]
-    reasons = F.array_compact(F.array(*[F.when(broken, F.lit(name)) for name, broken in tests]))
+    typed, rules = _judged(raw.withColumn("_raw", F.struct(*names)), spec, require_target)
+    reasons = F.array_compact(F.array(*[F.when(r.broken, F.lit(r.name)) for r in rules]))
     judged = typed.withColumn("_reasons", reasons)
     good = judged.where(F.size("_reasons") == 0).select(*names)
     bad = judged.where(F.size("_reasons") > 0).select("_raw.*", F.col("_reasons").alias("reasons"))
@@ -178,13 +178,8 @@ class Prepared:
 
 def prepare(raw: DataFrame, spec: TableSpec, require_target: bool = True, text: bool = True) -> Prepared:
     """Type, validate, deduplicate and derive; ``text=False`` for a frame whose columns are typed already."""
-    if text:
-        check_text(raw, spec, require_target)
-        typed = coerce(raw, spec, require_target)
-    else:
-        require_columns(raw, needed_columns(spec, require_target))
-        typed = raw
-    rows = check_contract(typed, spec, require_target)
+    rows = check(raw, spec, require_target, text)
+    typed = coerce(raw, spec, require_target) if text else raw
     frame = keep_earliest(typed, spec)
     return Prepared(derive_time_parts(frame, spec) if spec.derive_time_parts else frame, rows)
 

@@ -11,12 +11,13 @@ from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexerModel, VectorAssembler
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from propensity.functions import values as v
-from propensity.operators.order import quantiles
+from propensity.operators.order import global_rank, quantiles
 from propensity.operators.quality import top_values, value_counts
+from propensity.session import materialize
 from propensity.spec import DataContractError, TableSpec
 
 MIN_FREQUENCY = 20
@@ -37,10 +38,28 @@ def missing_at_fit(df: DataFrame, columns: Sequence[str]) -> list[str]:
     return [c for c in columns if row[c]]
 
 
+def category_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(column, value, rows), counted once and kept: modes and vocabularies are read from it."""
+    return materialize(value_counts(df, columns))
+
+
+def modes_of(counts: DataFrame, columns: Sequence[str]) -> dict[str, str | None]:
+    found = {r["column"]: r["value"] for r in top_values(counts).collect()}
+    return {c: found.get(c) for c in columns}
+
+
 def modes(df: DataFrame, columns: Sequence[str]) -> dict[str, str | None]:
     """Most frequent non-null value; the smallest one on a tie."""
-    found = {r["column"]: r["value"] for r in top_values(df, columns).collect()}
-    return {c: found.get(c) for c in columns}
+    return modes_of(value_counts(df, columns), columns)
+
+
+def filled_counts(counts: DataFrame, fill: Mapping[str, str | None]) -> DataFrame:
+    """Counts after the most-frequent fill: the nulls of a column join its most frequent value."""
+    fills = F.create_map(*[x for c, m in fill.items() for x in (F.lit(c), F.lit(m).cast("string"))])
+    value = F.coalesce("value", F.try_element_at(fills, F.col("column"))).alias("value")
+    return counts.select("column", value, "rows").where("value is not null").groupBy("column", "value").agg(
+        F.sum("rows").alias("rows")
+    )
 
 
 def filled(column: str, value: float | str | None) -> Column:
@@ -78,41 +97,38 @@ class Vocabulary:
         return len(self.values) + int(self.pooled)
 
 
-def vocabularies(df: DataFrame, columns: Sequence[str], min_frequency: int = MIN_FREQUENCY) -> dict[str, Vocabulary]:
-    """Categories seen at least ``min_frequency`` times after the most-frequent fill."""
-    fill = modes(df, columns)
-    whole = df.select(*[filled(c, fill[c]).alias(c) for c in columns])
-    counts = value_counts(whole, columns).where("value is not null")
-    frequent = counts.where(F.col("rows") >= min_frequency)
+def vocabularies(
+    counts: DataFrame, columns: Sequence[str], fill: Mapping[str, str | None], min_frequency: int = MIN_FREQUENCY
+) -> dict[str, Vocabulary]:
+    """Categories seen at least ``min_frequency`` times after the fill. Their number is checked first."""
+    whole = filled_counts(counts, fill)
+    often = F.col("rows") >= min_frequency
     sizes = {
-        r["column"]: (r["frequent"], r["rare"])
-        for r in counts.groupBy("column")
-        .agg(
-            F.count_if(F.col("rows") >= min_frequency).alias("frequent"),
-            F.count_if(F.col("rows") < min_frequency).alias("rare"),
-        )
+        r["column"]: r
+        for r in whole.groupBy("column")
+        .agg(F.count_if(often).alias("frequent"), F.count_if(~often).alias("rare"))
         .collect()
     }
-    if sum(s[0] for s in sizes.values()) > VOCABULARY_LIMIT:
+    if sum(r["frequent"] for r in sizes.values()) > VOCABULARY_LIMIT:
         raise DataContractError(f"more than {VOCABULARY_LIMIT} categories; raise min_frequency or drop a column")
     found: dict[str, list[str]] = {c: [] for c in columns}
-    for r in frequent.select("column", "value").collect():
+    for r in whole.where(often).select("column", "value").collect():
         found[r["column"]].append(r["value"])
-    return {c: Vocabulary(tuple(sorted(found[c])), bool(sizes.get(c, (0, 0))[1])) for c in columns}
+    return {c: Vocabulary(tuple(sorted(found[c])), c in sizes and sizes[c]["rare"] > 0) for c in columns}
 
 
-def vocabulary_frame(df: DataFrame, columns: Sequence[str], min_frequency: int = 1) -> DataFrame:
-    """(column, value, place): 0-based place of each frequent value in sorted order, after the mode fill."""
-    fill = modes(df, columns)
-    whole = df.select(*[filled(c, fill[c]).alias(c) for c in columns])
-    frequent = value_counts(whole, columns).where((F.col("rows") >= min_frequency) & F.col("value").isNotNull())
-    sorted_values = Window.partitionBy("column").orderBy("value")  # distinct values only
-    return frequent.select("column", "value", (F.row_number().over(sorted_values) - 1).alias("place"))
+def vocabulary_frame(counts: DataFrame, fill: Mapping[str, str | None], min_frequency: int = 1) -> DataFrame:
+    """(column, value, place): 0-based place of each frequent value in sorted order; of any size."""
+    frequent = filled_counts(counts, fill).where(F.col("rows") >= min_frequency).select("column", "value")
+    places = global_rank(frequent, [F.asc("value")], by=["column"], rank="place")
+    return places.withColumn("place", (F.col("place") - 1).cast("int"))
 
 
-def with_codes(df: DataFrame, id: str, columns: Sequence[str], vocabulary: DataFrame, other: Mapping[str, int | None]) -> DataFrame:
+def with_codes(
+    df: DataFrame, id: str, vocabulary: DataFrame, fill: Mapping[str, str | None], other: Mapping[str, int | None]
+) -> DataFrame:
     """(id, column, code) of every categorical cell; values outside the vocabulary get the column's ``other`` code."""
-    fill = modes(df, columns)
+    columns = list(fill)
     cells = [F.struct(F.lit(c).alias("column"), filled(c, fill[c]).cast("string").alias("value")) for c in columns]
     known = df.select(id, F.inline(F.array(*cells))).join(vocabulary, ["column", "value"], "left")
     others = F.create_map(*[x for c, code in other.items() for x in (F.lit(c), F.lit(code).cast("int"))])
@@ -168,7 +184,9 @@ def one_hot_stages(train: DataFrame, columns: Sequence[str], min_frequency: int
     columns = list(columns)
     if not columns:
         return [], []
-    fill, words = modes(train, columns), vocabularies(train, columns, min_frequency)
+    counts = category_counts(train, columns)
+    fill = modes_of(counts, columns)
+    words = vocabularies(counts, columns, fill, min_frequency)
     columns = [c for c in columns if words[c].width]  # a column without any value is left out
     stages: list = [_sql({f"c_{c}": f"coalesce(CAST(`{c}` AS STRING), {v.text_sql(fill[c])})" for c in columns})]
     for c in columns:
@@ -194,7 +212,9 @@ def ordinal_stages(train: DataFrame, columns: Sequence[str]) -> tuple[list, list
     columns = list(columns)
     if not columns:
         return [], []
-    fill, words = modes(train, columns), vocabularies(train, columns, min_frequency=1)
+    counts = category_counts(train, columns)
+    fill = modes_of(counts, columns)
+    words = vocabularies(counts, columns, fill, min_frequency=1)
     columns = [c for c in columns if words[c].values]
     stages: list = [_sql({f"c_{c}": f"coalesce(CAST(`{c}` AS STRING), {v.text_sql(fill[c])})" for c in columns})]
     for c in columns:
@@ -208,9 +228,12 @@ def native_category_stages(train: DataFrame, numeric: Sequence[str], categorical
     """Numbers with nulls marked, categories as nominal codes with ``missing`` as a value of its own."""
     marks = {f"n_{c}": f"coalesce(CAST(`{c}` AS DOUBLE), {v.number_sql(0.0)})" for c in numeric}
     marks |= {f"m_{c}": f"CAST(`{c}` IS NULL AS DOUBLE)" for c in missing_at_fit(train, numeric)}
-    stages: list = [_sql(marks | {f"c_{c}": f"coalesce(CAST(`{c}` AS STRING), {v.text_sql(FILLED_CATEGORY)})" for c in categorical})]
-    whole = train.select(*[F.coalesce(F.col(c).cast("string"), F.lit(FILLED_CATEGORY)).alias(c) for c in categorical])
-    words = vocabularies(whole, categorical, min_frequency=1) if categorical else {}
+    filled_sql = {f"c_{c}": f"coalesce(CAST(`{c}` AS STRING), {v.text_sql(FILLED_CATEGORY)})" for c in categorical}
+    stages: list = [_sql(marks | filled_sql)]
+    if not categorical:
+        return stages, list(marks)
+    fill = {c: FILLED_CATEGORY for c in categorical}
+    words = vocabularies(category_counts(train, categorical), categorical, fill, min_frequency=1)
     for c in categorical:
         stages.append(StringIndexerModel.from_labels(list(words[c].values), f"c_{c}", f"i_{c}", handleInvalid="keep"))
     return stages, [*marks, *[f"i_{c}" for c in categorical]]

@@ -230,13 +230,11 @@ def quality_report(raw: DataFrame, clean: DataFrame, spec: TableSpec) -> DataFra
     return report
 
 
-def top_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Most common non-null value of each column; equal counts go to the smallest value."""
+def top_values(counts: DataFrame) -> DataFrame:
+    """Most common non-null value of each column of a :func:`value_counts` frame; ties go to the smallest.
+
+    Keeping rank 1 only, every map partition sends one row a column.
+    """
     best = Window.partitionBy("column").orderBy(F.desc("rows"), "value")
-    return (
-        value_counts(df, columns)
-        .where("value is not null")
-        .withColumn("_nth", F.row_number().over(best))
-        .where("_nth = 1")
-        .drop("_nth")
-    )
+    nth = counts.where("value is not null").withColumn("_nth", F.row_number().over(best))
+    return nth.where("_nth = 1").drop("_nth")

@@ -91,9 +91,11 @@ def one_hot_infrequent(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", F.col("o_custkey").cast("string").alias("customer"), F.col("o_orderpriority").alias("priority")
     )
-    words = materialize(features.vocabulary_frame(orders, columns, features.MIN_FREQUENCY))
+    counts = features.category_counts(orders, columns)
+    fill = features.modes_of(counts, columns)
+    words = materialize(features.vocabulary_frame(counts, fill, features.MIN_FREQUENCY))
     pooled = words.where("column = 'customer'").count()
-    return features.with_codes(orders, "o_orderkey", columns, words, {"customer": pooled, "priority": None})
+    return features.with_codes(orders, "o_orderkey", words, fill, {"customer": pooled, "priority": None})
 
 
 @query(f"""{_PARTS}, words AS (
@@ -106,8 +108,10 @@ LEFT JOIN places USING ("column", value)""")
 def ordinal_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Codes in sorted order; the segment left out of the fit counts as unseen (-1)."""
     split, columns = _split(spark, sf_dir), ["segment", "nation"]
-    words = features.vocabulary_frame(split.part("train").where("segment <> 'MACHINERY'"), columns)
-    return features.with_codes(split.frame, "lead_id", columns, words, {c: -1 for c in columns})
+    counts = features.category_counts(split.part("train").where("segment <> 'MACHINERY'"), columns)
+    fill = features.modes_of(counts, columns)
+    words = features.vocabulary_frame(counts, fill)
+    return features.with_codes(split.frame, "lead_id", words, fill, {c: -1 for c in columns})
 
 
 def _basis_sql(j: int) -> str:

@@ -1,0 +1,117 @@
+from __future__ import annotations
+
+import numpy as np
+import pandas as pd
+import pytest
+from conftest import raw_frame_of
+
+from propensity.leads import LEADS
+from propensity.operators import quality
+from propensity.operators.clean import prepare
+from propensity.operators.integrity import overlap
+from propensity.operators.split import chronological_split, split_summary
+from propensity.spec import DataContractError
+
+
+@pytest.fixture(scope="module")
+def clean(raw_frame):
+    return prepare(raw_frame, LEADS).frame.cache()
+
+
+def test_split_sizes_and_order(clean):
+    split = chronological_split(clean, LEADS)
+    rows = {r["split"]: r for r in split_summary(split, LEADS).collect()}
+    assert [rows[p]["rows"] for p in ("train", "validation", "test")] == [41, 9, 10]
+    assert sum(r["positives"] for r in rows.values()) == 9
+    assert rows["train"]["created_max"] < rows["validation"]["created_min"]
+    assert rows["validation"]["created_max"] < rows["test"]["created_min"]
+    for a, b in (("train", "validation"), ("train", "test"), ("validation", "test")):
+        assert overlap(split.part(a), split.part(b), "lead_id").count() == 0
+
+
+def test_empty_part_is_refused(spark, records):
+    for r in records:
+        r["created_at"] = "2026-01-01 00:00:00"
+    with pytest.raises(DataContractError, match="train"):
+        chronological_split(prepare(raw_frame_of(spark, records), LEADS).frame, LEADS)
+
+
+def test_missing_counts_see_empty_text_only(spark, records):
+    records[7]["price"] = "  "
+    counts = {r["column"]: r["missing"] for r in quality.missing_counts(raw_frame_of(spark, records), LEADS.columns).collect()}
+    assert {c: n for c, n in counts.items() if n} == {"price": 1, "city": 1}
+
+
+def test_duplicates(spark, records):
+    records += [records[0], records[0], records[1] | {"price": "7"}]
+    found = quality.duplicate_counts(raw_frame_of(spark, records), LEADS, LEADS.columns).collect()
+    assert {r["measure"]: r["duplicates"] for r in found} == {"duplicate_rows": 2, "duplicate_ids": 3}
+
+
+def test_cardinality_and_rare_values(clean):
+    assert {r["column"]: r["distinct_values"] for r in quality.cardinality(clean, LEADS.categorical).collect()}["channel"] == 3
+    rare = {(r["column"], r["value"], r["rows"]) for r in quality.rare_categories(clean, ["city", "channel", "device"]).collect()}
+    assert rare == {("city", "nan", 1)}  # twenty rows are not rare
+
+
+def test_outliers_are_strict(spark):
+    frame = spark.createDataFrame([(float(x),) for x in [0, 1, 2, 3, 4, 10, 11, -6, -7]], "x double")
+    values = pd.Series([0, 1, 2, 3, 4, 10, 11, -6, -7], dtype=float)
+    q1, q3 = values.quantile([0.25, 0.75])
+    wanted = ((values < q1 - 3 * (q3 - q1)) | (values > q3 + 3 * (q3 - q1))).sum()
+    assert quality.outlier_counts(frame, ["x"]).first()["outliers"] == wanted
+    edge = spark.createDataFrame([(float(x),) for x in [0, 1, 1, 1, 1, 1, 2]], "x double")
+    assert quality.outlier_counts(edge, ["x"]).first()["outliers"] == 2
+
+
+def test_decile_rate_matches_right_closed_bins(clean):
+    got = quality.decile_rate(clean, "minutes_since_abandonment", LEADS.target).toPandas().sort_values("bucket")
+    frame = clean.toPandas()
+    bins = pd.qcut(frame["minutes_since_abandonment"], 10, duplicates="drop")
+    wanted = frame.groupby(bins, observed=True)[LEADS.target].mean()
+    np.testing.assert_allclose(got["rate"], wanted.to_numpy())
+
+
+def test_monthly_rate(clean):
+    row = quality.monthly_rate(clean, LEADS).first()
+    assert (row["month"], row["rows"]) == ("2026-01", 60) and row["rate"] == pytest.approx(9 / 60)
+
+
+def test_conflicts_patterns_and_types(spark, records, clean):
+    records.append(records[0] | {"completed_purchase": "0"})
+    raw = raw_frame_of(spark, records)
+    assert [r["lead_id"] for r in quality.conflicting_targets(raw, LEADS).collect()] == ["L000000"]
+    pattern = quality.id_pattern(raw, "lead_id", r"^L\d{6}$").first()
+    assert (pattern["pattern_share"], pattern["sequential"], pattern["repeated_ids"]) == (1.0, True, 1)
+    types = {r["column"]: r["type"] for r in quality.observed_types(clean).collect()}
+    assert types["price"] == "double" and types["created_at"] == "timestamp" and types["city"] == "string"
+
+
+def test_constants_and_sentinels(spark, records):
+    records[0]["city"], records[1]["price"] = "unknown", " -999 "
+    raw = raw_frame_of(spark, records)
+    near = {r["column"] for r in quality.near_constant(raw, LEADS.categorical).collect()}
+    assert near == {"partner", "insurance_company", "payment_type"}
+    cells = {r["sentinel"]: r["cells"] for r in quality.sentinel_counts(raw, LEADS.columns).collect()}
+    assert cells == {"-999": 1, "999999": 0, "N/A": 0, "unknown": 1}
+
+
+def test_effect_screen(clean):
+    effects = {r["feature"]: r["effect"] for r in quality.effect_screen(clean, LEADS).collect()}
+    frame = clean.toPandas()
+    a, b = (frame.loc[frame[LEADS.target] == k, "price"].astype(float) for k in (1, 0))
+    assert effects["price"] == pytest.approx(abs(a.mean() - b.mean()) / np.sqrt((a.var(ddof=0) + b.var(ddof=0)) / 2))
+    assert effects["partner"] == 0.0 and effects["visited_offer_page"] == 0.0
+    table = pd.crosstab(frame["channel"], frame[LEADS.target]).to_numpy().astype(float)
+    expected = table.sum(1, keepdims=True) * table.sum(0, keepdims=True) / table.sum()
+    assert effects["channel"] == pytest.approx(np.sqrt(((table - expected) ** 2 / expected).sum() / table.sum()))
+
+
+def test_report_has_every_field(raw_frame, clean):
+    report = quality.quality_report(raw_frame, clean, LEADS).collect()
+    flat = {(r["metric"], r["column"]): r["value"] for r in report}
+    assert flat[("rows_raw", None)] == "60" and flat[("rows_clean", None)] == "60" and flat[("columns", None)] == "22"
+    assert {m for m, _ in flat} >= {
+        "missing_counts", "duplicate_rows", "duplicate_ids", "target_prevalence", "date_min", "date_max",
+        "cardinality", "rare_categories", "outliers",
+    }
