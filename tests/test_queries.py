@@ -1,0 +1,37 @@
+"""Every registered query against its SQL, or against the invariants of its kind."""
+
+from __future__ import annotations
+
+import oracle
+import pytest
+
+from propensity.plans.catalogue import ORACLES, QUERIES
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def db():
+    return oracle.connect(SF_DIR)
+
+
+def test_every_check_has_a_query():
+    assert set(ORACLES) <= set(QUERIES)
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_query_equals_its_sql(spark, db, name):
+    assert oracle.difference(QUERIES[name](spark, SF_DIR), db, ORACLES[name]) is None
+
+
+@pytest.mark.parametrize("name", ["logistic_scores", "gradient_boosting_scores", "randomized_forest_scores"])
+def test_model_queries_score_the_validation_window(spark, name):
+    scores = [r["score"] for r in QUERIES[name](spark, SF_DIR).collect()]
+    assert len(scores) > 200 and all(0 <= s <= 1 for s in scores)
+
+
+def test_entry(spark):
+    import __spark_entry__ as entry
+
+    assert entry.entry(spark).count() == 1500
+    assert set(entry.oracle_sql()) <= set(entry.queries())
