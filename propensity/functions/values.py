@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -59,19 +58,27 @@ def known_category(value: Column) -> Column:
     return F.coalesce(value.cast("string"), F.lit(MISSING_CATEGORY))
 
 
-def _edges_passed(value: Column, edges: Sequence[float], closed: str) -> Column:
-    passed = [(value >= e if closed == "left" else value > e).cast("int") for e in edges]
-    return reduce(lambda a, b: a + b, passed, F.when(value.isNotNull(), F.lit(0)))
-
-
 def left_closed_bin(value: Column, edges: Sequence[float]) -> Column:
     """0-based bin of ``[a, b)`` intervals, the last one closed; the outer edges count as infinite."""
-    return _edges_passed(value, edges[1:-1], "left")
+    return _first_match(value, [value < F.lit(e) for e in edges[1:-1]])
 
 
 def right_closed_bin(value: Column, edges: Sequence[float]) -> Column:
     """0-based bin of ``(a, b]`` intervals, the lowest edge included."""
-    return _edges_passed(value, edges[1:-1], "right")
+    return _first_match(value, [value <= F.lit(e) for e in edges[1:-1]])
+
+
+def segment(value: Column, brackets: Sequence[tuple[float, float]]) -> Column:
+    """2j + 1 inside the closed bracket j of ascending disjoint brackets, 2j in the gap before it."""
+    return _first_match(value, [test for low, high in brackets for test in (value < F.lit(low), value <= F.lit(high))])
+
+
+def _first_match(value: Column, tests: Sequence[Column]) -> Column:
+    """Number of the first test that holds. A CASE chain stops early and stays in generated code."""
+    place = F.when(value.isNull(), F.lit(None).cast("int"))
+    for i, test in enumerate(tests):
+        place = place.when(test, F.lit(i))
+    return place.otherwise(F.lit(len(tests)))
 
 
 def capacity(rows: Column, fraction: float) -> Column:

@@ -12,6 +12,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from propensity.functions import values as v
 from propensity.session import materialize
 
 SLICE = "_slice"
@@ -202,21 +203,21 @@ def _pick(df: DataFrame, places: Mapping[str, list[int]], brackets: Mapping[str,
 
     Segment 2j is the gap before bracket j, segment 2j+1 the bracket itself.
     """
-    items = []
-    for c in places:
-        v = F.col(c).cast("double")
-        segment = F.when(v.isNotNull(), F.lit(0))
-        for low, high in brackets[c]:
-            segment = segment + (v >= F.lit(low)).cast("int") + (v > F.lit(high)).cast("int")
-        items.append(
-            F.struct(
-                F.lit(c).alias("feature"),
-                segment.alias("segment"),
-                F.when(segment % 2 == 1, v).alias("value"),
-            )
+    # Segments first, cells second: each segment expression is then evaluated once.
+    placed = df.select(
+        *[F.col(c).cast("double").alias(c) for c in places],
+        *[v.segment(F.col(c).cast("double"), brackets[c]).alias(f"_segment_{c}") for c in places],
+    )
+    cells = [
+        F.struct(
+            F.lit(c).alias("feature"),
+            F.col(f"_segment_{c}").alias("segment"),
+            F.when(F.col(f"_segment_{c}") % 2 == 1, F.col(c)).alias("value"),
         )
+        for c in places
+    ]
     condensed = materialize(
-        df.select(F.inline(F.array(*items))).where("segment is not null").groupBy("feature", "segment", "value").count()
+        placed.select(F.inline(F.array(*cells))).where("segment is not null").groupBy("feature", "segment", "value").count()
     )
     sizes = {
         (r["feature"], r["segment"]): r["n"]

@@ -16,7 +16,6 @@ from propensity.session import materialize
 
 _NUMERIC = ORDER_LEADS.numeric_features
 _CATEGORICAL = ORDER_LEADS.categorical
-_SCORE = rational_score(F.col("total_price"), 200000.0)
 
 _PARTS = f"""WITH {sql.LEADS}, {sql.split('leads')},
 derived AS (
@@ -49,7 +48,8 @@ _CATEGORICAL_PSI = f"""SELECT feature, sum({_TERM}) AS psi FROM (
 
 
 def _split(spark: SparkSession, sf_dir: str) -> Split:
-    leads = derive_time_parts(order_leads(spark, sf_dir), ORDER_LEADS).withColumn("score", _SCORE)
+    score = rational_score(F.col("total_price"), 200000.0)
+    leads = derive_time_parts(order_leads(spark, sf_dir), ORDER_LEADS).withColumn("score", score)
     return chronological_split(materialize(leads), ORDER_LEADS, check=False)
 
 

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import subprocess
+import sys
+from pathlib import Path
+
 import oracle
 import pytest
 
@@ -30,6 +34,11 @@ def test_model_queries_score_the_validation_window(spark, name):
     assert len(scores) > 200 and all(0 <= s <= 1 for s in scores)
 
 
+def test_import_needs_no_session():
+    code = "import __spark_entry__ as e; assert len(e.queries()) >= len(e.oracle_sql()) > 60"
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=Path(__file__).parent.parent, timeout=120)
+
+
 def test_entry(spark):
     import __spark_entry__ as entry
 
