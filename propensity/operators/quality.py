@@ -52,7 +52,7 @@ def cardinality(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def rare_categories(df: DataFrame, columns: Sequence[str], floor: int = 20, share: float = 0.001) -> DataFrame:
-    """Values seen fewer than ``max(floor, int(share * rows))`` times; a null shows as ``nan``."""
+    """Values seen fewer than ``max(floor, int(share * rows))`` times, commonest first; a null shows as ``nan``."""
     counts = value_counts(df, columns)
     limit = F.greatest(F.lit(floor), F.floor(F.sum("rows") * F.lit(share)))
     minimum = counts.groupBy("column").agg(limit.alias("minimum"))
@@ -60,6 +60,7 @@ def rare_categories(df: DataFrame, columns: Sequence[str], floor: int = 20, shar
         counts.join(F.broadcast(minimum), "column")  # one row per column
         .where("rows < minimum")
         .select("column", F.coalesce("value", F.lit("nan")).alias("value"), "rows")
+        .orderBy("column", F.desc("rows"), "value")
     )
 
 

@@ -83,7 +83,7 @@ def categorical_psi(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stability index of each categorical feature."""
     split = _split(spark, sf_dir)
     baseline = drift.categorical_baseline(split.part("train"), _CATEGORICAL)
-    return rounded(drift.categorical_psi(baseline, split.part("test"), _CATEGORICAL), "psi")
+    return rounded(drift.categorical_psi(baseline, drift.categorical_baseline(split.part("test"), _CATEGORICAL)), "psi")
 
 
 @query(f"""{_BINS} SELECT count(*) AS rows, round(avg(prediction), 9) AS mean, round(stddev_pop(prediction), 9) AS std,
@@ -98,7 +98,7 @@ def prediction_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _RANGES = " UNION ALL ".join(
-    f"""SELECT '{c}' AS feature, avg(CAST({c} IS NULL AS DOUBLE)) AS missing_rate, {f'min({c})' if c in _NUMERIC else 'CAST(NULL AS DOUBLE)'} AS low,
+    f"""SELECT '{c}' AS feature, count(*) AS rows, avg(CAST({c} IS NULL AS DOUBLE)) AS missing_rate, {f'min({c})' if c in _NUMERIC else 'CAST(NULL AS DOUBLE)'} AS low,
   {f'max({c})' if c in _NUMERIC else 'CAST(NULL AS DOUBLE)'} AS high FROM train"""
     for c in (*_NUMERIC, *_CATEGORICAL)
 )
@@ -113,7 +113,7 @@ _VALUE_DRIFT = f"""SELECT n.feature, n.missing_rate, n.missing_rate - t.missing_
   outside AS outside_range_rate, unseen AS unseen_category_rate FROM ({_NOW}) n JOIN ({_RANGES}) t USING (feature)"""
 
 
-@query(f"{_PARTS} SELECT feature, round(missing_rate, 9) AS missing_rate, low, high FROM ({_RANGES})")
+@query(f"{_PARTS} SELECT feature, rows, round(missing_rate, 9) AS missing_rate, low, high FROM ({_RANGES})")
 def feature_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Missing rate, smallest and largest value in the training window."""
     return rounded(drift.feature_ranges(_split(spark, sf_dir).part("train"), _NUMERIC, _CATEGORICAL), "missing_rate")
@@ -128,7 +128,9 @@ def _baseline(split: Split) -> drift.Baseline:
 def value_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Missing, out-of-range and unseen values against the baseline."""
     split = _split(spark, sf_dir)
-    found = drift.value_drift(_baseline(split), split.part("test"), _NUMERIC, _CATEGORICAL)
+    test = split.part("test")
+    shares = drift.categorical_baseline(test, _CATEGORICAL)
+    found = drift.value_drift(_baseline(split), test, shares, _NUMERIC, _CATEGORICAL)
     return rounded(found, *found.columns[1:])
 
 
@@ -185,4 +187,4 @@ def binary_psi(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, categorical = drift.feature_lists(ORDER_LEADS, binary_as_categorical=True)
     flags = [c for c in categorical if c in ORDER_LEADS.binary]
     baseline = drift.categorical_baseline(split.part("train"), flags)
-    return rounded(drift.categorical_psi(baseline, split.part("test"), flags), "psi")
+    return rounded(drift.categorical_psi(baseline, drift.categorical_baseline(split.part("test"), flags)), "psi")

@@ -47,13 +47,16 @@ def score_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.score_steps(scored_orders(spark, sf_dir))
 
 
-@query(f"""{_SCORED}, c AS (
+_CELLS = ("tn", "fp", "fn", "tp")
+THRESHOLD_SQL = f"""SELECT rows, round(prevalence, 9) AS prevalence, {THRESHOLD}e0 AS operating_threshold,
+  round(coalesce(tp / nullif(tp + fp, 0), 0), 9) AS precision, round(coalesce(tp / nullif(tp + fn, 0), 0), 9) AS recall,
+  round(coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0), 9) AS f1, tn, fp, fn, tp FROM (
   SELECT count(*) AS rows, avg(label) AS prevalence, count(*) FILTER (score < {THRESHOLD}e0 AND label = 0) AS tn,
     count(*) FILTER (score >= {THRESHOLD}e0 AND label = 0) AS fp, count(*) FILTER (score < {THRESHOLD}e0 AND label = 1) AS fn,
-    count(*) FILTER (score >= {THRESHOLD}e0 AND label = 1) AS tp FROM scored)
-SELECT rows, round(prevalence, 9) AS prevalence, {THRESHOLD}e0 AS operating_threshold,
-  round(coalesce(tp / nullif(tp + fp, 0), 0), 9) AS precision, round(coalesce(tp / nullif(tp + fn, 0), 0), 9) AS recall,
-  round(coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0), 9) AS f1, tn, fp, fn, tp FROM c""")
+    count(*) FILTER (score >= {THRESHOLD}e0 AND label = 1) AS tp FROM scored)"""
+
+
+@query(f"{_SCORED} {THRESHOLD_SQL}")
 def threshold_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Confusion counts, precision, recall and F1 at a fixed threshold."""
     report = metrics.threshold_report(scored_orders(spark, sf_dir), THRESHOLD)
@@ -185,7 +188,20 @@ def nearest_order_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([(share, found[(share, how)]) for share, how in pairs], "share double, value double")
 
 
-@query()
+_REPORT = f"""{_SCORED}, whole AS (SELECT {sql.PROBABILITY_METRICS} FROM ({sql.steps('scored')})),
+at_threshold AS ({THRESHOLD_SQL}),
+levels AS (SELECT 'top_' || CAST(CAST(floor(fraction * 100) AS BIGINT) AS VARCHAR) || 'pct' AS level, *
+           FROM ({_capacity_sql('scored')}))""" + " ".join(
+    f"{'' if i == 0 else 'UNION ALL'} SELECT '{metric}' AS metric, {level} AS level, CAST({metric} AS DOUBLE) AS value FROM {source}"
+    for i, (source, level, metric) in enumerate(
+        [("whole", "CAST(NULL AS VARCHAR)", m) for m in _PROBABILITY]
+        + [("at_threshold", "NULL", m) for m in ("rows", "prevalence", "operating_threshold", "precision", "recall", "f1", *_CELLS)]
+        + [("levels", "level", m) for m in ("k", "precision_at_k", "recall_at_k", "lift_at_k")]
+    )
+)
+
+
+@query(_REPORT)
 def classification_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All of the above as one long report; each part has a query of its own."""
+    """All of the above as one long report."""
     return rounded(metrics.classification_report(scored_orders(spark, sf_dir), THRESHOLD), "value")

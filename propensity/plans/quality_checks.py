@@ -154,8 +154,45 @@ def effect_screen(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.effect_screen(leads, ORDER_LEADS).withColumn("effect", F.round("effect", 9))
 
 
-@query()
+_RAW_COLUMNS = ORDER_LEADS.columns
+
+
+def _per_column(metric: str, columns, expression: str) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{metric}' AS metric, '{c}' AS \"column\", CAST({expression.format(c=c)} AS VARCHAR) AS value FROM leads" for c in columns
+    )
+
+
+_ALL_NUMERIC = ORDER_LEADS.numeric
+_QUALITY_SQL = f"""WITH {sql.LEADS}, cells AS ({sql.cells("leads", _ALL_NUMERIC)}), {sql.points("quartiles", "cells", sql.QUARTILES)},
+fences AS (SELECT feature, max(CASE WHEN k = 0 THEN value END) AS q1, max(CASE WHEN k = 1 THEN value END) AS q3
+           FROM quartiles GROUP BY feature),
+facts AS (
+  SELECT count(*) AS rows, round(avg(converted), 9) AS prevalence, min(created_at) AS date_min, max(created_at) AS date_max,
+         count(*) - count(DISTINCT lead_id) AS ids FROM leads)
+SELECT 'rows_raw' AS metric, NULL AS "column", CAST(rows AS VARCHAR) AS value FROM facts
+UNION ALL SELECT 'rows_clean', NULL, CAST(rows AS VARCHAR) FROM facts
+UNION ALL SELECT 'columns', NULL, '{len(_RAW_COLUMNS)}'
+UNION ALL SELECT 'target_prevalence', NULL, CAST(prevalence AS VARCHAR) FROM facts
+UNION ALL SELECT 'date_min', NULL, CAST(date_min AS VARCHAR) FROM facts
+UNION ALL SELECT 'date_max', NULL, CAST(date_max AS VARCHAR) FROM facts
+UNION ALL SELECT 'duplicate_ids', NULL, CAST(ids AS VARCHAR) FROM facts
+UNION ALL SELECT 'duplicate_rows', NULL, CAST(rows - (SELECT count(*) FROM (SELECT DISTINCT * FROM leads)) AS VARCHAR) FROM facts
+UNION ALL {_per_column("missing_counts", _RAW_COLUMNS, "count(*) FILTER ({c} IS NULL OR CAST({c} AS VARCHAR) = '')")}
+UNION ALL {_per_column("cardinality", ORDER_LEADS.categorical, "count(DISTINCT {c})")}
+UNION ALL SELECT 'outliers', c.feature, CAST(count(*) FILTER (value < q1 - 3.0 * (q3 - q1) OR value > q3 + 3.0 * (q3 - q1)) AS VARCHAR)
+FROM cells c JOIN fences f ON c.feature = f.feature GROUP BY c.feature
+UNION ALL SELECT 'rare_categories', "column", value FROM (
+  """ + " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", coalesce({c}, 'nan') AS value, count(*) AS n FROM leads GROUP BY {c}" for c in ORDER_LEADS.categorical
+) + """) WHERE n < (SELECT greatest(20, CAST(floor(rows * 0.001e0) AS BIGINT)) FROM facts)"""
+
+
+@query(_QUALITY_SQL)
 def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole report; every part has a query of its own above."""
+    """The whole report as text values (the prevalence to nine digits)."""
     leads = order_leads(spark, sf_dir)
-    return quality.quality_report(leads, derive_time_parts(leads, ORDER_LEADS), ORDER_LEADS)
+    report = quality.quality_report(leads, derive_time_parts(leads, ORDER_LEADS), ORDER_LEADS)
+    short = F.round(F.col("value").try_cast("double"), 9).cast("string")
+    is_rate = F.col("metric") == "target_prevalence"
+    return report.withColumn("value", F.when(is_rate, short).otherwise(F.col("value")))
