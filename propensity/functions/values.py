@@ -58,27 +58,25 @@ def known_category(value: Column) -> Column:
     return F.coalesce(value.cast("string"), F.lit(MISSING_CATEGORY))
 
 
-def left_closed_bin(value: Column, edges: Sequence[float]) -> Column:
+def left_closed_bin(column: str, edges: Sequence[float]) -> Column:
     """0-based bin of ``[a, b)`` intervals, the last one closed; the outer edges count as infinite."""
-    return _first_match(value, [value < F.lit(e) for e in edges[1:-1]])
+    return _first_match(column, [("<", e) for e in edges[1:-1]])
 
 
-def right_closed_bin(value: Column, edges: Sequence[float]) -> Column:
+def right_closed_bin(column: str, edges: Sequence[float]) -> Column:
     """0-based bin of ``(a, b]`` intervals, the lowest edge included."""
-    return _first_match(value, [value <= F.lit(e) for e in edges[1:-1]])
+    return _first_match(column, [("<=", e) for e in edges[1:-1]])
 
 
-def segment(value: Column, brackets: Sequence[tuple[float, float]]) -> Column:
+def segment(column: str, brackets: Sequence[tuple[float, float]]) -> Column:
     """2j + 1 inside the closed bracket j of ascending disjoint brackets, 2j in the gap before it."""
-    return _first_match(value, [test for low, high in brackets for test in (value < F.lit(low), value <= F.lit(high))])
+    return _first_match(column, [test for low, high in brackets for test in (("<", low), ("<=", high))])
 
 
-def _first_match(value: Column, tests: Sequence[Column]) -> Column:
-    """Number of the first test that holds. A CASE chain stops early and stays in generated code."""
-    place = F.when(value.isNull(), F.lit(None).cast("int"))
-    for i, test in enumerate(tests):
-        place = place.when(test, F.lit(i))
-    return place.otherwise(F.lit(len(tests)))
+def _first_match(column: str, tests: Sequence[tuple[str, float]]) -> Column:
+    """Number of the first test a double column passes. A CASE chain stops early and stays in generated code."""
+    chain = " ".join(f"WHEN `{column}` {sign} {number_sql(x)} THEN {i}" for i, (sign, x) in enumerate(tests))
+    return F.expr(f"CASE WHEN `{column}` IS NULL THEN CAST(NULL AS INT) {chain} ELSE {len(tests)} END")
 
 
 def capacity(rows: Column, fraction: float) -> Column:

@@ -204,20 +204,16 @@ def _pick(df: DataFrame, places: Mapping[str, list[int]], brackets: Mapping[str,
     Segment 2j is the gap before bracket j, segment 2j+1 the bracket itself.
     """
     # Segments first, cells second: each segment expression is then evaluated once.
-    placed = df.select(
-        *[F.col(c).cast("double").alias(c) for c in places],
-        *[v.segment(F.col(c).cast("double"), brackets[c]).alias(f"_segment_{c}") for c in places],
+    doubles = df.select(*[F.col(c).cast("double").alias(c) for c in places])
+    placed = doubles.select("*", *[v.segment(c, brackets[c]).alias(f"_segment_{c}") for c in places])
+    cells = ", ".join(
+        f"struct('{c}' AS feature, `_segment_{c}` AS segment, IF(`_segment_{c}` % 2 = 1, `{c}`, NULL) AS value)" for c in places
     )
-    cells = [
-        F.struct(
-            F.lit(c).alias("feature"),
-            F.col(f"_segment_{c}").alias("segment"),
-            F.when(F.col(f"_segment_{c}") % 2 == 1, F.col(c)).alias("value"),
-        )
-        for c in places
-    ]
     condensed = materialize(
-        placed.select(F.inline(F.array(*cells))).where("segment is not null").groupBy("feature", "segment", "value").count()
+        placed.selectExpr(f"inline(array({cells}))")
+        .where("segment is not null")
+        .groupBy("feature", "segment", "value")
+        .count()
     )
     sizes = {
         (r["feature"], r["segment"]): r["n"]

@@ -90,9 +90,10 @@ def monthly_rate(df: DataFrame, spec: TableSpec) -> DataFrame:
 def decile_rate(df: DataFrame, column: str, target: str) -> DataFrame:
     """Conversion rate per decile bin ``(a, b]`` of a numeric column; repeated edges are merged."""
     edges = deciles(df, [column])[column]
-    bucket = v.right_closed_bin(F.col(column).cast("double"), edges) + 1
+    bucket = v.right_closed_bin(column, edges) + 1
     return (
-        df.where(F.col(column).isNotNull())
+        df.select(F.col(column).cast("double").alias(column), target)
+        .where(F.col(column).isNotNull())
         .groupBy(bucket.alias("bucket"))
         .agg(F.count("*").alias("rows"), F.avg(F.col(target).cast("double")).alias("rate"))
     )
