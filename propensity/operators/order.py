@@ -18,6 +18,9 @@ from propensity.session import materialize
 SLICE = "_slice"
 POSITION = "_position"
 
+# Larger lookup frames are left to Spark's choice of join.
+BROADCAST_ROWS = 1_000_000
+
 # A slice number sits above bit 33 of Spark's increasing id, the row's place in the slice below it.
 _PLACE_MASK = (1 << 33) - 1
 
@@ -40,6 +43,12 @@ def placed_in_slices(df: DataFrame, keys: Sequence[Column], slices: int | None =
     )
 
 
+def _join_offsets(rows: DataFrame, offsets: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Join per-slice numbers back. Without groups they are as few as the slices; with groups they are counted."""
+    few = not by or offsets.count() <= BROADCAST_ROWS
+    return rows.join(F.broadcast(offsets) if few else offsets, [SLICE, *by])
+
+
 def global_rank(
     df: DataFrame,
     order: Sequence[Column],
@@ -64,7 +73,7 @@ def global_rank(
         (F.coalesce(F.sum("_rows").over(ahead), F.lit(0)) - F.col("_first") + 1).alias("_shift"),
         F.sum("_rows").over(whole).alias("_total"),
     )
-    ranked = placed.join(F.broadcast(offsets), [SLICE, *by])
+    ranked = _join_offsets(placed, offsets, by)
     extra = [F.col("_total").alias(total)] if total else []
     return ranked.select(*df.columns, (F.col(POSITION) + F.col("_shift")).cast("long").alias(rank), *extra)
 
@@ -91,7 +100,7 @@ def running_totals(
     offsets = pieces.select(
         SLICE, *by, *[F.coalesce(F.sum(f"_all_{name}").over(ahead), F.lit(0)).alias(f"_off_{name}") for name in sums]
     )
-    return local.join(F.broadcast(offsets), [SLICE, *by]).select(
+    return _join_offsets(local, offsets, by).select(
         *df.columns, *[(F.col(f"_in_{name}") + F.col(f"_off_{name}")).alias(name) for name in sums]
     )
 

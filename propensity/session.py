@@ -29,7 +29,6 @@ def shared_dir(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         named = tempfile.mkdtemp(prefix="propensity-")
-        spark.conf.set("spark.checkpoint.dir", named)
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(named)
     return named.rstrip("/")
@@ -46,6 +45,12 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop_frames(spark: SparkSession) -> None:
+    """Delete all intermediate frames. Frames returned by earlier calls cannot be read afterwards."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/frames")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: unlike :func:`materialize` it keeps partitions and the order inside them."""
     shared_dir(df.sparkSession)
