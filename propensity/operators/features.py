@@ -34,6 +34,8 @@ def medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
 
 def missing_at_fit(df: DataFrame, columns: Sequence[str]) -> list[str]:
     """Columns that get a missing indicator: those with a null in the training rows."""
+    if not columns:
+        return []
     row = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns]).first()
     return [c for c in columns if row[c]]
 
@@ -147,10 +149,35 @@ def _filled_sql(column: str, value: float | None) -> str:
     return f"coalesce(CAST(`{column}` AS DOUBLE), {v.number_sql(value if value is not None else 0.0)})"
 
 
-def numeric_stages(train: DataFrame, columns: Sequence[str], scale: bool, splines: bool = False) -> tuple[list, list[str]]:
+@dataclass(frozen=True)
+class Learned:
+    """What the training rows say about single columns; shared by all preparations of one table."""
+
+    medians: dict[str, float | None]
+    missing: tuple[str, ...]
+    counts: DataFrame | None
+    modes: dict[str, str | None]
+
+
+def learn(train: DataFrame, spec: TableSpec) -> Learned:
+    """Medians, columns with gaps, category counts and modes of all features."""
+    counts = category_counts(train, spec.categorical) if spec.categorical else None
+    return Learned(
+        medians=medians(train, spec.numeric_features),
+        missing=tuple(missing_at_fit(train, spec.numeric_features)),
+        counts=counts,
+        modes=modes_of(counts, spec.categorical) if counts is not None else {},
+    )
+
+
+def numeric_stages(
+    train: DataFrame, columns: Sequence[str], learned: Learned, scale: bool, splines: bool = False
+) -> tuple[list, list[str]]:
     """Median fill and indicators, then optionally the spline basis, then optionally standardisation."""
-    middle, flags = medians(train, columns), missing_at_fit(train, columns)
+    middle, flags = learned.medians, learned.missing
     used = [c for c in columns if middle[c] is not None]  # a column without any value is left out
+    if not used:
+        return [], []
     plain = {f"n_{c}": _filled_sql(c, middle[c]) for c in used}
     plain |= {f"m_{c}": f"CAST(`{c}` IS NULL AS DOUBLE)" for c in flags if c in used}
     stages, names = [_sql(plain)], list(plain)
@@ -163,8 +190,8 @@ def numeric_stages(train: DataFrame, columns: Sequence[str], scale: bool, spline
         stages += basis_stages
         for stage in basis_stages:
             frame = stage.transform(frame)
-    learned = scales(frame, {n: F.col(n) for n in names})
-    stages.append(_sql({f"z_{n}": f"(`{n}` - {v.number_sql(m)}) / {v.number_sql(s)}" for n, (m, s) in learned.items()}))
+    moments = scales(frame, {n: F.col(n) for n in names})
+    stages.append(_sql({f"z_{n}": f"(`{n}` - {v.number_sql(m)}) / {v.number_sql(s)}" for n, (m, s) in moments.items()}))
     return stages, [f"z_{n}" for n in names]
 
 
@@ -179,14 +206,14 @@ def _spline_stages(ends: Mapping[str, tuple[float, float]]) -> tuple[list, list[
     return [_sql(step) for step in (places, cubes, basis)], list(basis)
 
 
-def one_hot_stages(train: DataFrame, columns: Sequence[str], min_frequency: int = MIN_FREQUENCY) -> tuple[list, list[str]]:
+def one_hot_stages(
+    train: DataFrame, columns: Sequence[str], learned: Learned, min_frequency: int = MIN_FREQUENCY
+) -> tuple[list, list[str]]:
     """Most-frequent fill, index, one-hot; unseen values share the pooled column or are all zero."""
-    columns = list(columns)
     if not columns:
         return [], []
-    counts = category_counts(train, columns)
-    fill = modes_of(counts, columns)
-    words = vocabularies(counts, columns, fill, min_frequency)
+    fill = learned.modes
+    words = vocabularies(learned.counts, columns, fill, min_frequency)
     columns = [c for c in columns if words[c].width]  # a column without any value is left out
     stages: list = [_sql({f"c_{c}": f"coalesce(CAST(`{c}` AS STRING), {v.text_sql(fill[c])})" for c in columns})]
     for c in columns:
@@ -207,14 +234,12 @@ def one_hot_stages(train: DataFrame, columns: Sequence[str], min_frequency: int
     return stages, [f"o_{c}" for c in columns]
 
 
-def ordinal_stages(train: DataFrame, columns: Sequence[str]) -> tuple[list, list[str]]:
+def ordinal_stages(train: DataFrame, columns: Sequence[str], learned: Learned) -> tuple[list, list[str]]:
     """Most-frequent fill, then the place among the sorted training values, -1 if unseen."""
-    columns = list(columns)
     if not columns:
         return [], []
-    counts = category_counts(train, columns)
-    fill = modes_of(counts, columns)
-    words = vocabularies(counts, columns, fill, min_frequency=1)
+    fill = learned.modes
+    words = vocabularies(learned.counts, columns, fill, min_frequency=1)
     columns = [c for c in columns if words[c].values]
     stages: list = [_sql({f"c_{c}": f"coalesce(CAST(`{c}` AS STRING), {v.text_sql(fill[c])})" for c in columns})]
     for c in columns:
@@ -224,29 +249,32 @@ def ordinal_stages(train: DataFrame, columns: Sequence[str]) -> tuple[list, list
     return stages, [f"k_{c}" for c in columns]
 
 
-def native_category_stages(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> tuple[list, list[str]]:
+def native_category_stages(
+    train: DataFrame, numeric: Sequence[str], categorical: Sequence[str], learned: Learned
+) -> tuple[list, list[str]]:
     """Numbers with nulls marked, categories as nominal codes with ``missing`` as a value of its own."""
     marks = {f"n_{c}": f"coalesce(CAST(`{c}` AS DOUBLE), {v.number_sql(0.0)})" for c in numeric}
-    marks |= {f"m_{c}": f"CAST(`{c}` IS NULL AS DOUBLE)" for c in missing_at_fit(train, numeric)}
+    marks |= {f"m_{c}": f"CAST(`{c}` IS NULL AS DOUBLE)" for c in learned.missing}
     filled_sql = {f"c_{c}": f"coalesce(CAST(`{c}` AS STRING), {v.text_sql(FILLED_CATEGORY)})" for c in categorical}
     stages: list = [_sql(marks | filled_sql)]
     if not categorical:
         return stages, list(marks)
     fill = {c: FILLED_CATEGORY for c in categorical}
-    words = vocabularies(category_counts(train, categorical), categorical, fill, min_frequency=1)
+    words = vocabularies(learned.counts, categorical, fill, min_frequency=1)
     for c in categorical:
         stages.append(StringIndexerModel.from_labels(list(words[c].values), f"c_{c}", f"i_{c}", handleInvalid="keep"))
     return stages, [*marks, *[f"i_{c}" for c in categorical]]
 
 
-def fit_preparation(train: DataFrame, spec: TableSpec, kind: str) -> PipelineModel:
+def fit_preparation(train: DataFrame, spec: TableSpec, kind: str, learned: Learned | None = None) -> PipelineModel:
     """``linear``, ``spline``, ``tree`` or ``native`` preparation ending in one ``features`` vector."""
+    learned = learned or learn(train, spec)
     if kind == "native":
-        stages, names = native_category_stages(train, spec.numeric_features, spec.categorical)
+        stages, names = native_category_stages(train, spec.numeric_features, spec.categorical, learned)
     else:
         scaled = kind in ("linear", "spline")
-        stages, names = numeric_stages(train, spec.numeric_features, scale=scaled, splines=kind == "spline")
-        more, more_names = (one_hot_stages if scaled else ordinal_stages)(train, spec.categorical)
+        stages, names = numeric_stages(train, spec.numeric_features, learned, scale=scaled, splines=kind == "spline")
+        more, more_names = (one_hot_stages if scaled else ordinal_stages)(train, spec.categorical, learned)
         stages, names = stages + more, names + more_names
     return PipelineModel([*stages, VectorAssembler(inputCols=names, outputCol=VECTOR)])
 

@@ -13,7 +13,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from propensity.operators.features import VECTOR, fit_preparation
+from propensity.operators.features import VECTOR, fit_preparation, learn
 from propensity.operators.metrics import capacity_table, check_scored, probability_metrics
 from propensity.session import materialize
 from propensity.spec import TableSpec
@@ -150,14 +150,15 @@ def compare(
     """Fit every candidate and measure all of them on the validation rows.
 
     Returns the fitted models, the comparison (one row a model) and the long scored frame
-    (model, id, label, score) from which all metrics are taken together. Preparations are shared.
+    (model, id, label, score) from which all metrics are taken together. Preparations, and what they learn from single columns, are shared.
     """
     preparations: dict[str, PipelineModel] = {}
-    fitted, scored = {}, []
+    fitted, scored, learned = {}, [], None
     models = list(models)
     for model in models:
         if model.settings["kind"] != "prior" and model.preparation not in preparations:
-            preparations[model.preparation] = fit_preparation(train, spec, model.preparation)
+            learned = learned or learn(train, spec)
+            preparations[model.preparation] = fit_preparation(train, spec, model.preparation, learned)
         fitted[model.name] = fit(train, spec, model, preparations.get(model.preparation))
         scored.append(_scored(predict(fitted[model.name], validation), spec, model.name))
     long = materialize(reduce(DataFrame.unionByName, scored))

@@ -124,6 +124,8 @@ def order_statistics(df: DataFrame, wanted: Mapping[str, Iterable[tuple[float, s
     No column is ever sorted as a whole, and a place the sketch missed is looked up in a further scan.
     """
     wanted = {c: list(dict.fromkeys(pairs)) for c, pairs in wanted.items()}
+    if not wanted:
+        return {}
     sketches = _sketch(df, wanted)
     counts = {c: s["n"] for c, s in sketches.items()}
     places = {

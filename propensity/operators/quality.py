@@ -17,6 +17,8 @@ SENTINELS = ("-999", "999999", "N/A", "unknown")
 
 def per_column(df: DataFrame, aggregates: Mapping[str, object], key: str = "column", value: str = "rows") -> DataFrame:
     """One aggregate per column in a single pass, returned as (column, value) rows."""
+    if not aggregates:
+        return df.sparkSession.createDataFrame([], f"{key} string, {value} long")
     one_row = df.agg(*[a.alias(c) for c, a in aggregates.items()])
     return one_row.select(
         F.inline(F.array(*[F.struct(F.lit(c).alias(key), F.col(f"`{c}`").alias(value)) for c in aggregates]))
@@ -42,6 +44,8 @@ def duplicate_counts(raw: DataFrame, spec: TableSpec, columns: Sequence[str]) ->
 
 def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column, value, rows) for every distinct value, nulls included."""
+    if not columns:
+        return df.sparkSession.createDataFrame([], "column string, value string, rows long")
     cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns])
     return df.select(F.inline(cells)).groupBy("column", "value").agg(F.count("*").alias("rows"))
 
@@ -145,6 +149,8 @@ def id_pattern(df: DataFrame, id_column: str, pattern: str) -> DataFrame:
 
 def effect_screen(df: DataFrame, spec: TableSpec) -> DataFrame:
     """Strength of each feature alone: standardised mean difference, or Cramér's V for categories."""
+    if not spec.numeric_features:
+        return _cramers_v(df, spec)
     y = F.col(spec.target) == 1
     aggregates = []
     for c in spec.numeric_features:
@@ -167,7 +173,7 @@ def effect_screen(df: DataFrame, spec: TableSpec) -> DataFrame:
             )
         )
     )
-    return numeric.unionByName(_cramers_v(df, spec))
+    return numeric.unionByName(_cramers_v(df, spec)) if spec.categorical else numeric
 
 
 def _cramers_v(df: DataFrame, spec: TableSpec) -> DataFrame:

@@ -65,6 +65,7 @@ def frame_of(spark, rows=400, seed=3):
     return spark.createDataFrame(data, "id long, x double, z double, g string, y int")
 
 
+G_SPEC = TableSpec(id="id", time="", target="", numeric=(), categorical=("g",), derive_time_parts=False)
 SPEC = TableSpec(id="id", time="", target="y", numeric=("x", "z"), categorical=("g",), derive_time_parts=False)
 
 
@@ -101,7 +102,7 @@ def test_linear_preparation(spark):
 def test_infrequent_categories_are_pooled(spark, rare):
     values = ["a"] * 30 + ["b"] * 25 + ["c"] * rare
     frame = spark.createDataFrame([(i, g) for i, g in enumerate(values)], "id long, g string")
-    stages, names = features.one_hot_stages(frame, ["g"])
+    stages, names = features.one_hot_stages(frame, ["g"], features.learn(frame, G_SPEC))
     out = spark.createDataFrame([(0, "a"), (1, "b"), (2, "c"), (3, "new"), (4, None)], "id long, g string")
     for s in stages:
         out = s.transform(out)
@@ -112,7 +113,7 @@ def test_infrequent_categories_are_pooled(spark, rare):
 
 def test_unseen_value_is_all_zero_without_a_pool(spark):
     frame = spark.createDataFrame([(i, "a" if i % 2 else "b") for i in range(60)], "id long, g string")
-    stages, names = features.one_hot_stages(frame, ["g"])
+    stages, names = features.one_hot_stages(frame, ["g"], features.learn(frame, G_SPEC))
     out = spark.createDataFrame([(0, "zzz")], "id long, g string")
     for s in stages:
         out = s.transform(out)
