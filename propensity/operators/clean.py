@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from propensity.functions import values as v
-from propensity.spec import HOUR, WEEKDAY, DataContractError, TableSpec
+from propensity.spec import HOUR, ROW_NUMBER, WEEKDAY, DataContractError, TableSpec
 
 
 @dataclass(frozen=True)
@@ -121,15 +121,24 @@ def check(df: DataFrame, spec: TableSpec, require_target: bool = True, text: boo
             # Samples are looked up only once a rule is known to be broken; malformed cells as raw text.
             text_rule = text and rule.name.startswith("malformed:")
             source = df.where(_malformed(rule.column, spec)) if text_rule else typed.where(rule.broken)
-            shown = source.select(rule.column)
-            shown = shown.distinct().limit(5) if rule.name == "target_invalid" else shown.limit(3)
-            sample = [r[0] for r in shown.collect()]
+            sample = _first_values(source, rule.column, distinct=rule.name == "target_invalid")
             raise DataContractError(f"{rule.message}: {counts[rule.name]} rows; sample={sample}")
         if rule.name == "target_invalid" and counts["_low"] == counts["_high"]:
             raise DataContractError(f"{spec.target} must contain both classes")
     return counts["_rows"]
 
 
+def _first_values(df: DataFrame, column: str, distinct: bool) -> list:
+    """The first three values, or the first five distinct ones, in row order where rows are numbered."""
+    numbered = ROW_NUMBER in df.columns
+    if distinct:
+        at = F.min(ROW_NUMBER) if numbered else F.lit(0)
+        shown = df.groupBy(column).agg(F.count("*").alias("_n"), at.alias("_at")).orderBy("_at").limit(5)
+    else:
+        shown = df.orderBy(ROW_NUMBER).limit(3) if numbered else df.limit(3)
+    return [r[0] for r in shown.select(column).collect()]
+
+
 def _malformed(column: str, spec: TableSpec) -> Column:
     return (v.malformed_time if column == spec.time else v.malformed_number)(F.col(column))
 
@@ -180,6 +189,8 @@ def prepare(raw: DataFrame, spec: TableSpec, require_target: bool = True, text:
     """Type, validate, deduplicate and derive; ``text=False`` for a frame whose columns are typed already."""
     rows = check(raw, spec, require_target, text)
     typed = coerce(raw, spec, require_target) if text else raw
+    if require_target:
+        typed = typed.withColumn(spec.target, F.col(spec.target).cast("int"))
     frame = keep_earliest(typed, spec)
     return Prepared(derive_time_parts(frame, spec) if spec.derive_time_parts else frame, rows)
 

@@ -53,6 +53,16 @@ def test_bad_cells_are_rejected(spark, records, cells, message):
         prepare(changed(spark, records, 0, **cells), LEADS)
 
 
+def test_samples_come_in_row_order(spark, records):
+    for i in range(50):
+        records[i]["price"] = str(-1 - i)
+        records[i]["completed_purchase"] = str(2 + i // 2)
+    with pytest.raises(DataContractError, match=r"50 rows; sample=\[2.0, 3.0, 4.0, 5.0, 6.0\]"):
+        check(raw_frame_of(spark, records).repartition(7), LEADS)
+    with pytest.raises(DataContractError, match=r"50 rows; sample=\[-1.0, -2.0, -3.0\]"):
+        check(raw_frame_of(spark, records).repartition(7), LEADS, require_target=False)
+
+
 def test_one_class_is_rejected(spark, records):
     for r in records:
         r["completed_purchase"] = "0"
