@@ -9,9 +9,8 @@ from pyspark.sql import functions as F
 
 MISSING_CATEGORY = "__MISSING__"
 
-# Accepted number and time texts.
+# Blank text and accepted time texts.
 BLANK = r"(?U)^\s*$"
-NUMBER = r"(?iU)^\s*[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)(e[+-]?[0-9]+)?|inf|infinity|nan)\s*$"
 TIME = r"^\d{4}-\d{2}-\d{2}([ T]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?(Z|[+-]\d{2}:\d{2})?)?$"
 NO_TIME = ("", "nat", "nan")
 
@@ -32,12 +31,19 @@ def nan_to_null(value: Column) -> Column:
 
 def parsed_number(text: Column) -> Column:
     """Number in the text, null for blank, ``nan`` and malformed text."""
-    trimmed = F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
-    return nan_to_null(F.when(text.rlike(NUMBER), trimmed.try_cast("double")))
+    return nan_to_null(_cast_number(text))
 
 
 def malformed_number(text: Column) -> Column:
-    return F.coalesce(~text.rlike(BLANK) & ~text.rlike(NUMBER), F.lit(False))
+    # The blank pattern is only tried on texts that are no number.
+    return F.when(text.isNull() | _cast_number(text).isNotNull(), F.lit(False)).otherwise(~text.rlike(BLANK))
+
+
+def _cast_number(text: Column) -> Column:
+    """Decimal number, ``inf``, ``infinity`` or ``nan`` of any case; Spark's cast alone also takes ``1d``, ``5f``, ``0x1p3``."""
+    last = F.lower(F.right(F.rtrim(text), F.lit(1)))
+    suffixed = last.isin("d", "f") & ~F.lower(F.rtrim(text)).endswith("inf")
+    return F.when(~suffixed & ~F.contains(F.lower(text), F.lit("x")), text.try_cast("double"))
 
 
 def parsed_time(text: Column) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from propensity.functions import values as v
+from propensity.session import materialize
 from propensity.spec import HOUR, ROW_NUMBER, WEEKDAY, DataContractError, TableSpec
 
 
@@ -146,16 +147,18 @@ def _malformed(column: str, spec: TableSpec) -> Column:
 def quarantine(raw: DataFrame, spec: TableSpec, require_target: bool = True) -> tuple[DataFrame, DataFrame]:
     """Split a raw text frame into typed good rows and raw bad rows with their broken rules.
 
-    The class check on the whole table stays with :func:`check`.
+    Every row is judged once and written with its verdict; both frames read that. The class check on the
+    whole table stays with :func:`check`.
     """
     require_columns(raw, needed_columns(spec, require_target))
     names = raw.columns
     typed, rules = _judged(raw.withColumn("_raw", F.struct(*names)), spec, require_target)
-    reasons = F.array_compact(F.array(*[F.when(r.broken, F.lit(r.name)) for r in rules]))
-    judged = typed.withColumn("_reasons", reasons)
+    found = F.array_compact(F.array(*[F.when(r.broken, F.lit(r.name)) for r in rules]))
+    listed = typed.withColumn("_reasons", found)
+    raw_if_bad = F.when(F.size("_reasons") > 0, F.col("_raw")).alias("_raw")
+    judged = materialize(listed.select(*names, "_reasons", raw_if_bad))
     good = judged.where(F.size("_reasons") == 0).select(*names)
-    bad = judged.where(F.size("_reasons") > 0).select("_raw.*", F.col("_reasons").alias("reasons"))
-    return good, bad
+    return good, judged.where(F.size("_reasons") > 0).select("_raw.*", F.col("_reasons").alias("reasons"))
 
 
 def keep_earliest(df: DataFrame, spec: TableSpec) -> DataFrame:

@@ -7,7 +7,7 @@ from dataclasses import replace
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from propensity.session import prepare_session
+from propensity.session import materialize, prepare_session
 from propensity.spec import ROW_NUMBER, TableSpec
 
 ORDER_LEADS = TableSpec(
@@ -103,6 +103,11 @@ def order_leads(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def kept_order_leads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, joined once and written, for queries that pass over the leads several times."""
+    return materialize(order_leads(spark, sf_dir))
+
+
 def rational_score(value: Column, half: float, digits: int = 6) -> Column:
     """A score in [0, 1) made of + − × ÷ and floor only, so that every engine gets the same bits."""
     scale = float(10**digits)

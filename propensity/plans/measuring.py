@@ -11,8 +11,9 @@ from propensity.operators.models import comparison
 from propensity.operators.order import order_statistics
 from propensity.operators.split import chronological_split
 from propensity.plans import sql
-from propensity.plans.bindings import ORDER_LEADS, order_leads, rational_score, scored_orders
+from propensity.plans.bindings import ORDER_LEADS, kept_order_leads, rational_score, scored_orders
 from propensity.plans.registry import query
+from propensity.session import materialize
 from propensity.spec import TableSpec
 
 THRESHOLD, SEED, SAMPLES = 0.45, 42, 200
@@ -115,7 +116,7 @@ _RULES = ("dummy_prior", "logistic_regression", "price_rule", "balance_rule")
 
 
 def _rule_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    split = chronological_split(order_leads(spark, sf_dir), ORDER_LEADS, check=False)
+    split = chronological_split(kept_order_leads(spark, sf_dir), ORDER_LEADS, check=False)
     balance = rational_score(F.col("account_balance") + 1000.0, 5000.0, 3)
     quantity = rational_score(F.coalesce("quantity", F.lit(0.0)) + 1.0, 100.0)
     scores = {
@@ -125,9 +126,10 @@ def _rule_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
         "balance_rule": balance,
     }
     models = F.array(*[F.struct(F.lit(m).alias("model"), s.alias("score")) for m, s in scores.items()])
-    return split.part("validation").select(
+    scored = split.part("validation").select(
         F.col("lead_id").alias("id"), F.col("converted").alias("label"), F.inline(models)
     )
+    return materialize(scored)
 
 
 _COMPARED = f"""WITH {sql.LEADS}, {sql.split('leads')},

@@ -11,6 +11,7 @@ from propensity.plans.bindings import (
     EVENT_TEXT,
     ORDER_LEADS,
     event_text,
+    kept_order_leads,
     labelled_documents,
     order_leads,
     table,
@@ -58,7 +59,7 @@ SELECT c.feature AS "column", count(*) FILTER (value < q1 - 3.0 * (q3 - q1) OR v
 FROM cells c JOIN fences f ON c.feature = f.feature GROUP BY c.feature""")
 def outlier_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Values beyond three interquartile ranges."""
-    return quality.outlier_counts(order_leads(spark, sf_dir), _NUMERIC)
+    return quality.outlier_counts(kept_order_leads(spark, sf_dir), _NUMERIC)
 
 
 @query("""WITH q AS (
@@ -85,7 +86,7 @@ FROM leads JOIN bins ON ({column} > lo OR bin = 0) AND ({column} <= hi OR bin =
 
 
 def _decile(spark: SparkSession, sf_dir: str, column: str) -> DataFrame:
-    rates = quality.decile_rate(order_leads(spark, sf_dir), column, "converted")
+    rates = quality.decile_rate(kept_order_leads(spark, sf_dir), column, "converted")
     return rates.withColumn("rate", F.round("rate", 9))
 
 
@@ -191,7 +192,7 @@ UNION ALL SELECT 'rare_categories', "column", value FROM (
 @query(_QUALITY_SQL)
 def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole report as text values (the prevalence to nine digits)."""
-    leads = order_leads(spark, sf_dir)
+    leads = kept_order_leads(spark, sf_dir)
     report = quality.quality_report(leads, derive_time_parts(leads, ORDER_LEADS), ORDER_LEADS)
     short = F.round(F.col("value").try_cast("double"), 9).cast("string")
     is_rate = F.col("metric") == "target_prevalence"

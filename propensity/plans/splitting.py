@@ -9,7 +9,7 @@ from propensity.operators.integrity import overlap
 from propensity.operators.order import quantiles
 from propensity.operators.split import chronological_split, cutoffs, split_summary
 from propensity.plans import sql
-from propensity.plans.bindings import EVENTS, ORDER_LEADS, order_leads, table
+from propensity.plans.bindings import EVENTS, ORDER_LEADS, kept_order_leads, table
 from propensity.plans.registry import query
 
 _PARTS = f"WITH {sql.LEADS}, {sql.split('leads')}"
@@ -19,7 +19,7 @@ _EVENT_PARTS = f"WITH leads AS (SELECT event_id, ts AS created_at, event_type FR
 @query(f"{_PARTS} SELECT strftime(t1, '%Y-%m-%d') AS train_cutoff, strftime(t2, '%Y-%m-%d') AS validation_cutoff FROM cuts")
 def split_cutoffs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The two cutoff dates, chosen on the whole table."""
-    leads = order_leads(spark, sf_dir)
+    leads = kept_order_leads(spark, sf_dir)
     first, second = chronological_split(leads, ORDER_LEADS, check=False).cutoffs
     return spark.createDataFrame([(f"{first:%Y-%m-%d}", f"{second:%Y-%m-%d}")], "train_cutoff string, validation_cutoff string")
 
@@ -36,7 +36,7 @@ def split_cutoffs_events(spark: SparkSession, sf_dir: str) -> DataFrame:
   strftime(max(created_at), '%Y-%m-%d') AS created_max FROM parts GROUP BY split""")
 def split_summary_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows, positives, prevalence and time span of each part."""
-    summary = split_summary(chronological_split(order_leads(spark, sf_dir), ORDER_LEADS, check=False), ORDER_LEADS)
+    summary = split_summary(chronological_split(kept_order_leads(spark, sf_dir), ORDER_LEADS, check=False), ORDER_LEADS)
     return summary.withColumns(
         {
             "prevalence": F.round("prevalence", 9),
@@ -49,7 +49,7 @@ def split_summary_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"{_PARTS} SELECT lead_id, split FROM parts")
 def split_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The part of every row."""
-    return chronological_split(order_leads(spark, sf_dir), ORDER_LEADS, check=False).frame.select("lead_id", "split")
+    return chronological_split(kept_order_leads(spark, sf_dir), ORDER_LEADS, check=False).frame.select("lead_id", "split")
 
 
 @query(f"""{_PARTS} SELECT 'train-validation' AS parts, count(*) AS shared FROM (
@@ -60,7 +60,7 @@ UNION ALL SELECT 'validation-test', count(*) FROM (
   SELECT lead_id FROM parts WHERE split = 'validation' INTERSECT SELECT lead_id FROM parts WHERE split = 'test')""")
 def split_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids shared by two parts: none."""
-    split = chronological_split(order_leads(spark, sf_dir), ORDER_LEADS, check=False)
+    split = chronological_split(kept_order_leads(spark, sf_dir), ORDER_LEADS, check=False)
 
     def shared(a: str, b: str) -> DataFrame:
         both = overlap(split.part(a), split.part(b), "lead_id")
@@ -77,6 +77,6 @@ SELECT feature, CAST(k AS INTEGER) AS decile, value FROM q""")
 def exact_deciles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Interpolated deciles, equal to the last bit."""
     shares = [k * 0.1 for k in range(10)] + [1.0]
-    found = quantiles(order_leads(spark, sf_dir), _QUANTILE_COLUMNS, shares)
+    found = quantiles(kept_order_leads(spark, sf_dir), _QUANTILE_COLUMNS, shares)
     rows = [(c, k, x) for c, xs in found.items() for k, x in enumerate(xs)]
     return spark.createDataFrame(rows, "feature string, decile int, value double")

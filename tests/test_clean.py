@@ -108,7 +108,7 @@ def test_blank_rules_differ(spark, records):
 
 @pytest.mark.parametrize(
     ("text", "value"),
-    [("1e3", 1000.0), (" 5 ", 5.0), ("+.5", 0.5), ("7.", 7.0), ("nan", None), ("inf", float("inf")), ("-Infinity", float("-inf"))],
+    [("1e3", 1000.0), ("1E-3", 0.001), ("\u00a0", None), ("NaN", None), ("INF ", float("inf")), (" 5 ", 5.0), ("+.5", 0.5), ("7.", 7.0), ("nan", None), ("inf", float("inf")), ("-Infinity", float("-inf"))],
 )
 def test_accepted_number_texts(spark, records, text, value):
     frame = changed(spark, records, 0, price=text)
@@ -116,6 +116,13 @@ def test_accepted_number_texts(spark, records, text, value):
     assert violation_counts(frame, LEADS).where("rule = 'malformed:price'").first()["rows"] == 0
 
 
+@pytest.mark.parametrize("text", ["5f", "5F ", "2.D", "0x10", "0x1p3", "1,000", "1_000", "--1", "1e", "e5", ".", "5 5", "infx", "\u0665"])
+def test_refused_number_texts(spark, records, text):
+    frame = changed(spark, records, 0, price=text)
+    assert coerce(frame, LEADS).where("lead_id = 'L000000'").first()["price"] is None
+    assert violation_counts(frame, LEADS).where("rule = 'malformed:price'").first()["rows"] == 1
+
+
 @pytest.mark.parametrize(
     ("text", "shown"),
     [
