@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from propensity.llm import decontaminate
+from propensity.llm import decontaminate, quality, toxicity
 
 QUERIES = {
     "op1_decontamination": decontaminate.op1_decontamination,
+    "op3_toxicity": toxicity.op3_toxicity,
+    "op10_quality": quality.op10_quality,
 }
 ORACLES = {
     "op1_decontamination": decontaminate.OP1_SQL,

@@ -22,7 +22,7 @@ def brute(docs, items):
                 for q in range(len(w) - size + 1):
                     if w[q : q + size] == v[p : p + size]:
                         hit |= set(range(q, q + size))
-                        found.add(str(item))
+                        found |= {str(item)} if item is not None else set()
         out.append((doc_id, len(w), len(hit), ",".join(sorted(found))))
     return sorted(out, key=repr)
 
