@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from propensity.llm import decontaminate, quality, toxicity
+from propensity.llm import decontaminate, packing, quality, secrets, sharding, toxicity
 
 QUERIES = {
     "op1_decontamination": decontaminate.op1_decontamination,
     "op3_toxicity": toxicity.op3_toxicity,
+    "op4_packing": packing.op4_packing,
+    "op7_sharding": sharding.op7_sharding,
+    "op9_secrets": secrets.op9_secrets,
     "op10_quality": quality.op10_quality,
 }
 ORACLES = {
     "op1_decontamination": decontaminate.OP1_SQL,
+    "op7_sharding": sharding.OP7_SQL,
 }
