@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from propensity.llm import decontaminate, packing, quality, secrets, sharding, toxicity
+from propensity.llm import decontaminate, packing, quality, secrets, sharding, toxicity, urls
 
 QUERIES = {
     "op1_decontamination": decontaminate.op1_decontamination,
     "op3_toxicity": toxicity.op3_toxicity,
     "op4_packing": packing.op4_packing,
+    "op5_urls": urls.op5_urls,
     "op7_sharding": sharding.op7_sharding,
     "op9_secrets": secrets.op9_secrets,
     "op10_quality": quality.op10_quality,
