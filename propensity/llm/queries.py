@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from propensity.llm import decontaminate, packing, quality, secrets, sharding, toxicity, urls
+from propensity.llm import decontaminate, neighbours, packing, quality, secrets, sharding, toxicity, urls
 
 QUERIES = {
     "op1_decontamination": decontaminate.op1_decontamination,
     "op3_toxicity": toxicity.op3_toxicity,
     "op4_packing": packing.op4_packing,
     "op5_urls": urls.op5_urls,
+    "op6_neighbours": neighbours.op6_neighbours,
     "op7_sharding": sharding.op7_sharding,
     "op9_secrets": secrets.op9_secrets,
     "op10_quality": quality.op10_quality,
