@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from propensity.llm import decontaminate, neighbours, packing, quality, secrets, sharding, toxicity, urls
+from propensity.llm import decontaminate, near_duplicates, neighbours, packing, quality, secrets, sharding, toxicity, urls
 
 QUERIES = {
     "op1_decontamination": decontaminate.op1_decontamination,
@@ -11,6 +11,7 @@ QUERIES = {
     "op5_urls": urls.op5_urls,
     "op6_neighbours": neighbours.op6_neighbours,
     "op7_sharding": sharding.op7_sharding,
+    "op8_near_duplicates": near_duplicates.op8_near_duplicates,
     "op9_secrets": secrets.op9_secrets,
     "op10_quality": quality.op10_quality,
 }
