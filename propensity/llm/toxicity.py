@@ -8,7 +8,7 @@ texts, falls below zero, the step goes back along it, which keeps the fit from l
 A feature is the presence of a word (2^18 hashes of lower-cased words of the whole text) that is in ``MIN_SHARE`` and ``MIN_TEXTS`` of P
 or of U and whose shares in P and U are four standard errors apart. The prior is counted over all learnable
 labels. The fit itself takes one task and bounded samples drawn by a hash of the id (``POSITIVES`` confirmed, ``UNLABELLED`` other
-texts, each distinct text once); scoring is one pass over every whole text with the weights broadcast (2^18 numbers).
+texts, one row an id, each distinct text once); scoring is one pass over every whole text with the weights broadcast (2^18 numbers).
 
 Defined cases: a null or empty text has no word and gets the score of the intercept; labels that are null or have no id are
 not learned; several labels of an id count each; repeated rows are scored one by one; without a confirmed text all weights are 0.
@@ -84,8 +84,9 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", tex
     prior = float(min(max(share or 0.0, 1e-3), 0.999))
     texts = docs.select(F.col(doc_id).alias("key"), F.col(text).alias("text"))
     confirmed = sample_share(known.where("toxic = 1").select("key").distinct(), POSITIVES, F.col("key"))
-    rows = texts.join(confirmed, "key").select(F.lit(1).alias("confirmed"), "text")
-    others = sample_share(texts, UNLABELLED, F.col("key")).select(F.lit(0).alias("confirmed"), "text")
+    # about POSITIVES ids, so they are sent to the texts instead of moving the texts
+    rows = texts.join(F.broadcast(confirmed), "key").dropDuplicates(["key"]).select(F.lit(1).alias("confirmed"), "text")
+    others = sample_share(texts, UNLABELLED, F.col("key")).dropDuplicates(["key"]).select(F.lit(0).alias("confirmed"), "text")
 
     def fit(table: pa.Table) -> str:
         r, c, _ = sparse(table)
