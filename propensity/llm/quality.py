@@ -9,7 +9,7 @@ Arrow batches. The model is fitted in one task on at most about ``fit_rows`` rat
 draw does not depend on partitions or row order); scoring is one pass over all rows with the weights broadcast (2^16 numbers).
 
 Defined cases: null and empty texts have no features and get the score of the thresholds alone; ratings without a grade or
-an id are not learned from; several ratings of an id are each learned from; rows with null ids are scored; repeated rows get
+an id are not learned from; different ratings of an id are each learned from once, with one of its texts; rows with null ids are scored; repeated rows get
 one result each; a table without any rated row, or with one grade only, gives a model without weights.
 """
 
@@ -100,8 +100,9 @@ def cumulative_link(rows, columns, values, grade: np.ndarray, grades: int, steps
 
 def fit_quality(docs: DataFrame, ratings: DataFrame, grades: int, doc_id: str = "doc_id", text: str = "text", fit_rows: int = FIT_ROWS) -> str:
     """The model fitted on ``ratings`` (doc_id, grade int from 0) and the texts of those documents."""
-    rated = sample_share(ratings.select(F.col(doc_id).alias("key"), F.col("grade").cast("int").alias("grade")).dropna(), fit_rows, F.col("key"))
-    texts = docs.select(F.col(doc_id).alias("key"), F.col(text).alias("text")).join(rated, "key").select("grade", "text")
+    rated = sample_share(ratings.select(F.col(doc_id).alias("key"), F.col("grade").cast("int").alias("grade")).dropna().distinct(), fit_rows, F.col("key"))
+    # about fit_rows ratings, so they are sent to the texts instead of moving the texts
+    texts = docs.select(F.col(doc_id).alias("key"), F.col(text).alias("text")).join(F.broadcast(rated), "key").dropDuplicates(["key", "grade"]).select("grade", "text")
 
     def fit(table: pa.Table) -> str:
         w, cuts = cumulative_link(*sparse(table), table["grade"].to_numpy().astype(np.int64), grades)
