@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from propensity.llm import decontaminate, near_duplicates, neighbours, packing, quality, secrets, sharding, toxicity, urls
+from propensity.llm import decontaminate, near_duplicates, neighbours, packing, pii, quality, secrets, sharding, toxicity, urls
 
 QUERIES = {
     "op1_decontamination": decontaminate.op1_decontamination,
+    "op2_surrogates": pii.op2_surrogates,
     "op3_toxicity": toxicity.op3_toxicity,
     "op4_packing": packing.op4_packing,
     "op5_urls": urls.op5_urls,
