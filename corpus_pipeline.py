@@ -1,26 +1,78 @@
-"""From raw documents to packed training sequences: each stage works on all that the one before it kept."""
+"""From raw documents to packed training sequences: each stage works on all that the one before it kept.
+
+Stages keep the columns of ``documents`` (doc_id, text, lang, source, n_chars), the last one returns token pieces with their places in
+sequences. Rows are told apart by a number of their own, so null and repeated ids are no matter. An empty table passes all stages.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from propensity.llm.decontaminate import decontaminate
+from propensity.llm.near_duplicates import near_duplicates
+from propensity.llm.packing import packed_documents
+from propensity.llm.quality import selected
+from propensity.llm.secrets import redacted, secret_spans
 from propensity.session import materialize
 
+ROW = "row_number"
+
+
+def numbered(docs: DataFrame) -> DataFrame:
+    """The rows with a number each, written once so that the numbers hold in every later job."""
+    return materialize(docs.withColumn(ROW, F.monotonically_increasing_id()))
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose probability of good quality is below one half go."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return selected(docs, labels).where("keep").select(*docs.columns)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each class of near-duplicates the document with the smallest id stays."""
+    rows = numbered(docs)
+    classes = near_duplicates(rows.select(F.struct("doc_id", ROW).alias("key"), "text"), "key")
+    return rows.join(classes.where("first").select(f"key.{ROW}"), ROW, "left_semi").select(*docs.columns)
+
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a window of a benchmark item go."""
+    rows = numbered(docs)
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    hit = decontaminate(docs, items).where("n_hit > 0").select("doc_id").distinct()
-    return docs.join(hit, "doc_id", "left_anti")
+    hit = decontaminate(rows, items, doc_id=ROW).where("n_hit > 0").select(ROW)
+    return rows.join(hit, ROW, "left_anti").select(*docs.columns)
+
+
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are replaced by a mark; every document stays."""
+    found = secret_spans(docs)
+    clean = F.struct(redacted(F.col("text"), F.col("spans")).alias("text"))
+    changed = F.size("spans") > 0
+    values = {"text": F.col("clean.text"), "n_chars": F.when(changed, F.length("clean.text").cast("long")).otherwise(F.col("n_chars"))}
+    return found.withColumn("clean", clean).select(*[values.get(c, F.col(c)).alias(c) for c in docs.columns])
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces with their sequence and offset."""
+    return packed_documents(docs)
 
 
-STAGES = [("decontamination", decontamination)]
+STAGES = [
+    ("quality", quality),
+    ("near_dedup", near_dedup),
+    ("decontamination", decontamination),
+    ("secrets", secrets),
+    ("packing", packing),
+]
+#: Model fits, sketches and tokenizers are no SQL; the stages are tested against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the whole of ``documents``; what a stage returns is written and read again for the next."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    for _, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir))
-    return docs
+    return STAGES[-1][1](spark, docs, sf_dir)
