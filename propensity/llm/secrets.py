@@ -134,6 +134,10 @@ def redacted(text: Column, spans: Column, mark: str = "[REDACTED]") -> Column:
     return F.when(F.size(spans) == 0, text).otherwise(F.concat(done.out, F.substr(text, (done["at"] + 1).cast("int"))))
 
 
+def counted(spans: Column, kind: str) -> Column:
+    return F.size(F.filter(spans, lambda x: x.kind == kind)).cast("long")
+
+
 def joined(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x.kind, x.start.cast("string"), x.end.cast("string"))), ",")
 
@@ -143,7 +147,7 @@ def op9_secrets(spark, sf_dir: str) -> DataFrame:
     base = F.filter("spans", lambda x: x.kind != "random")
     return secret_spans(docs).select(
         "doc_id",
-        *[F.size(F.filter("spans", lambda x, k=k: x.kind == k)).cast("long").alias(f"n_{k}") for k in KINDS[:3]],
+        *[counted(F.col("spans"), kind).alias(f"n_{kind}") for kind in KINDS[:3]],
         F.sha2(joined(base), 256).alias("base_sha256"),
         joined(F.col("spans")).alias("spans"),
     )
