@@ -69,5 +69,5 @@ def test_redaction(spark):
 
 
 def test_known_forms():
-    assert all(map(known_form, ("a" * 40, "0" * 20, "2024-01-01T00-00-00Z" + "0", "some-long-slug-of-plain-words", "3f" * 32)))
+    assert all(map(known_form, ("a" * 40, "0" * 20, "2024-01-01T00-00-00Z", "some-long-slug-of-plain-words", "3f" * 32)))
     assert not known_form(RANDOM)
