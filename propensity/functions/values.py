@@ -74,11 +74,6 @@ def right_closed_bin(column: str, edges: Sequence[float]) -> Column:
     return _first_match(column, [("<=", e) for e in edges[1:-1]])
 
 
-def segment(column: str, brackets: Sequence[tuple[float, float]]) -> Column:
-    """2j + 1 inside the closed bracket j of ascending disjoint brackets, 2j in the gap before it."""
-    return _first_match(column, [test for low, high in brackets for test in (("<", low), ("<=", high))])
-
-
 def _first_match(column: str, tests: Sequence[tuple[str, float]]) -> Column:
     """Number of the first test a double column passes. A CASE chain stops early and stays in generated code."""
     chain = " ".join(f"WHEN `{column}` {sign} {number_sql(x)} THEN {i}" for i, (sign, x) in enumerate(tests))

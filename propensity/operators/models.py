@@ -21,8 +21,9 @@ from propensity.spec import TableSpec
 LABEL = "_label"
 SCORE = "score"
 HOLDOUT = "_holdout"
-SMALL_TABLE = 1_000_000
-ROWS_PER_TASK = 2_000
+PLACE = "_place"
+ROWS_PER_TASK = 4_000
+PATIENCE, LEAST_GAIN = 10, 1e-7
 
 
 @dataclass(frozen=True)
@@ -36,6 +37,7 @@ class Candidate:
     def estimator(self, rows: int) -> Estimator | None:
         options = dict(self.settings)
         kind = options.pop("kind")
+        options.pop("early_stop", None)
         common = {"featuresCol": VECTOR, "labelCol": LABEL}
         if kind == "prior":
             return None
@@ -50,12 +52,17 @@ class Candidate:
         return GBTClassifier(cacheNodeIds=False, checkpointInterval=10, **common, **options)
 
 
-def candidates(seed: int = 42) -> list[Candidate]:
-    """Fixed settings of the nine candidates, in order of preference on equal precision."""
-    boosted = {"kind": "boosted", "seed": seed}
-    forest = {"kind": "forest", "numTrees": 300, "minInstancesPerNode": 20, "featureSubsetStrategy": "0.8", "seed": seed}
-    # Depth is unbounded in single-machine forests; 12 keeps a level's statistics inside executor memory.
-    forest["maxDepth"] = 12
+def candidates(seed: int = 42, forest_depth: int = 12, bins: int = 255) -> list[Candidate]:
+    """Settings of the nine candidates, in order of preference on equal precision.
+
+    Depth is unbounded in single-machine forests; ``forest_depth`` keeps a level's statistics inside executor memory.
+    ``bins`` split candidates per number, as many as the histogram learners take.
+    """
+    # a level's statistics of many trees fit in one pass at this size
+    trees = {"seed": seed, "maxBins": bins, "maxMemoryInMB": 1024}
+    boosted = {"kind": "boosted", **trees}
+    forest = {"kind": "forest", "numTrees": 300, "minInstancesPerNode": 20, "featureSubsetStrategy": "0.8", **trees}
+    forest["maxDepth"] = forest_depth
     return [
         Candidate("dummy_prior", "linear", {"kind": "prior"}),
         Candidate("logistic_regression", "linear", {"kind": "logistic", "C": 0.5, "maxIter": 1000}),
@@ -76,7 +83,7 @@ def candidates(seed: int = 42) -> list[Candidate]:
                 "maxDepth": 4,
                 "stepSize": 0.06,
                 "minInstancesPerNode": 40,
-                "validationIndicatorCol": HOLDOUT,
+                "early_stop": True,
             },
         ),
         Candidate("gbt_categorical_depth_4", "native", {**boosted, "maxIter": 300, "maxDepth": 4, "stepSize": 0.04}),
@@ -110,23 +117,50 @@ def fit(train: DataFrame, spec: TableSpec, model: Candidate, preparation: Pipeli
     preparation = preparation or fit_preparation(train, spec, model.preparation)
     holdout = F.pmod(F.xxhash64(F.col(spec.id).cast("string")), F.lit(100)) < 15
     prepared = preparation.transform(
-        train.withColumns({LABEL: F.col(spec.target).cast("double"), HOLDOUT: holdout})
-    ).select(VECTOR, LABEL, HOLDOUT)
+        train.withColumns({LABEL: F.col(spec.target).cast("double"), HOLDOUT: holdout, PLACE: F.col(spec.id).cast("string")})
+    ).select(VECTOR, LABEL, HOLDOUT, PLACE)
     estimator = model.estimator(labels["n"])
     if estimator.hasParam("maxBins"):
-        estimator.set(estimator.getParam("maxBins"), max(32, _widest_category(prepared) + 1))
-    if labels["n"] <= SMALL_TABLE:
-        # A small table sits in one or two files; its many passes should still use all cores.
-        tasks = min(train.sparkSession.sparkContext.defaultParallelism, labels["n"] // ROWS_PER_TASK)
-        prepared = prepared.repartition(max(1, tasks))
+        estimator.set(estimator.getParam("maxBins"), max(estimator.getOrDefault("maxBins"), _widest_category(prepared) + 1))
+    # Trees draw rows by partition: a row's partition and place follow from its id and the number of rows alone.
+    prepared = placed_by_id(prepared, labels["n"])
     prepared.persist()  # read by every pass; a lost block is recomputed
     try:
+        if model.settings.get("early_stop"):
+            estimator.set(estimator.maxIter, best_rounds(estimator, prepared))
         fitted = estimator.fit(prepared)
     finally:
         prepared.unpersist()
     return PipelineModel([*preparation.stages, fitted])
 
 
+def placed_by_id(prepared: DataFrame, rows: int) -> DataFrame:
+    """The rows in partitions that depend on their ids and number only, so a model does not depend on the cluster."""
+    parts = max(1, -(-rows // ROWS_PER_TASK))
+    slot = F.pmod(F.xxhash64(PLACE), F.lit(parts)).cast("int")
+    # one range for each slot number: the bounds are the numbers themselves, not a sample of the rows
+    return prepared.repartitionById(parts, slot).sortWithinPartitions(PLACE).drop(PLACE)
+
+
+def best_rounds(estimator: GBTClassifier, prepared: DataFrame) -> int:
+    """Rounds after which the loss on the held-out rows gains less than ``LEAST_GAIN`` for ``PATIENCE`` rounds in a row."""
+    trial = estimator.fit(prepared.where(~F.col(HOLDOUT)))
+    return stop_round(trial.evaluateEachIteration(prepared.where(HOLDOUT), "logistic"))
+
+
+def stop_round(losses: list[float]) -> int:
+    """The round the rule stops at: ``PATIENCE`` rounds in a row without a gain over the best loss so far, or the last one."""
+    best, waited = float("inf"), 0
+    for n, loss in enumerate(losses, 1):
+        if loss < best - LEAST_GAIN:
+            best, waited = loss, 0
+        else:
+            waited += 1
+            if waited == PATIENCE:
+                return n
+    return max(1, len(losses))
+
+
 def _widest_category(prepared: DataFrame) -> int:
     attributes = prepared.schema[VECTOR].metadata.get("ml_attr", {}).get("attrs", {}).get("nominal", [])
     return max((len(a.get("vals", [])) for a in attributes), default=0)

@@ -8,19 +8,17 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterable, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from propensity.functions import values as v
 from propensity.session import materialize
 
 SLICE = "_slice"
 POSITION = "_position"
 
-# Larger lookup frames are left to Spark's choice of join.
-BROADCAST_ROWS = 1_000_000
-
 # A slice number sits above bit 33 of Spark's increasing id, the row's place in the slice below it.
 _PLACE_MASK = (1 << 33) - 1
 
@@ -43,12 +41,6 @@ def placed_in_slices(df: DataFrame, keys: Sequence[Column], slices: int | None =
     )
 
 
-def _join_offsets(rows: DataFrame, offsets: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Join per-slice numbers back. Without groups they are as few as the slices; with groups they are counted."""
-    few = not by or offsets.count() <= BROADCAST_ROWS
-    return rows.join(F.broadcast(offsets) if few else offsets, [SLICE, *by])
-
-
 def global_rank(
     df: DataFrame,
     order: Sequence[Column],
@@ -73,7 +65,7 @@ def global_rank(
         (F.coalesce(F.sum("_rows").over(ahead), F.lit(0)) - F.col("_first") + 1).alias("_shift"),
         F.sum("_rows").over(whole).alias("_total"),
     )
-    ranked = _join_offsets(placed, offsets, by)
+    ranked = placed.join(offsets, [SLICE, *by])  # as many rows as slices and groups; the join is Spark's choice
     extra = [F.col("_total").alias(total)] if total else []
     return ranked.select(*df.columns, (F.col(POSITION) + F.col("_shift")).cast("long").alias(rank), *extra)
 
@@ -100,16 +92,27 @@ def running_totals(
     offsets = pieces.select(
         SLICE, *by, *[F.coalesce(F.sum(f"_all_{name}").over(ahead), F.lit(0)).alias(f"_off_{name}") for name in sums]
     )
-    return _join_offsets(local, offsets, by).select(
+    return local.join(offsets, [SLICE, *by]).select(
         *df.columns, *[(F.col(f"_in_{name}") + F.col(f"_off_{name}")).alias(name) for name in sums]
     )
 
 
 # --- order statistics ---------------------------------------------------------------------------
 
-_TIGHT, _WIDE = 2e-4, 1e-2
-_ACCURACY = 10_000
-_TIGHT_ROWS, _WIDE_ROWS = 20_000, 200
+BINS = 256
+VALUES = 1_000  # rows of an interval from which the values themselves are fetched
+_EXACT = 1 << 53
+
+
+@dataclass
+class _Interval:
+    """Values from ``low`` to ``high`` (both occur), ``rows`` of them, ``below`` rows before, and the places sought in it."""
+
+    low: float
+    high: float
+    rows: int
+    below: int
+    places: list[int]
 
 
 def order_statistics(df: DataFrame, wanted: Mapping[str, Iterable[tuple[float, str]]]) -> dict:
@@ -119,28 +122,99 @@ def order_statistics(df: DataFrame, wanted: Mapping[str, Iterable[tuple[float, s
     (place ``(n-1)*share`` rounded half to even). Returns ``{column: {(share, how): value}}``; None if a
     column has no value.
 
-    A sketch brackets each wanted place; one more scan counts the values outside the brackets and keeps
-    the distinct values inside them, a small share of the data, from which the exact one is picked.
-    No column is ever sorted as a whole, and a place the sketch missed is looked up in a further scan.
+    Each scan counts the values of the intervals that hold an open place in ``BINS`` equal bins; a place's bin, from its
+    smallest to its largest value, is its next interval. From an interval with few rows the distinct values are fetched. The
+    smallest and the largest value of an interval fall into different bins, so every scan narrows it, and a bin with one value is found. What
+    moves are counters, at most ``BINS`` for each place and task; no column is sorted and no value has a task of its own.
+
+    NaN counts as null. Whole numbers beyond 2^53 are refused, as they are no longer exact as doubles.
     """
     wanted = {c: list(dict.fromkeys(pairs)) for c, pairs in wanted.items()}
     if not wanted:
         return {}
-    sketches = _sketch(df, wanted)
-    counts = {c: s["n"] for c, s in sketches.items()}
-    places = {
-        c: sorted({p for share, how in pairs for p in _places(counts[c], share, how)})
-        for c, pairs in wanted.items()
-        if counts[c]
-    }
-    brackets = {c: _brackets(sketches[c], wanted[c]) for c in places}
-    found: dict[str, dict[int, float]] = {c: {} for c in places}
-    while open_places := {c: [p for p in ps if p not in found[c]] for c, ps in places.items() if len(found[c]) < len(ps)}:
-        brackets = _pick(df, open_places, brackets, found)
-    return {
-        c: {pair: _value(found.get(c, {}), counts[c], *pair) if counts[c] else None for pair in pairs}
-        for c, pairs in wanted.items()
-    }
+    doubles, facts = _doubles(df, list(wanted))
+    found: dict[str, dict[int, float]] = {c: {} for c in wanted}
+    open_: list[tuple[str, _Interval]] = []
+    for c, pairs in wanted.items():
+        f = facts[c]
+        places = sorted({p for share, how in pairs for p in _places(f["n"], share, how)}) if f["n"] else []
+        for p in places:
+            if p < f["least"]:
+                found[c][p] = -math.inf
+            elif p >= f["n"] - f["most"]:
+                found[c][p] = math.inf
+        inner = [p for p in places if p not in found[c]]
+        if inner:
+            open_.append((c, _Interval(f["low"], f["high"], f["n"] - f["least"] - f["most"], f["least"], inner)))
+    open_ = _settled(open_, found)
+    while open_:
+        open_ = _settled(_narrowed(doubles, open_, found), found)
+    return {c: {pair: _value(found[c], facts[c]["n"], *pair) if facts[c]["n"] else None for pair in pairs} for c, pairs in wanted.items()}
+
+
+def _doubles(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, dict[str, dict]]:
+    """The columns as doubles without NaN, and of each its rows, infinite rows and finite ends, in one pass."""
+    whole = {f.name for f in df.schema if isinstance(f.dataType, (T.LongType, T.DecimalType))}
+    doubles = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in columns])
+    aggregates = []
+    for i, c in enumerate(columns):
+        x = F.col(c)
+        finite = F.when(F.abs(x) < math.inf, x)
+        aggregates += [
+            F.struct(
+                F.count(x).alias("n"),
+                F.count_if(x == -math.inf).alias("least"),
+                F.count_if(x == math.inf).alias("most"),
+                F.min(finite).alias("low"),
+                F.max(finite).alias("high"),
+            ).alias(f"f{i}")
+        ]
+    row = doubles.agg(*aggregates).first()
+    facts = {c: row[f"f{i}"].asDict() for i, c in enumerate(columns)}
+    for c in whole & set(columns):
+        if facts[c]["low"] is not None and max(-facts[c]["low"], facts[c]["high"]) >= _EXACT:
+            raise ValueError(f"column {c} has whole numbers beyond 2^53, which have no exact place as doubles")
+    return doubles, facts
+
+
+def _settled(intervals: list[tuple[str, _Interval]], found: dict) -> list[tuple[str, _Interval]]:
+    """Intervals with more than one value; places in the others are found."""
+    rest = []
+    for c, x in intervals:
+        if x.low == x.high:
+            found[c].update(dict.fromkeys(x.places, x.low))
+        else:
+            rest.append((c, x))
+    return rest
+
+
+def _narrowed(doubles: DataFrame, intervals: list[tuple[str, _Interval]], found: dict) -> list[tuple[str, _Interval]]:
+    """One scan: places of small intervals go to ``found``, of the others the intervals of the next scan are returned."""
+    cells = []
+    for i, (c, x) in enumerate(intervals):
+        value = F.col(c)
+        # halves, so that the width of an interval is finite
+        share = (value / 2 - x.low / 2) / (x.high / 2 - x.low / 2)
+        bin_ = F.least(F.floor(share * BINS), F.lit(BINS - 1)).cast("int") if x.rows > VALUES else F.lit(None).cast("int")
+        inside = (value >= x.low) & (value <= x.high)
+        cells.append(F.when(inside, F.struct(F.lit(i).alias("i"), bin_.alias("bin"), F.when(F.lit(x.rows <= VALUES), value).alias("exact"), value.alias("value"))))
+    hits = doubles.select(F.explode(F.array(*cells)).alias("x")).where("x IS NOT NULL").select("x.*")
+    counted = hits.groupBy("i", "bin", "exact").agg(F.count("*").alias("rows"), F.min("value").alias("low"), F.max("value").alias("high"))
+    parts: dict[int, list] = {}
+    for r in counted.collect():  # BINS or VALUES rows for each interval at most
+        parts.setdefault(r["i"], []).append((r["low"], r["high"], r["rows"]))
+    following = []
+    for i, (c, x) in enumerate(intervals):
+        below, places = x.below, list(x.places)
+        for low, high, rows in sorted(parts[i]):
+            mine = [p for p in places if below <= p < below + rows]
+            if mine:
+                following.append((c, _Interval(low, high, rows, below, mine)))
+            below += rows
+        left = len(places) - sum(len(y.places) for name, y in following if name == c and y.below >= x.below and y.below < x.below + x.rows)
+        if left or below != x.below + x.rows:
+            raise RuntimeError(f"column {c} changed between two scans; materialize the frame first")
+    return following
 
 
 def quantiles(df: DataFrame, columns: Sequence[str], shares: Sequence[float]) -> dict[str, list[float | None]]:
@@ -167,93 +241,3 @@ def _value(found: Mapping[int, float], n: int, share: float, how: str) -> float:
     low, high, part = found[math.floor(at)], found[math.ceil(at)], at - math.floor(at)
     gap = high - low
     return low + gap * part if part < 0.5 else high - gap * (1 - part)
-
-
-def _around(pairs: list) -> list[float]:
-    return sorted({min(1.0, max(0.0, share + side)) for share, _ in pairs for side in (-_WIDE, -_TIGHT, _TIGHT, _WIDE)})
-
-
-def _sketch(df: DataFrame, wanted: Mapping[str, list]) -> dict[str, dict]:
-    """Count plus approximate values around each wanted share, for all columns in one pass."""
-    aggregates = []
-    for i, (c, pairs) in enumerate(wanted.items()):
-        near = F.percentile_approx(F.col(c).cast("double"), _around(pairs), _ACCURACY)
-        aggregates += [F.count(c).alias(f"n{i}"), near.alias(f"q{i}")]
-    row = df.agg(*aggregates).first()
-    return {
-        c: {"n": row[f"n{i}"], "at": dict(zip(_around(pairs), row[f"q{i}"] or []))}
-        for i, (c, pairs) in enumerate(wanted.items())
-    }
-
-
-def _brackets(sketch: dict, pairs: list) -> list[tuple[float, float]]:
-    """Disjoint closed value intervals, each holding at least one wanted place."""
-    if sketch["n"] < _WIDE_ROWS:
-        return [(-math.inf, math.inf)]
-    side = _TIGHT if sketch["n"] >= _TIGHT_ROWS else _WIDE
-    raw = []
-    for share, _ in pairs:
-        low = sketch["at"][min(1.0, max(0.0, share - side))] if share - side > 0 else -math.inf
-        high = sketch["at"][min(1.0, max(0.0, share + side))] if share + side < 1 else math.inf
-        raw.append((low, high))
-    return _merged(raw)
-
-
-def _merged(intervals: list[tuple[float, float]]) -> list[tuple[float, float]]:
-    merged: list[tuple[float, float]] = []
-    for low, high in sorted(intervals):
-        if merged and low <= merged[-1][1]:
-            merged[-1] = (merged[-1][0], max(high, merged[-1][1]))
-        else:
-            merged.append((low, high))
-    return merged
-
-
-def _pick(df: DataFrame, places: Mapping[str, list[int]], brackets: Mapping[str, list], found: dict) -> dict:
-    """Fill ``found`` with the values at ``places``; return the brackets for the places still open.
-
-    Segment 2j is the gap before bracket j, segment 2j+1 the bracket itself.
-    """
-    # Segments first, cells second: each segment expression is then evaluated once.
-    doubles = df.select(*[F.col(c).cast("double").alias(c) for c in places])
-    placed = doubles.select("*", *[v.segment(c, brackets[c]).alias(f"_segment_{c}") for c in places])
-    cells = ", ".join(
-        f"struct('{c}' AS feature, `_segment_{c}` AS segment, IF(`_segment_{c}` % 2 = 1, `{c}`, NULL) AS value)" for c in places
-    )
-    condensed = materialize(
-        placed.selectExpr(f"inline(array({cells}))")
-        .where("segment is not null")
-        .groupBy("feature", "segment", "value")
-        .count()
-    )
-    sizes = {
-        (r["feature"], r["segment"]): r["n"]
-        for r in condensed.groupBy("feature", "segment").agg(F.sum("count").alias("n")).collect()
-    }
-    targets, still_open = [], {}
-    for c, ps in places.items():
-        missed = []
-        for p in ps:
-            start, segment = 0, 0
-            while start + sizes.get((c, segment), 0) <= p:
-                start += sizes.get((c, segment), 0)
-                segment += 1
-            if segment % 2:
-                targets.append((c, segment, p, p - start))
-            else:
-                j = segment // 2
-                low = brackets[c][j - 1][1] if j else -math.inf
-                high = brackets[c][j][0] if j < len(brackets[c]) else math.inf
-                missed.append((low, high))
-        still_open[c] = _merged(missed)
-    if targets:
-        # A bracket holds at most a fixed small share of a column, one row per distinct value.
-        upto = Window.partitionBy("feature", "segment").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-        values = condensed.where("value is not null").withColumn("_upto", F.sum("count").over(upto))
-        goals = df.sparkSession.createDataFrame(targets, "feature string, segment int, place long, inside long")
-        hits = values.join(F.broadcast(goals), ["feature", "segment"]).where(
-            (F.col("inside") < F.col("_upto")) & (F.col("inside") >= F.col("_upto") - F.col("count"))
-        )
-        for r in hits.select("feature", "place", "value").collect():
-            found[r["feature"]][r["place"]] = r["value"]
-    return still_open

@@ -20,10 +20,10 @@ from propensity.plans.bindings import (
     table,
 )
 from propensity.plans.registry import query
-from propensity.session import shared_dir
+from propensity.session import materialize, shared_dir
 from propensity.sources.store import CONSTRAINTS, ScoringBatch, Store, latest_scores, now, top_leads
 from propensity.sources.text_files import number_rows, read_text_csv, write_text_csv
-from propensity.spec import ROW_NUMBER
+from propensity.spec import ROW_NUMBER, DataContractError
 
 
 def _folder(spark: SparkSession) -> str:
@@ -156,16 +156,57 @@ def stored_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     store.initialize()
     moment = now()
     batch = ScoringBatch(str(uuid.uuid4()), "rule-v1", "orders", moment, moment, moment)
+    store.register_source("orders", "orders.parquet", table(spark, sf_dir, "orders").count())
+    ranked = _with_lineage(rank_leads(scored_orders(spark, sf_dir), 0.1), batch)
+    store.write_scores(ranked, batch)
+    store.write_scores(ranked, batch)
+    return store.load_latest_scores().select("lead_id", "purchase_probability", "priority_rank", "priority_tier")
+
+
+def _with_lineage(ranked: DataFrame, batch: ScoringBatch) -> DataFrame:
     lineage = {
         "scoring_batch_id": F.lit(batch.scoring_batch_id),
-        "scored_at": F.lit(moment),
+        "scored_at": F.lit(batch.completed_at),
         "model_version": F.lit(batch.model_version),
-        "data_as_of": F.lit(moment),
+        "data_as_of": F.lit(batch.data_as_of),
     }
-    ranked = rank_leads(scored_orders(spark, sf_dir), 0.1).withColumns(lineage)
-    store.write_scores(ranked, batch)
-    store.write_scores(ranked, batch)
-    return store.load_latest_scores().select("lead_id", "purchase_probability", "priority_rank", "priority_tier")
+    return ranked.withColumns(lineage)
+
+
+@query("""SELECT 'good' AS batch, '' AS broken, (SELECT count(*) FROM orders) AS visible
+UNION ALL SELECT 'probability', 'check:purchase_probability', 0
+UNION ALL SELECT 'rank', 'unique:scoring_batch_id,priority_rank', 0
+UNION ALL SELECT 'tier', 'check:priority_tier', 0
+UNION ALL SELECT 'missing', 'not_null:lead_id', 0
+UNION ALL SELECT 'source', 'references:source_hash', 0""")
+def guarded_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches that break one rule each are refused with the rule's name and stay invisible; the good one is stored."""
+    store = Store(spark, _folder(spark))
+    store.initialize()
+    moment = now()
+    store.register_source("orders", "orders.parquet", table(spark, sf_dir, "orders").count())
+    ranked = materialize(rank_leads(scored_orders(spark, sf_dir), 0.1))
+    second = F.col("priority_rank") == 2
+    versions = {
+        "good": ranked,
+        "probability": ranked.withColumn("purchase_probability", F.when(second, 1.7).otherwise(F.col("purchase_probability"))),
+        "rank": ranked.withColumn("priority_rank", F.when(second, 1).otherwise(F.col("priority_rank")).cast("long")),
+        "tier": ranked.withColumn("priority_tier", F.when(second, "maybe").otherwise(F.col("priority_tier"))),
+        "missing": ranked.withColumn("lead_id", F.when(~second, F.col("lead_id"))),
+        "source": ranked,
+    }
+    outcomes = []
+    for name, rows in versions.items():
+        batch = ScoringBatch(name, "rule-v1", "unknown" if name == "source" else "orders", moment, moment, moment)
+        broken = ""
+        try:
+            store.write_scores(_with_lineage(rows, batch), batch)
+        except DataContractError as error:
+            broken = str(error).split("breaks ")[1].rsplit(" (", 1)[0]
+        outcomes.append((name, broken))
+    committed = store.table("scoring_batches").select(F.col("scoring_batch_id").alias("batch"), F.col("row_count").alias("visible"))
+    found = spark.createDataFrame(outcomes, "batch string, broken string")
+    return found.join(committed, "batch", "left").select("batch", "broken", F.coalesce("visible", F.lit(0).cast("long")).alias("visible"))
 
 
 @query(f"""WITH {sql.LEADS} SELECT (SELECT count(*) FROM leads) AS rows, 1 AS batches, 0 AS violations""")

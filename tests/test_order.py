@@ -66,12 +66,36 @@ def test_quantiles_match_numpy_to_the_bit(values, rows):
         assert got[c] == (list(np.quantile(known, shares)) if len(known) else [None] * 11)
 
 
-def test_missed_places_are_looked_up_again(values, monkeypatch):
+@pytest.mark.parametrize("bins, limit", [(2, 1), (3, 7), (256, 1), (256, 10**9)])
+def test_places_need_any_number_of_scans(values, monkeypatch, bins, limit):
     from propensity.operators import order
 
-    monkeypatch.setattr(order, "_brackets", lambda sketch, pairs: [(2.0, 3.0)])
-    got = quantiles(values, ["score"], [0.25, 0.5])
-    assert got["score"] == list(np.quantile(values.toPandas()["score"], [0.25, 0.5]))
+    monkeypatch.setattr(order, "BINS", bins)
+    monkeypatch.setattr(order, "VALUES", limit)
+    part = values.where("id < 3000")
+    got = quantiles(part, ["score"], [0.25, 0.5, 1.0])
+    assert got["score"] == list(np.quantile(part.toPandas()["score"], [0.25, 0.5, 1.0]))
+
+
+def test_nan_infinities_and_wide_ranges(spark):
+    inf, nan = float("inf"), float("nan")
+    rows = [(1.0, -inf, 1e308, 7.0), (2.0, 0.0, -1e308, 7.0), (nan, inf, 1e-300, 7.0), (None, inf, 0.0, 7.0), (nan, nan, 5.0, 7.0)]
+    frame = spark.createDataFrame(rows, "a double, b double, c double, d double")
+    wanted = {c: [(k / 4, "nearest") for k in range(5)] for c in "abcd"}
+    found = {c: list(x.values()) for c, x in order_statistics(frame, wanted).items()}
+    assert found["a"] == [1.0, 1.0, 1.0, 2.0, 2.0]  # places 0, 0.25, 0.5, 0.75, 1 round half to even
+    assert found["b"] == [-inf, 0.0, inf, inf, inf]
+    assert found["c"] == [-1e308, 0.0, 1e-300, 5.0, 1e308]
+    assert found["d"] == [7.0] * 5
+    assert order_statistics(frame.where("a = 9"), {"a": [(0.5, "linear")]}) == {"a": {(0.5, "linear"): None}}
+    assert order_statistics(frame.where("isnan(a)").select("a"), {"a": [(1.0, "linear")]}) == {"a": {(1.0, "linear"): None}}
+
+
+def test_whole_numbers_beyond_doubles_are_refused(spark):
+    frame = spark.createDataFrame([((1 << 53) + 1,), (5,)], "x long")
+    with pytest.raises(ValueError):
+        quantiles(frame, ["x"], [0.5])
+    assert quantiles(frame.where("x = 5"), ["x"], [0.5]) == {"x": [5.0]}
 
 
 def test_nearest_rounds_half_to_even(spark):
