@@ -1,0 +1,100 @@
+from __future__ import annotations
+
+import re
+
+from pyspark.sql import functions as F
+
+from propensity.llm import pii
+from propensity.llm.pii import op2_surrogates, pseudonymised
+
+SF = "/root/testdata/sf0.01"
+MAIL = re.compile(r"[A-Za-z0-9_%+.-]+@[A-Za-z0-9.-]+[A-Za-z]")
+CARD = re.compile(r"(?<!\d)\d{16}(?!\d)")
+
+
+def luhn(number):
+    digits = [int(c) for c in reversed(number)]
+    return (sum(digits[::2]) + sum(d * 2 - 9 * (d > 4) for d in digits[1::2])) % 10 == 0
+
+
+def test_documents(spark):
+    old = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    rows = op2_surrogates(spark, SF).collect()
+    assert len(rows) == len(old)
+    known = {x for t in old.values() for x in MAIL.findall(t) + CARD.findall(t)}
+    pairs = set()
+    for r in rows:
+        text = old[r.doc_id]
+        assert r.n_entities == len(r.kinds) >= len(MAIL.findall(text)) + len(CARD.findall(text))
+        if not r.n_entities:
+            assert r.text == text
+        for p in (MAIL, CARD):
+            a, b = p.findall(text), p.findall(r.text)
+            assert len(a) == len(b) and not known & set(b)
+            pairs |= set(zip(a, b, strict=True))
+        assert all(map(luhn, CARD.findall(r.text)[: len(CARD.findall(text))]))
+    assert len({a for a, _ in pairs}) == len({b for _, b in pairs}) == len(pairs)  # one surrogate each, none twice
+
+
+TEXTS = [
+    "Write to Jo.Doe+x@Mail.Example.org or jo.doe+x@mail.example.org.",
+    "Call +1 (017) 555-7713, (017) 555 7713 or 017-555-7713; card 4111 1111 1111 1111 and 4111111111111111",
+    "Mr. Ivan Petrov met Mrs Anna SMITH and MR. Petrov; Frau Müller, Господин Иван Петров, Госпожа Анна Петрова",
+    "server 10.0.0.1 and 2001:0db8:85a3:0000:0000:8a2e:0370:7334, ssn 078-05-1120, DE89 3704 0044 0532 0130 00",
+    "version 1.2.3 and 12 apples, 1999-2004, 999.999.999.999, a@b",
+    None,
+    "",
+    "Κύριος Νίκος and Κυρία Ελένη, Mr 山田, Mr محمد",
+]
+
+
+def frame(spark):
+    return spark.createDataFrame([(i, t, 5) for i, t in enumerate(TEXTS)], "doc_id long, text string, kinds int")
+
+
+def test_forms(spark):
+    rows = {r.doc_id: r for r in pseudonymised(frame(spark), "k1").collect()}
+    a, b = MAIL.findall(rows[0].text)
+    assert a == b and a.split("@")[1] in ("example.com", "example.org", "example.net")
+    numbers = re.fullmatch(r"Call (\+1 \(\d{3}\) \d{3}-\d{4}), (\(\d{3}\) \d{3} \d{4}) or (\d{3}-\d{3}-\d{4}); card (\d{4} \d{4} \d{4} \d{4}) and (\d{16})", rows[1].text).groups()
+    assert re.sub(r"\D", "", numbers[1]) == re.sub(r"\D", "", numbers[2]) != "0175557713"
+    assert numbers[3].replace(" ", "") == numbers[4] and numbers[4][0] == "4" and luhn(numbers[4])
+    names = re.fullmatch(r"Mr\. (\S+) (\S+) met Mrs (\S+) (\S+) and MR\. Petrov; Frau (\S+), Господин (\S+) (\S+), Госпожа (\S+) (\S+)", rows[2].text).groups()
+    assert names[0].endswith("n") and names[2].endswith("na") and names[5].endswith("н") and names[7].endswith("на")
+    assert all(re.match("[A-Z][a-z]", n) for n in names[:2]) and all(re.match("[А-Я][а-я]", n) for n in names[5:])
+    assert not {"Ivan", "Petrov", "Müller", "Иван", "Анна"} & set(names)
+    assert re.fullmatch(r"server (\d+\.){3}\d+ and 2001:db8(:[0-9a-f]{4}){6}, ssn \d{3}-\d{2}-\d{4}, DE\d\d( \d{4}){4} \d\d", rows[3].text)
+    assert "10.0.0.1" not in rows[3].text and rows[3].kinds == ["ipv4", "ipv6", "ssn", "iban"]
+    assert rows[4].text == TEXTS[4] and rows[5].text is None and rows[6].text == "" and rows[5].n_entities == 0
+    assert re.fullmatch(r"Κύριος [Α-ω]+ς? and Κυρία [Α-ω]+, Mr [一-鿿]+, Mr [ء-ي]+", rows[7].text), rows[7].text
+
+
+def test_keys_and_partitions(spark):
+    one, again, other = (
+        {r.doc_id: r.text for r in pseudonymised(f, k).collect()} for f, k in ((frame(spark), "k1"), (frame(spark).repartition(5), "k1"), (frame(spark), "k2"))
+    )
+    assert one == again and one[0] != other[0] and one[2] != other[2]
+
+
+def test_collisions_are_drawn_again(spark, monkeypatch):
+    """With few possible surrogates, some of them real entities, every entity still gets its own."""
+    known = spark.range(40).selectExpr("'name' AS kind", "concat('n', id) AS entity", "'n' AS gender", "array('x') AS parts")
+
+    def narrow(key, kind, entity, gender, parts, attempt):
+        return F.concat(F.lit("n"), F.pmod(F.xxhash64(entity, attempt, F.lit(key)), F.lit(100)).cast("string"))
+
+    monkeypatch.setattr(pii, "surrogate", narrow)
+    made = [r.made for r in pii.distinct_surrogates(known, "k").collect()]
+    assert len(made) == len(set(made)) == 40 and not set(made) & {f"n{i}" for i in range(40)}
+
+
+def test_repeats_and_empty_tables(spark):
+    df = spark.createDataFrame([(1, "x a@b.org"), (1, "x a@b.org"), (None, "y a@b.org")], "doc_id long, text string")
+    texts = [r.text for r in pseudonymised(df).collect()]
+    assert len(texts) == 3 and len({t[2:] for t in texts}) == 1
+    assert pseudonymised(df.limit(0)).count() == 0
+
+
+def test_plan_is_native(spark):
+    plan = pseudonymised(frame(spark))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
