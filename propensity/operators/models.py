@@ -145,7 +145,7 @@ def placed_by_id(prepared: DataFrame, rows: int) -> DataFrame:
 def best_rounds(estimator: GBTClassifier, prepared: DataFrame) -> int:
     """Rounds after which the loss on the held-out rows gains less than ``LEAST_GAIN`` for ``PATIENCE`` rounds in a row."""
     trial = estimator.fit(prepared.where(~F.col(HOLDOUT)))
-    return stop_round(trial.evaluateEachIteration(prepared.where(HOLDOUT), "logistic"))
+    return stop_round(trial.evaluateEachIteration(prepared.where(HOLDOUT)))
 
 
 def stop_round(losses: list[float]) -> int:

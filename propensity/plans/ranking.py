@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from propensity.operators import quality
 from propensity.operators.clean import keep_earliest
-from propensity.operators.scoring import rank_leads
+from propensity.operators.scoring import rank_leads, top_leads
 from propensity.plans import sql
 from propensity.plans.bindings import LINE_RECORDS, line_records, order_leads, rational_score
 from propensity.plans.registry import query
@@ -26,10 +26,13 @@ tiered AS (
   FROM ranked)"""
 
 
-def _listed(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     value = F.col("total_price") + 1000 * F.coalesce("quantity", F.lit(0.0))
-    leads = order_leads(spark, sf_dir).select("lead_id", rational_score(value, 200000.0).alias("score"))
-    return rank_leads(leads, FRACTION, id="lead_id")
+    return order_leads(spark, sf_dir).select("lead_id", rational_score(value, 200000.0).alias("score"))
+
+
+def _listed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rank_leads(_scored(spark, sf_dir), FRACTION, id="lead_id")
 
 
 @query(f"{_LISTED} SELECT * FROM tiered")
@@ -49,7 +52,7 @@ def tier_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"{_LISTED} SELECT * FROM tiered ORDER BY priority_rank LIMIT 100")
 def top_100(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The report of the hundred best leads."""
-    return _listed(spark, sf_dir).orderBy("priority_rank").limit(100)
+    return top_leads(_scored(spark, sf_dir), FRACTION, 100, id="lead_id")
 
 
 @query(f"""WITH {sql.LINES}

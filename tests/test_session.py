@@ -57,8 +57,10 @@ def test_empty_frames_keep_their_schema(spark):
     assert empty.count() == 0 and empty.dtypes == [("a", "int"), ("b", "string")]
 
 
-def test_frames_can_be_dropped(spark):
+def test_only_own_frames_are_dropped(spark):
     frame = materialize(spark.range(3))
     path = Path(frame.inputFiles()[0].removeprefix("file://"))
+    foreign = path.parent.parent.parent / "another-application" / "frame"
+    foreign.mkdir(parents=True)
     drop_frames(spark)
-    assert not path.exists()
+    assert not path.exists() and foreign.exists()
