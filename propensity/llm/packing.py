@@ -22,10 +22,12 @@ import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from propensity.llm.words import runs, slices, span_hashes
 from propensity.session import materialize
 
 CAPACITY = 2048
@@ -35,10 +37,14 @@ EPOCHS = 2
 GENERATIONS = 4
 POPULATION = 4
 WASTE = 8  # free tokens up to which a sequence is kept as it is
-MEMO = 300_000
+SLICE = 4 << 20  # bytes of text whose distinct words are looked up together
+MEMO = 500_000  # words of one generation of the memory for their ids
 
-_memo: dict[str, bytes] = {}
+_recent: dict[bytes, bytes] = {}
+_older: dict[bytes, bytes] = {}
 _tokenizers: dict[str, object] = {}
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[0x41:0x5B] += 0x20
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -52,29 +58,51 @@ def _tokenizer(path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        _memo.clear()
-        _tokenizers.clear()
+        for x in (_recent, _older, _tokenizers):
+            x.clear()
         _tokenizers[path] = Tokenizer.from_file(path)
     return _tokenizers[path]
 
 
-def token_bytes(texts: list[str], path: str) -> list[bytes]:
-    """The ids of each text as little-endian unsigned 32-bit numbers.
+def _word_ids(words: list[bytes], path: str) -> list[bytes]:
+    """The ids of each word, of which a process remembers the last one or two generations of ``MEMO`` words."""
+    global _recent, _older
+    tokenizer = _tokenizer(path)
+    if len(_recent) > MEMO:
+        _recent, _older = {}, _recent
+    unknown = []
+    for w in words:
+        if w not in _recent:
+            if (known := _older.get(w)) is None:
+                unknown.append(w)
+            else:
+                _recent[w] = known
+    encoded = tokenizer.encode_batch_fast([w.decode() for w in unknown], add_special_tokens=False)
+    _recent.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(unknown, encoded, strict=True))
+    return [_recent[w] for w in words]
+
 
-    The tokenizer splits at white space first, so a text's ids are those of its blank-separated parts in a row; parts repeat, and
-    each is encoded once per process while the memory for it (``MEMO`` parts) lasts.
+def token_ids(data: np.ndarray, offsets: np.ndarray, path: str) -> tuple[np.ndarray, np.ndarray]:
+    """(ids of all texts in a row, where each text's begin).
+
+    The tokenizer puts ASCII letters in lower case and never joins across a blank or a line break, so a text's ids are
+    those of the words between them. Each distinct word of a slice is looked up once. Where a special token may stand, case is kept, as
+    these are only recognised as written.
     """
-    tokenizer = _tokenizer(path)
-    out = []
-    for a in range(0, len(texts), 256):
-        parts = [t.replace("\n", " ").split(" ") for t in texts[a : a + 256]]
-        if len(_memo) > MEMO:
-            _memo.clear()
-        new = list(set().union(*parts) - _memo.keys())
-        encoded = tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        _memo.update((w, b"".join(i.to_bytes(4, "little") for i in e.ids)) for w, e in zip(new, encoded, strict=True))
-        out += [b"".join(map(_memo.__getitem__, p)) for p in parts]
-    return out
+    if b"<|" not in data.tobytes():
+        data = _LOWER[data]
+    starts, ends = runs((data != 0x20) & (data != 0x0A), offsets)
+    _, first, which = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
+    text = data.tobytes()
+    words = [text[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
+    found = _word_ids(words, path)
+    ids = np.frombuffer(b"".join(found), "<u4")
+    n = np.fromiter(map(len, found), np.int64, len(found)) // 4
+    begin = np.cumsum(n) - n
+    each = n[which]
+    upto = np.concatenate([[0], np.cumsum(each)])
+    at = np.repeat(begin[which] - upto[:-1], each) + np.arange(upto[-1])
+    return ids[at], upto[np.searchsorted(starts, offsets)]
 
 
 def token_pieces(
@@ -89,19 +117,20 @@ def token_pieces(
         path = tokenizer or tokenizer_path()
         step, last = 4 * capacity, end.to_bytes(4, "little")
         for batch in batches:
-            texts = [t or "" for t in batch.column(2).to_pylist()]
             rows, piece, start, length, crc, ids = [], [], [], [], [], []
-            for row, tokens in enumerate(token_bytes(texts, path)):
-                tokens += last
-                for k, at in enumerate(range(0, len(tokens), step)):
-                    part = tokens[at : at + step]
-                    rows.append(row)
-                    piece.append(k)
-                    start.append(at // 4)
-                    length.append(len(part) // 4)
-                    crc.append(zlib.crc32(part))
-                    if with_ids:
-                        ids.append(part)
+            for a, b, data, offsets in slices(batch.column(2), SLICE):
+                found, begin = token_ids(data, offsets, path)
+                for row in range(a, b):
+                    tokens = found[begin[row - a] : begin[row - a + 1]].tobytes() + last
+                    for k, at in enumerate(range(0, len(tokens), step)):
+                        part = tokens[at : at + step]
+                        rows.append(row)
+                        piece.append(k)
+                        start.append(at // 4)
+                        length.append(len(part) // 4)
+                        crc.append(zlib.crc32(part))
+                        if with_ids:
+                            ids.append(part)
             take = pa.array(rows, pa.int64())
             columns = [batch.column(0).take(take), batch.column(1).take(take), pa.array(piece, pa.int32())]
             columns += [pa.array(x, pa.int64()) for x in (start, length, crc)]
