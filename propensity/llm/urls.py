@@ -8,8 +8,8 @@ log-likelihood difference of the two models, divided by its characters; the cut
 a fifth of the ruled URLs that the models do not see.
 
 Texts are cut into host and rest, each distinct part is scored once, and a part's statistics are shared by all URLs that
-have it: a host with a third of all pages is one row of the join. N-grams are counted map-side first. The model meets the
-parts in a join on the n-gram, with a salt on both sides, so a context that every part has is spread over tasks.
+have it: a host with a third of all pages is one row of the join. N-grams are counted map-side first, and the models meet
+each distinct n-gram once. Its score meets the parts with a salt on both sides, so an n-gram that every part has is spread over tasks.
 
 Defined cases: a null URL, or one without ``://``, has an empty host and path, so no rule fits it; its text is scored as it is (null as
 empty, which scores 0). A host or path that is null or empty fits only rules whose host and path prefix allow that. Repeated rows are judged one by
@@ -108,24 +108,18 @@ def trained(urls: DataFrame) -> DataFrame:
     )
 
 
-def scored_parts(part: DataFrame, model: DataFrame) -> DataFrame:
-    """(part, llr, n): the log-likelihood difference of every distinct part and its number of characters."""
-    salted = model.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    places = part.select("part", F.posexplode(F.expr(_characters("part"))).alias("at", "c")).select("part", "at", F.col("c.next").alias("next"), F.col("c.before").alias("before"))
-    # a part's places that share context and next character are one row
-    grams = places.groupBy("part", "before", "next").agg(F.count("*").alias("times"))
-    asked = grams.select("part", "before", "next", "times", F.explode(F.expr(_contexts("before"))).alias("context")).withColumn(
-        "salt", F.pmod(F.xxhash64("part"), F.lit(SALTS)).cast("int")
-    )
+def gram_scores(grams: DataFrame, model: DataFrame) -> DataFrame:
+    """(before, next, llr): the log-likelihood difference of every distinct gram."""
     found = (
-        asked.join(salted, ["context", "salt"])
+        grams.withColumn("context", F.explode(F.expr(_contexts("before"))))
+        .join(model, "context")
         .select(
-            "part", "before", "next", "times",
+            "before", "next",
             F.length("context").alias("k"),
             *[F.coalesce(F.element_at("follow", F.col("next"))[c], F.lit(0.0)).alias(c) for c in ("good", "bad")],
             "good_n", "bad_n", "good_kinds", "bad_kinds",
         )
-        .groupBy("part", "before", "next", "times")
+        .groupBy("before", "next")
         .agg(F.array_sort(F.collect_list(F.struct("k", "good", "good_n", "good_kinds", "bad", "bad_n", "bad_kinds"))).alias("levels"))
     )
 
@@ -136,8 +130,24 @@ def scored_parts(part: DataFrame, model: DataFrame) -> DataFrame:
             lambda lower, x: F.when(x[f"{name}_n"] > 0, (x[name] + x[f"{name}_kinds"] * lower) / (x[f"{name}_n"] + x[f"{name}_kinds"])).otherwise(lower),
         )
 
-    llr = (F.log(chance("good")) - F.log(chance("bad"))) * F.col("times")
-    return found.groupBy("part").agg(F.sum(llr).alias("llr"), F.sum("times").alias("n"))
+    return found.select("before", "next", (F.log(chance("good")) - F.log(chance("bad"))).alias("llr"))
+
+
+def scored_parts(part: DataFrame, model: DataFrame) -> DataFrame:
+    """(part, llr, n): the log-likelihood difference of every distinct part and its number of characters."""
+    tasks = int(part.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # a part has a number, so that its many places do not carry its text
+    numbered = materialize(part.repartition(tasks, "part").withColumn("of", F.monotonically_increasing_id()))
+    places = numbered.select("of", F.explode(F.expr(_characters("part"))).alias("c")).select("of", "c.before", "c.next")
+    known = gram_scores(places.select("before", "next").distinct(), model)
+    salted = known.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    sums = (
+        places.withColumn("salt", F.pmod(F.xxhash64("of"), F.lit(SALTS)).cast("int"))
+        .join(salted, ["before", "next", "salt"])
+        .groupBy("of")
+        .agg(F.sum("llr").alias("llr"), F.count("*").alias("n"))
+    )
+    return numbered.join(sums, "of").select("part", "llr", "n")
 
 
 def scored(urls: DataFrame, model: DataFrame) -> DataFrame:
