@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -93,7 +94,7 @@ def monthly_rate(df: DataFrame, spec: TableSpec) -> DataFrame:
 
 def decile_rate(df: DataFrame, column: str, target: str) -> DataFrame:
     """Conversion rate per decile bin ``(a, b]`` of a numeric column; repeated edges are merged."""
-    edges = deciles(df, [column])[column]
+    edges = deciles(df, [column]).get(column, [])  # none for a column without values, which then has no rows
     bucket = v.right_closed_bin(column, edges) + 1
     return (
         df.select(F.col(column).cast("double").alias(column), target)
@@ -238,6 +239,28 @@ def quality_report(raw: DataFrame, clean: DataFrame, spec: TableSpec) -> DataFra
     return report
 
 
+def quality_findings(raw: DataFrame, clean: DataFrame, spec: TableSpec, pattern: str = r"^\S+$") -> DataFrame:
+    """(metric, column, value as text): conflicting targets, effects, stand-in texts, near-constant columns, id pattern,
+    prevalence before and after cleaning, and observed types."""
+    columns = [c for c in spec.columns if c in raw.columns]
+    nothing = F.lit(None).cast("string")
+
+    def rows(df: DataFrame, metric: str, column, value) -> DataFrame:
+        return df.select(F.lit(metric).alias("metric"), column.alias("column"), value.cast("string").alias("value"))
+
+    ids = id_pattern(raw, spec.id, pattern)
+    parts = [
+        rows(conflicting_targets(clean, spec).agg(F.count("*").alias("n")), "conflicting_targets", nothing, F.col("n")),
+        rows(effect_screen(clean, spec), "effect", F.col("feature"), F.col("effect")),
+        rows(sentinel_counts(raw, columns), "sentinels", F.col("sentinel"), F.col("cells")),
+        rows(near_constant(clean, list(spec.features)), "near_constant", F.col("column"), F.col("top_share")),
+        *[rows(ids, f"id_{c}", F.lit(spec.id), F.col(c)) for c in ids.columns],
+        rows(prevalence_before_after(clean, clean, spec).where("stage = 'deduplicated'"), "prevalence", F.col("stage"), F.col("prevalence")),
+        rows(observed_types(clean), "observed_type", F.col("column"), F.col("type")),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def top_values(counts: DataFrame) -> DataFrame:
     """Most common non-null value of each column of a :func:`value_counts` frame; ties go to the smallest.
 
