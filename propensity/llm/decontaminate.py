@@ -24,18 +24,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from propensity.llm.bitmaps import bit_map, probed
 from propensity.llm.words import grams, slices, words_of
 from propensity.session import materialize
 
 WINDOW = 10
 SHINGLE = 5
-MAP_BITS = 25
-_BUCKET = 1 << 15
-
-
-def _probes(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    mask = np.uint64((1 << MAP_BITS) - 1)
-    return (h & mask).astype(np.int64), ((h >> np.uint64(32)) & mask).astype(np.int64)
 
 
 def item_windows(items: DataFrame, item_id: str, text: str, window: int = WINDOW, shingle: int = SHINGLE) -> DataFrame:
@@ -76,37 +70,17 @@ def _by_place(words, size: int) -> np.ndarray:
     return out
 
 
-def shingle_map(windows: DataFrame) -> bytes:
-    """A bit map of 2^25 bits with two bits set for each shingle; 4 MB for any number of shingles."""
-    h = F.col("h")
-    mask = (1 << MAP_BITS) - 1
-    bits = (
-        windows.select(F.explode("grams").alias("h"))
-        .select(F.explode(F.array(h.bitwiseAND(mask), F.shiftrightunsigned(h, 32).bitwiseAND(mask))).alias("bit"))
-        .groupBy(F.expr(f"bit div {_BUCKET}").alias("bucket"))
-        .agg(F.bitmap_construct_agg(F.col("bit") % _BUCKET).alias("bits"))
-    )
-    whole = bytearray((1 << MAP_BITS) // 8)
-    for row in bits.toLocalIterator():
-        at = row.bucket * (_BUCKET // 8)
-        whole[at : at + _BUCKET // 8] = row.bits
-    return bytes(whole)
-
-
 def marked(docs: DataFrame, doc_id: str, text: str, bits, sizes: list[int], window: int) -> DataFrame:
     """(uid, id, n_words, marks): for every document the places of words that start a shingle in the bit map."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = np.frombuffer(bits.value, np.uint8)
         for batch in batches:
             for a, b, data, offsets in slices(batch.column(2)):
                 w = words_of(data, offsets)
                 at, doc, size, gram = [], [], [], []
                 for s in sizes:
                     h, text_of, place = grams(w, s)
-                    x, y = _probes(h)
-                    hit = np.flatnonzero((known[x >> 3] >> (x & 7).astype(np.uint8)) & 1)
-                    hit = hit[((known[y[hit] >> 3] >> (y[hit] & 7).astype(np.uint8)) & 1).astype(bool)]
+                    hit = probed(bits.value, h)
                     at.append(place[hit])
                     doc.append(text_of[hit])
                     size.append(np.full(len(hit), s))
@@ -170,7 +144,7 @@ def decontaminate(
     spark = docs.sparkSession
     windows = materialize(item_windows(items, item_id, item_text, window, shingle))
     sizes = [r.size for r in windows.select(F.least("size", F.lit(shingle)).alias("size")).distinct().collect()]
-    bits = spark.sparkContext.broadcast(shingle_map(windows))
+    bits = spark.sparkContext.broadcast(bit_map(windows.select(F.explode("grams").alias("h"))))
     scanned = materialize(marked(docs, doc_id, text, bits, sorted(sizes) or [shingle], window))
     marks = scanned.where(F.size("marks") > 0).select("uid", "n_words", F.explode("marks").alias("m")).select("uid", "n_words", "m.*")
     start = F.col("at") - F.col("off")

@@ -8,12 +8,13 @@ occurrence, so repeats count. ``SKETCHES`` sketches with independent hashes make
 about as often as both picks lie in what an alignment keeps, in one order.
 
 1. One numpy pass makes signatures. Texts with equal words are one entry from there on, so thousands of copies cost one.
-2. Texts that share a sketch form a bucket. Each text is first aligned with the smallest text of each of its buckets; large groups of near
+2. Texts that share a sketch form a bucket. Each text is first aligned with one centre of each of its buckets; large groups of near
    copies fall into one component after a number of checks that grows with their size, not its square.
-3. In the buckets that still hold several components, texts of different components are compared by signatures, in bounded
-   blocks inside tasks; those that share two sketches or more are aligned. Nothing is emitted for the other pairs.
-4. Alignment is Spark's banded Levenshtein distance on words coded as single characters (2^20 codes), first in a narrow band, then in
-   the widest one that the similarity allows.
+3. In the buckets that still hold several components, all texts of different components are compared in bounded blocks inside tasks, by
+   length and by counts of hashed words: an edit changes these by two at most, so no similar pair is lost, and nothing is emitted
+   for the pairs that differ in more, such as texts that only share a passage. The others are aligned on the spot.
+4. Alignment is banded, on words coded as single characters (2^20 codes), first in a narrow band, then in the widest one that the
+   similarity allows: Spark's Levenshtein distance for centres, a numpy one for many pairs at once inside buckets.
 
 Defined cases: null and empty texts have no words and are copies of one another; a text of fewer than five words is one shingle; repeated
 rows are copies, also with one id; null ids are in classes, but a class is named by its smallest id (null if all are).
@@ -29,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from propensity.llm.bitmaps import bit_map, probed
 from propensity.llm.components import components
 from propensity.llm.words import Words, grams, mixed, slices, words_of
 from propensity.session import materialize
@@ -37,8 +39,9 @@ SHINGLE = 5
 SKETCHES = 64
 PICKS = 2  # written out in order_sketches
 SIMILARITY = 0.8
-SHARED = 2
+BAG = 1024
 BLOCK = 512
+CELLS = 1 << 21  # of one banded alignment of several texts
 _rng = np.random.default_rng(20240801)
 _FLIP = _rng.integers(0, 1 << 63, SKETCHES, dtype=np.uint64)
 _TIMES = _rng.integers(0, 1 << 63, SKETCHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -103,8 +106,39 @@ def digests(words: Words, offsets: np.ndarray) -> list[bytes]:
     return [hashlib.sha256(data[a:b].strip(b"\0")).digest() for a, b in zip(upto[:-1].tolist(), upto[1:].tolist(), strict=True)]
 
 
+def bags(words: Words) -> np.ndarray:
+    """Each text's counts of words in ``BAG`` hash classes, up to 255."""
+    n = len(words.first) - 1
+    text = np.repeat(np.arange(n), words.counts)
+    counts = np.bincount(text * BAG + (words.hashes & np.uint64(BAG - 1)).astype(np.int64), minlength=n * BAG)
+    return np.minimum(counts, 255).astype(np.uint8).reshape(n, BAG)
+
+
+def _binary(rows: np.ndarray) -> pa.Array:
+    offsets = np.arange(len(rows) + 1, dtype=np.int32) * rows.shape[1]
+    return pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(rows))])
+
+
+def _bags_of(column: pa.ChunkedArray) -> np.ndarray:
+    column = pa.concat_arrays(column.chunks) if column.num_chunks else pa.array([], pa.binary())
+    if not len(column):
+        return np.zeros((0, BAG), np.int16)
+    ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+    return np.frombuffer(column.buffers()[2], np.uint8)[ends[0] : ends[-1]].reshape(-1, BAG).astype(np.int16)
+
+
+def _allowed(n: np.ndarray, m: np.ndarray | int) -> np.ndarray:
+    """The most edits between texts of n and m words, in thousandths."""
+    return np.maximum(n, m) * round((1 - SIMILARITY) * 1000)
+
+
+def _apart(one: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Fewest edits, in thousandths, that the bags allow: an edit changes two counts by one at most."""
+    return np.abs(one - other).sum(1, dtype=np.int64) * 500
+
+
 def signatures(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(uid, id, n, digest, sketches, code) of every row."""
+    """(uid, id, n, digest, sketches, bag, code) of every row."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -121,21 +155,22 @@ def signatures(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
                         pa.array(w.counts, pa.int32()),
                         pa.array(digests(w, offsets), pa.binary()),
                         pa.ListArray.from_arrays(pa.array(ends), pa.array(sketch.ravel())),
+                        _binary(bags(w)),
                         coded(w),
                     ],
-                    names=["uid", "id", "n", "digest", "sketches", "code"],
+                    names=["uid", "id", "n", "digest", "sketches", "bag", "code"],
                 )
 
     kind = docs.schema[doc_id].dataType.simpleString()
     picked = docs.select(F.monotonically_increasing_id().alias("uid"), F.col(doc_id).alias("id"), F.col(text).alias("text"))
-    return picked.mapInArrow(make, f"uid long, id {kind}, n int, digest binary, sketches array<bigint>, code string")
+    return picked.mapInArrow(make, f"uid long, id {kind}, n int, digest binary, sketches array<bigint>, bag binary, code string")
 
 
-def aligned(pairs: DataFrame, entries: DataFrame) -> DataFrame:
-    """The ``pairs`` (a, b) whose word alignment is similar enough."""
-    left = entries.select(F.col("uid").alias("a"), F.col("n").alias("n_a"), F.col("code").alias("code_a"))
-    right = entries.select(F.col("uid").alias("b"), F.col("n").alias("n_b"), F.col("code").alias("code_b"))
-    # whole numbers, so that the bound is exact: edits * 10 <= 2 * longer
+def aligned(pairs: DataFrame, signed: DataFrame) -> DataFrame:
+    """The ``pairs`` (a, b) whose word alignment is similar enough, written."""
+    # lengths and bags are compared before codes are moved
+    pairs = materialize(pairs)
+    near = materialize(_with_both(pairs, signed, "bag", "binary").mapInArrow(_alike, "a long, b long"))
     most = f"CAST(floor(greatest(n_a, n_b) * {round((1 - SIMILARITY) * 1000)} / 1000) AS INT)"
     within = f"""CASE WHEN abs(n_a - n_b) > {most} THEN false
         WHEN levenshtein(code_a, code_b, least(24, {most})) >= 0 THEN true
@@ -143,21 +178,70 @@ def aligned(pairs: DataFrame, entries: DataFrame) -> DataFrame:
         WHEN levenshtein(code_a, code_b, least(200, {most})) >= 0 THEN true
         WHEN {most} <= 200 THEN false
         ELSE levenshtein(code_a, code_b, {most}) >= 0 END"""
-    # lengths are compared before codes are moved
-    lengths = entries.select("uid", "n")
-    near = (
-        pairs.join(lengths.select(F.col("uid").alias("a"), F.col("n").alias("x")), "a")
-        .join(lengths.select(F.col("uid").alias("b"), F.col("n").alias("y")), "b")
-        .where(F.abs(F.col("x") - F.col("y")) * 1000 <= F.greatest("x", "y") * round((1 - SIMILARITY) * 1000))
-        .select("a", "b")
-    )
-    return near.join(left, "a").join(right, "b").where(F.expr(within)).select("a", "b")
+    return materialize(_with_both(near, signed, "code", "string").where(F.expr(within)).select("a", "b"))
+
+
+def _with_both(pairs: DataFrame, signed: DataFrame, column: str, kind: str) -> DataFrame:
+    """``pairs`` with n and ``column`` of both rows. Few rows without a pair are moved: a bit map of fixed size names the others."""
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("uid")).select(F.xxhash64("uid").alias("h")).distinct()
+    bits = signed.sparkSession.sparkContext.broadcast(bit_map(wanted))
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = probed(bits.value, batch.column("h").to_numpy().view(np.uint64))
+            yield batch.select(["uid", "n", column]).take(pa.array(at))
+
+    rows = signed.select("uid", "n", column, F.xxhash64("uid").alias("h")).mapInArrow(keep, f"uid long, n int, {column} {kind}")
+    left, right = (rows.select(F.col("uid").alias(x), F.col("n").alias(f"n_{x}"), F.col(column).alias(f"{column}_{x}")) for x in "ab")
+    return pairs.join(left, "a").join(right, "b")
+
+
+def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pairs whose lengths and bags allow the similarity."""
+    for batch in batches:
+        t = pa.Table.from_batches([batch])
+        n, m = t["n_a"].to_numpy().astype(np.int64), t["n_b"].to_numpy().astype(np.int64)
+        apart = _apart(_bags_of(t["bag_a"]), _bags_of(t["bag_b"]))
+        keep = (np.abs(n - m) * 1000 <= _allowed(n, m)) & (apart <= _allowed(n, m))
+        yield pa.record_batch([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(keep))
+
+
+def edits_within(one: np.ndarray, others: list[np.ndarray], most: np.ndarray) -> np.ndarray:
+    """Whether each of ``others`` is at most ``most`` edits from ``one``: one banded alignment for all of them at once."""
+    apart = np.abs(np.array([len(o) for o in others]) - len(one))
+    widest = int(most.max(initial=0))
+    ok, done = np.zeros(len(others), bool), -1
+    for width in [widest] if widest <= 64 else [24, min(200, widest), widest]:
+        # what a narrower band has not decided
+        left = np.flatnonzero((apart <= np.minimum(most, width)) & ~ok & (most > done))
+        for at in range(0, len(left), max(1, CELLS // (2 * width + 1))):
+            part = left[at : at + max(1, CELLS // (2 * width + 1))]
+            ok[part] = _banded(one, [others[i] for i in part.tolist()], width) <= most[part]
+        done = width
+    return ok
+
+
+def _banded(one: np.ndarray, others: list[np.ndarray], width: int) -> np.ndarray:
+    """Edits between ``one`` and each of ``others``, exact up to ``width``, on the diagonals from -width to width."""
+    far, n = 1 << 20, len(one)
+    sizes = np.array([len(o) for o in others])
+    text = np.zeros((len(others), max(n, int(sizes.max())) + 2 * width + 2), np.uint32)  # no code is 0
+    for k, o in enumerate(others):
+        text[k, width + 1 : width + 1 + len(o)] = o
+    diagonal = np.arange(-width, width + 1, dtype=np.int32)
+    cost = np.broadcast_to(np.where(diagonal >= 0, diagonal, far), (len(others), len(diagonal))).astype(np.int32)
+    for i in range(n):
+        step = cost + (text[:, i + 1 : i + 2 + 2 * width] != one[i])
+        step[:, :-1] = np.minimum(step[:, :-1], cost[:, 1:] + 1)
+        cost = np.minimum.accumulate(step - diagonal, axis=1) + diagonal
+    return cost[np.arange(len(others)), sizes - n + width]
 
 
 def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (key, s, t): pairs of one group with another component and ``SHARED`` sketches or more in common.
+    """Rows sorted by (key, s, t): links between rows of one group that have different components.
 
-    A pair comes out of the group of the first sketch that it shares, and out of no other.
+    A pair is looked at in the group of the first sketch that it shares, and in no other; components that a link has joined
+    count as one in the rest of the group.
     """
     kept: pa.Table | None = None
     for batch in batches:
@@ -171,60 +255,75 @@ def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         new[1:] = np.logical_or.reduce([m[1:] != m[:-1] for m in mark])
         edges = np.flatnonzero(new)
         kept = table.slice(int(edges[-1]))  # the last group may go on in the next batch
-        yield _pairs(table, edges)
+        yield _links(table, edges)
     if kept is not None:
-        yield _pairs(kept, np.array([0, kept.num_rows]))
+        yield _links(kept, np.array([0, kept.num_rows]))
 
 
-def _pairs(table: pa.Table, edges: np.ndarray) -> pa.RecordBatch:
+def _links(table: pa.Table, edges: np.ndarray) -> pa.RecordBatch:
     uid, n, comp, band, own, s, t = (table[c].to_numpy() for c in ("uid", "n", "comp", "band", "own", "s", "t"))
-    sketch = table["sketch"].combine_chunks()
-    sketch = np.asarray(sketch.flatten()).reshape(-1, SKETCHES)
+    n, comp = n.astype(np.int64), comp.copy()
+    sketch = np.asarray(pa.concat_arrays(table["sketch"].chunks).flatten()).reshape(-1, SKETCHES)
+    bag = _bags_of(table["bag"])
+    coarse = bag.reshape(len(bag), -1, 4).sum(2, dtype=np.int16)  # a cheaper bound, looked at first
+    text = pa.concat_arrays(table["code"].chunks).cast(pa.large_binary())
+    ends = np.frombuffer(text.buffers()[1], np.int64)[text.offset : text.offset + len(text) + 1]
+    code = np.frombuffer(text.buffers()[2], np.uint8)[ends[0] : ends[-1]].copy().view(np.uint32)  # four bytes a word
+    ends = (ends - ends[0]) // 4
     left, right = [], []
     for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
         across = s[a] != t[a]
         for i in range(a, b):
-            if across:
-                if own[i] != s[a]:
-                    continue
-                others = a + np.flatnonzero(own[a:b] == t[a])
-            else:
-                others = np.arange(i + 1, b)
-            others = others[(comp[others] != comp[i]) & (np.abs(n[others] - n[i]) * 1000 <= np.maximum(n[others], n[i]) * round((1 - SIMILARITY) * 1000))]
-            if not len(others):
+            if across and own[i] != s[a]:
                 continue
-            same = sketch[others] == sketch[i]
-            hit = others[(same.sum(1) >= SHARED) & (same.argmax(1) == band[i])]
-            left.append(np.full(len(hit), uid[i]))
-            right.append(uid[hit])
-    left, right = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (left, right))
-    return pa.record_batch([pa.array(np.minimum(left, right)), pa.array(np.maximum(left, right))], names=["a", "b"])
-
-
-def near_links(entries: DataFrame) -> DataFrame:
-    """Links (a, b) between different texts whose components are the classes of near-duplicates."""
-    posts = entries.select("uid", F.posexplode("sketches").alias("band", "key"))
+            others = a + np.flatnonzero(own[a:b] == t[a]) if across else np.arange(i + 1, b)
+            allowed = _allowed(n[others], n[i])
+            fits = (comp[others] != comp[i]) & (np.abs(n[others] - n[i]) * 1000 <= allowed)
+            others, allowed = others[fits], allowed[fits]
+            if len(others):
+                fits = (sketch[others] == sketch[i]).argmax(1) == band[i]
+                others, allowed = others[fits], allowed[fits]
+            for level in (coarse, bag):
+                if len(others):
+                    fits = _apart(level[others], level[i]) <= allowed
+                    others, allowed = others[fits], allowed[fits]
+            if len(others):
+                words = [code[ends[k] : ends[k + 1]] for k in others.tolist()]
+                others = others[edits_within(code[ends[i] : ends[i + 1]], words, allowed // 1000)]
+                for k in others[np.unique(comp[others], return_index=True)[1]].tolist():
+                    left.append(uid[i])
+                    right.append(uid[k])
+                    comp[a:b][comp[a:b] == comp[k]] = comp[i]
+    pair = np.array([left, right], np.int64).reshape(2, -1)
+    return pa.record_batch([pa.array(pair.min(0)), pa.array(pair.max(0))], names=["a", "b"])
+
+
+def near_links(signed: DataFrame, firsts: DataFrame) -> DataFrame:
+    """Links (a, b) between different texts, the rows ``firsts`` (uid) of ``signed``, whose components are the classes."""
+    sketches = materialize(signed.select("uid", "sketches").join(firsts, "uid", "left_semi"))
+    posts = sketches.select("uid", F.posexplode("sketches").alias("band", "key"))
     buckets = posts.groupBy("key").agg(F.min("uid").alias("centre"), F.count("*").alias("size")).where("size > 1")
     members = materialize(posts.join(buckets, "key"))
-    star = members.where("uid <> centre").select(F.col("centre").alias("a"), F.col("uid").alias("b")).distinct()
-    first = materialize(aligned(star, entries))
-    roots = components(first)
-    placed = members.join(roots.select(F.col("node").alias("uid"), "root"), "uid", "left").withColumn("comp", F.coalesce("root", "uid")).drop("root")
-    placed = materialize(placed)
-    several = placed.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("key")
-    parts = F.greatest(F.lit(1), F.ceil(F.col("size") / BLOCK)).cast("int")
-    own = F.pmod(F.xxhash64("uid"), F.col("parts")).cast("int")
+    rays = members.where("uid <> centre").select(F.col("centre").alias("a"), F.col("uid").alias("b")).distinct()
+    links = aligned(rays, signed)
+    return links.union(materialize(_within_buckets(members, components(links), signed)))
+
+
+def _within_buckets(members: DataFrame, roots: DataFrame, signed: DataFrame) -> DataFrame:
+    """Links between different components that share a bucket."""
+    known = roots.withColumnRenamed("node", "uid")
+    placed = materialize(members.join(known, "uid", "left").withColumn("comp", F.coalesce("root", "uid")).drop("root"))
+    mixed = placed.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("key")
     rows = (
-        placed.join(several, "key", "left_semi")
-        .join(entries.select("uid", "n", F.transform("sketches", lambda x: F.shiftright(x, 32).cast("int")).alias("sketch")), "uid")
-        .withColumn("parts", parts)
-        .withColumn("own", own)
+        placed.join(mixed, "key", "left_semi")
+        .join(signed.select("uid", "n", "bag", "code", F.transform("sketches", lambda x: F.shiftright(x, 32).cast("int")).alias("sketch")), "uid")
+        .withColumn("parts", F.greatest(F.lit(1), F.ceil(F.col("size") / BLOCK)).cast("int"))
+        .withColumn("own", F.pmod(F.xxhash64("uid"), F.col("parts")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        .select("key", F.least("own", "other").alias("s"), F.greatest("own", "other").alias("t"), "own", "uid", "n", "comp", "band", "sketch")
+        .select("key", F.least("own", "other").alias("s"), F.greatest("own", "other").alias("t"), "own", "uid", "n", "comp", "band", "sketch", "bag", "code")
     )
-    pairs = rows.repartition("key", "s", "t").sortWithinPartitions("key", "s", "t", "uid").mapInArrow(_similar, "a long, b long")
-    second = materialize(aligned(pairs, entries))
-    return first.union(second)
+    dealt = rows.repartition("key", "s", "t").sortWithinPartitions("key", "s", "t", "uid")
+    return dealt.mapInArrow(_similar, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -234,9 +333,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     """
     signed = materialize(signatures(docs, doc_id, text))
     copies = signed.groupBy("digest").agg(F.min("uid").alias("of"))
-    entries = signed.join(copies.select(F.col("of").alias("uid")), "uid", "left_semi")
-    entries = materialize(entries.select("uid", "n", "sketches", "code"))
-    roots = components(near_links(entries)).select(F.col("node").alias("of"), "root")
+    roots = components(near_links(signed, copies.select(F.col("of").alias("uid")))).select(F.col("node").alias("of"), "root")
     classes = copies.join(roots, "of", "left").select("digest", F.coalesce("root", "of").alias("class"))
     rows = materialize(signed.select("uid", "id", "digest").join(classes, "digest").select("uid", "id", "class"))
     named = rows.groupBy("class").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "uid")).alias("m"), F.count("*").alias("class_size"))
