@@ -198,7 +198,7 @@ def _with_both(pairs: DataFrame, signed: DataFrame, column: str, kind: str) -> D
 
 def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The pairs whose lengths and bags allow the similarity."""
-    for batch in batches:
+    for batch in (b.slice(at, 1000) for b in batches for at in range(0, b.num_rows, 1000)):
         t = pa.Table.from_batches([batch])
         n, m = t["n_a"].to_numpy().astype(np.int64), t["n_b"].to_numpy().astype(np.int64)
         apart = _apart(_bags_of(t["bag_a"]), _bags_of(t["bag_b"]))

@@ -38,7 +38,7 @@ GENERATIONS = 4
 POPULATION = 4
 WASTE = 8  # free tokens up to which a sequence is kept as it is
 SLICE = 4 << 20  # bytes of text whose distinct words are looked up together
-MEMO = 500_000  # words of one generation of the memory for their ids
+MEMO = 250_000  # words of one generation of the memory for their ids
 
 _recent: dict[bytes, bytes] = {}
 _older: dict[bytes, bytes] = {}
