@@ -3,9 +3,12 @@
 Two texts are near-duplicates when a word alignment needs at most a fifth of the longer text's words as edits
 (similarity 1 - edits / longer length of ``SIMILARITY`` or more). Classes are the connected components of these links.
 
-A sketch is the ``PICKS`` five-word shingles with the smallest hashes, kept in text order; shingles carry the number of their
-occurrence, so repeats count. ``SKETCHES`` sketches with independent hashes make a text's signature; two texts share a sketch
-about as often as both picks lie in what an alignment keeps, in one order.
+A sketch is the ``PICKS`` shingles with the smallest hashes, kept in text order; shingles carry the number of their occurrence, so
+repeats count. ``SKETCHES`` sketches with independent hashes make a text's signature; two texts share a sketch about as often as both
+picks lie in what an alignment keeps, in one order. Shingles have three words, in texts of up to ``SHORT`` words two (texts that can be
+similar to some of both sorts have both signatures), as an edit costs a short text a large part of its shingles. Up to ``ONE_EDIT`` words
+similar texts are one edit apart, so they share their first or last half: these halves are keys too, and no such pair is lost. Above that the
+sketches are a chance: the README has the measured share of pairs that meet, by length and edits.
 
 1. One numpy pass makes signatures. Texts with equal words are one entry from there on, so thousands of copies cost one.
 2. Texts that share a sketch form a bucket. Each text is first aligned with one centre of each of its buckets; large groups of near
@@ -16,7 +19,7 @@ about as often as both picks lie in what an alignment keeps, in one order.
 4. Alignment is banded, on words coded as single characters (2^20 codes), first in a narrow band, then in the widest one that the
    similarity allows: Spark's Levenshtein distance for centres, a numpy one for many pairs at once inside buckets.
 
-Defined cases: null and empty texts have no words and are copies of one another; a text of fewer than five words is one shingle; repeated
+Defined cases: null and empty texts have no words and are copies of one another; a text of fewer words than a shingle is one shingle; repeated
 rows are copies, also with one id; null ids are in classes, but a class is named by its smallest id (null if all are).
 """
 
@@ -35,8 +38,12 @@ from propensity.llm.components import components
 from propensity.llm.words import Words, grams, mixed, slices, words_of
 from propensity.session import materialize
 
-SHINGLE = 5
+SHINGLE = 3
+SHORT_SHINGLE = 2
+SHORT = 100
+ONE_EDIT = 9
 SKETCHES = 64
+BANDS = 2 * SKETCHES + 4  # keys of a text: sketches of either shingle size, halves
 PICKS = 2  # written out in order_sketches
 SIMILARITY = 0.8
 BAG = 1024
@@ -49,9 +56,11 @@ _SECOND = np.uint64(0xD6E8FEB86659FD93)
 _LAST = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
-def labelled_shingles(words: Words) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of (shingle, number of its occurrence in the text), in text order, and the texts they are of."""
-    h, text, _ = grams(words, SHINGLE, whole=True)
+def labelled_shingles(words: Words, size: int, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of (shingle, number of its occurrence in the text), in text order, and the texts they are of: the ``chosen`` ones."""
+    h, text, _ = grams(words, size, whole=True)
+    keep = chosen[text]
+    h, text = h[keep], text[keep]
     order = np.lexsort((h, text))
     new = np.ones(len(h), bool)
     new[1:] = (h[order][1:] != h[order][:-1]) | (text[order][1:] != text[order][:-1])
@@ -61,11 +70,11 @@ def labelled_shingles(words: Words) -> tuple[np.ndarray, np.ndarray]:
     return mixed(h + occurrence * _SECOND), text
 
 
-def order_sketches(words: Words) -> tuple[np.ndarray, np.ndarray]:
-    """(texts that have words, their signatures): one row of ``SKETCHES`` numbers each."""
-    h, text = labelled_shingles(words)
+def order_sketches(words: Words, size: int, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(``chosen`` texts that have words, their signatures): one row of ``SKETCHES`` numbers each."""
+    h, text = labelled_shingles(words, size, chosen)
     if not len(h):
-        return np.zeros(0, np.int64), np.zeros((0, SKETCHES), np.int64)
+        return np.zeros(0, np.int64), np.zeros((0, SKETCHES), np.uint64)
     new = np.ones(len(text), bool)
     new[1:] = text[1:] != text[:-1]
     starts = np.flatnonzero(new)
@@ -83,7 +92,35 @@ def order_sketches(words: Words) -> tuple[np.ndarray, np.ndarray]:
         ordered = at <= behind
         a, b = np.where(ordered, first, second), np.where(ordered, second, first)
         out[:, j] = mixed(a + mixed(b + np.uint64(j)) * _SECOND)
-    return text[starts], out.view(np.int64)
+    return text[starts], out
+
+
+def halves(words: Words, longer: int, last: bool) -> tuple[np.ndarray, np.ndarray]:
+    """(texts, keys): the first or ``last`` words that two texts share if the longer has ``longer`` words and one edit parts them."""
+    size = longer // 2
+    text = np.flatnonzero((words.counts == longer) | (words.counts == longer - 1))
+    start = words.first[text] + (words.counts[text] - size if last else 0)
+    key = np.full(len(text), 2 * longer + last, np.uint64)
+    for j in range(size):
+        key = mixed(key) + words.hashes[start + j]
+    return text, mixed(key)
+
+
+def keys(words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """(texts that have words, their keys): one row of ``BANDS`` numbers each, 0 where a text has no key."""
+    n = words.counts
+    out = np.zeros((len(n), BANDS), np.uint64)
+    for at, size, chosen in ((0, SHINGLE, n > SHORT), (SKETCHES, SHORT_SHINGLE, n <= SHORT / SIMILARITY)):
+        text, sketch = order_sketches(words, size, chosen)
+        out[text, at : at + SKETCHES] = mixed(sketch + np.uint64(size))
+    for longer in range(round(1 / (1 - SIMILARITY)), ONE_EDIT + 1):
+        for last in (False, True):
+            text, key = halves(words, longer, last)
+            out[text, 2 * SKETCHES + 2 * (longer % 2) + last] = key
+    has = np.flatnonzero(n)
+    out = out[has]
+    out[out != 0] |= np.uint64(1 << 32)  # the upper half of a key is not 0 either
+    return has, out.view(np.int64)
 
 
 def coded(words: Words) -> pa.Array:
@@ -144,9 +181,9 @@ def signatures(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
         for batch in batches:
             for a, b, data, offsets in slices(batch.column(2)):
                 w = words_of(data, offsets)
-                who, sketch = order_sketches(w)
+                who, sketch = keys(w)
                 has = np.zeros(b - a, np.int64)
-                has[who] = SKETCHES
+                has[who] = BANDS
                 ends = np.concatenate([[0], np.cumsum(has)]).astype(np.int32)
                 yield pa.record_batch(
                     [
@@ -263,7 +300,7 @@ def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _links(table: pa.Table, edges: np.ndarray) -> pa.RecordBatch:
     uid, n, comp, band, own, s, t = (table[c].to_numpy() for c in ("uid", "n", "comp", "band", "own", "s", "t"))
     n, comp = n.astype(np.int64), comp.copy()
-    sketch = np.asarray(pa.concat_arrays(table["sketch"].chunks).flatten()).reshape(-1, SKETCHES)
+    sketch = np.asarray(pa.concat_arrays(table["sketch"].chunks).flatten()).reshape(-1, BANDS)
     bag = _bags_of(table["bag"])
     coarse = bag.reshape(len(bag), -1, 4).sum(2, dtype=np.int16)  # a cheaper bound, looked at first
     text = pa.concat_arrays(table["code"].chunks).cast(pa.large_binary())
@@ -281,7 +318,8 @@ def _links(table: pa.Table, edges: np.ndarray) -> pa.RecordBatch:
             fits = (comp[others] != comp[i]) & (np.abs(n[others] - n[i]) * 1000 <= allowed)
             others, allowed = others[fits], allowed[fits]
             if len(others):
-                fits = (sketch[others] == sketch[i]).argmax(1) == band[i]
+                before = np.flatnonzero(sketch[i, : band[i]])
+                fits = ~(sketch[others[:, None], before] == sketch[i, before]).any(1)
                 others, allowed = others[fits], allowed[fits]
             for level in (coarse, bag):
                 if len(others):
@@ -301,7 +339,7 @@ def _links(table: pa.Table, edges: np.ndarray) -> pa.RecordBatch:
 def near_links(signed: DataFrame, firsts: DataFrame) -> DataFrame:
     """Links (a, b) between different texts, the rows ``firsts`` (uid) of ``signed``, whose components are the classes."""
     sketches = materialize(signed.select("uid", "sketches").join(firsts, "uid", "left_semi"))
-    posts = sketches.select("uid", F.posexplode("sketches").alias("band", "key"))
+    posts = sketches.select("uid", F.posexplode("sketches").alias("band", "key")).where("key <> 0")
     buckets = posts.groupBy("key").agg(F.min("uid").alias("centre"), F.count("*").alias("size")).where("size > 1")
     members = materialize(posts.join(buckets, "key"))
     rays = members.where("uid <> centre").select(F.col("centre").alias("a"), F.col("uid").alias("b")).distinct()

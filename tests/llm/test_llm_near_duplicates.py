@@ -178,3 +178,36 @@ def mutated_codes(base, edits, draw):
         kind = draw.randrange(3)
         w[k : k + (kind < 2)] = [] if kind == 0 and len(w) > 1 else [draw.randrange(100, 999)]
     return w
+
+
+def replaced(base, edits, draw):
+    w = list(base)
+    for k in draw.sample(range(len(w)), edits):
+        w[k] = f"n{draw.randrange(10**6)}"
+    return w
+
+
+def test_one_edit_anywhere_in_a_short_text_is_found(spark):
+    rows, wanted = [], {}
+    for n in range(5, 10):
+        for k in range(n):
+            base = [f"s{n}x{k}x{i}" for i in range(n)]
+            for edited in (base, [*base[:k], "new", *base[k + 1 :]], base[:k] + base[k + 1 :]):
+                wanted[len(rows)] = 3 * (len(rows) // 3)
+                rows.append((len(rows), " ".join(edited)))
+    got = {r.doc_id: r.class_id for r in nd.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    # a text of four words is one edit from its base of five
+    assert got == wanted
+
+
+@pytest.mark.parametrize("n", [5, 8, 10, 12, 15, 20, 30, 50, 99, 100, 101, 110, 125, 126, 150, 300])
+def test_pairs_at_the_similarity_share_a_key(n):
+    draw = random.Random(n)
+    pairs = []
+    for _ in range(300):
+        base = [f"w{draw.randrange(10**6)}" for _ in range(n)]
+        pairs += [" ".join(base).encode(), " ".join(replaced(base, n // 5, draw)).encode()]
+    offsets = np.concatenate([[0], np.cumsum([len(p) for p in pairs])])
+    _, key = nd.keys(nd.words_of(np.frombuffer(b"".join(pairs), np.uint8), offsets))
+    met = ((key[::2] == key[1::2]) & (key[::2] != 0)).any(1)
+    assert met.mean() >= (1 if n <= nd.ONE_EDIT else 0.98)
