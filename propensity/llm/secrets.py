@@ -39,7 +39,7 @@ _uuid = re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
 _digest = re.compile(r"(sha\d*-|md5-|0x)?([0-9a-f]+|[0-9A-F]+)")
 _digest_sizes = {32, 40, 48, 56, 64, 96, 128}
 _stamp = re.compile(r"\d{4}-?\d\d-?\d\d[T_-]?[\d-]*Z?")
-_plain_part = re.compile(r"([A-Z]?[a-z]+)+|[A-Z]+|\d+|[A-Za-z]?\d{1,4}|[a-z]+\d{1,4}")
+_plain_part = re.compile(r"[A-Z]?[a-z]+(?:[A-Z][a-z]+)*|[A-Z]+|\d+|[A-Za-z]?\d{1,4}|[a-z]+\d{1,4}")
 _parts = re.compile(r"[-+/_=]+")
 
 

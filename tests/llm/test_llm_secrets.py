@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import hashlib
 import re
+import subprocess
+import sys
 
 from pyspark.sql import functions as F
 
@@ -71,3 +73,9 @@ def test_redaction(spark):
 def test_known_forms():
     assert all(map(known_form, ("a" * 40, "0" * 20, "2024-01-01T00-00-00Z", "some-long-slug-of-plain-words", "3f" * 32)))
     assert not known_form(RANDOM)
+
+
+def test_long_runs_take_linear_time():
+    """Timed out in its own process: a match that backtracks can't be stopped."""
+    code = "from propensity.llm.secrets import known_form; assert not known_form('a' * 10000 + '9x'); assert known_form('camelCase' * 1000)"
+    subprocess.run([sys.executable, "-c", code], check=True, timeout=60)
