@@ -1,13 +1,16 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
+import string
 import subprocess
 import sys
 
+import pytest
 from pyspark.sql import functions as F
 
-from propensity.llm.secrets import ACCESS, ASSIGN, HEX, known_form, op9_secrets, redacted, secret_spans
+from propensity.llm.secrets import ACCESS, ASSIGN, HEX, known_form, op9_secrets, random_spans, redacted, vocabulary_path, secret_spans
 
 SF = "/root/testdata/sf0.01"
 RANDOM = "kJ8fQ2zLx7Vn4TbW9pRs3mYc"
@@ -79,3 +82,16 @@ def test_long_runs_take_linear_time():
     """Timed out in its own process: a match that backtracks can't be stopped."""
     code = "from propensity.llm.secrets import known_form; assert not known_form('a' * 10000 + '9x'); assert known_form('camelCase' * 1000)"
     subprocess.run([sys.executable, "-c", code], check=True, timeout=60)
+
+
+@pytest.mark.parametrize("signs", [string.ascii_letters, string.ascii_letters + string.digits])
+@pytest.mark.parametrize(("size", "share"), [(12, 0.9), (16, 0.95), (19, 0.95), (24, 0.98), (40, 0.99)])
+def test_random_letters_and_short_keys_are_found(signs, size, share):
+    draw = random.Random(size)
+    keys = ["".join(draw.choices(signs, k=size)) for _ in range(500)]
+    assert sum(random_spans(f"see {k} here", [], vocabulary_path()) == [(4, 3, 4 + size)] for k in keys) >= 500 * share
+
+
+def test_plain_names_are_no_secrets():
+    names = "internationalization INTERNATIONALIZATION Krankenversicherung getElementById readTimeoutMillis user-profile-2023 2024-05-06T07 iPhoneCamera"
+    assert random_spans(names, [], vocabulary_path()) == []
