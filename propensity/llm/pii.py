@@ -10,6 +10,7 @@ numbers, and names behind a title. Every distinct entity gets one surrogate, dra
 
 A surrogate is a function of (key, kind, entity, attempt). The distinct entities are drawn at once; those that meet another entity's
 surrogate or an entity that occurs in the corpus draw again, and the smallest in order keeps the one that several drew, until no collision is left.
+Names get one more syllable with every ``GROWS`` attempts, so there are enough for any number of entities.
 
 Texts are cut at the matches and joined again; only the matches are moved to count them, and texts are shuffled only if they hold one.
 
@@ -52,6 +53,7 @@ SYLLABLES = {
     "kana": "あ い う え お か き く け こ さ し す せ た ち つ と な に の は ひ ふ ま み む も や ゆ ら り",
     "arabic": "با بي دا دي را ري سا سي فا في كا كي لا لي ما مي نا ني ها هي وا وي يا زا زي طا عا قا شا جا حا خا",
 }
+GROWS = 2
 ENDINGS = {"latin": ("n", "na", "l"), "cyrillic": ("н", "на", "й"), "greek": ("ς", "να", "ν"), "han": ("军", "美", "文"), "kana": ("お", "こ", "み"), "arabic": ("د", "ة", "ر")}
 SCRIPTS = {
     "cyrillic": r"^\p{IsCyrillic}",
@@ -125,25 +127,30 @@ def _with_check_digit(number: Column) -> Column:
     return F.concat(F.substr(number, F.lit(1), F.length(number) - 1), ((F.lit(10) - total % 10) % 10).cast("string"))
 
 
-def _syllables(script: str, draws: Column, at: Column, ending: Column | None) -> Column:
+def _syllables(script: str, draws: Column, at: Column, ending: Column | None, attempt: Column) -> Column:
     names = F.split(F.lit(SYLLABLES[script]), " ")
     count = 2 if script in ("han", "kana", "arabic") else 3
     parts = [F.element_at(names, _number(draws, at * 5 + j, 32) + 1) for j in range(count)]
-    return F.concat(*parts, *([] if ending is None else [ending]))
+    # later ones draw from a digest of their own
+    more = F.transform(
+        F.slice(F.sequence(F.lit(0), F.floor(attempt / GROWS).cast("int")), 2, 1 << 20),
+        lambda k: F.element_at(names, _number(F.sha2(F.concat_ws("\u0003", draws, at.cast("string"), k.cast("string")), 256), 0, 32) + 1),
+    )
+    return F.concat(*parts, F.array_join(more, ""), *([] if ending is None else [ending]))
 
 
 def _script(part: Column) -> Column:
     return reduce(lambda c, x: F.when(part.rlike(SCRIPTS[x]), x).otherwise(c), SCRIPTS, F.lit("latin"))
 
 
-def _name(parts: Column, gender: Column, draws: Column) -> Column:
+def _name(parts: Column, gender: Column, draws: Column, attempt: Column) -> Column:
     """As many parts as the name has, in the script of each; the first of several carries the gender's ending."""
 
     def one(part: Column, i: Column) -> Column:
         chosen = F.lit(None).cast("string")
         for script, (m, f, n) in ENDINGS.items():
             ending = F.when(F.size(parts) == 1, "").when(i > 0, "").when(gender == "m", m).when(gender == "f", f).otherwise(n)
-            chosen = F.when(_script(part) == script, _syllables(script, draws, i, ending)).otherwise(chosen)
+            chosen = F.when(_script(part) == script, _syllables(script, draws, i, ending, attempt)).otherwise(chosen)
         return chosen
 
     return F.array_join(F.transform(parts, one), " ")
@@ -160,7 +167,7 @@ def surrogate(key: str, kind: Column, entity: Column, gender: Column, parts: Col
         .when(kind == "ipv6", F.concat(F.lit("2001:db8:"), F.concat_ws(":", *[F.substr(draws, F.lit(1 + 4 * i), F.lit(4)) for i in range(6)])))
         .when(kind == "card", _with_check_digit(_digits(entity, draws, 1)))
         .when(kind == "iban", _digits(entity, draws, 2))
-        .when(kind == "name", _name(parts, gender, draws))
+        .when(kind == "name", _name(parts, gender, draws, attempt))
         .otherwise(_digits(entity, draws, F.when(F.length(entity) > 10, F.length(entity) - 10).otherwise(0)))
     )
 

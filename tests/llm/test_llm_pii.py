@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from propensity.llm import pii
@@ -98,3 +99,10 @@ def test_repeats_and_empty_tables(spark):
 def test_plan_is_native(spark):
     plan = pseudonymised(frame(spark))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+@pytest.mark.parametrize(("first", "count"), [("山", 1500), ("m", 36000)])
+def test_more_one_part_names_than_short_surrogates(spark, first, count):
+    known = spark.range(count).selectExpr("'name' AS kind", f"concat('{first}', id) AS entity", "'n' AS gender", f"array(concat('{first}', id)) AS parts")
+    made = [r.made for r in pii.distinct_surrogates(known, "k").collect()]
+    assert len(made) == len(set(made)) == count
