@@ -1,10 +1,10 @@
 """Surrogates for personal data, in DataFrame expressions alone.
 
 Detected kinds: e-mail addresses, phone numbers, payment cards, IPv4 and IPv6 addresses, bank accounts (IBAN), US social security
-numbers, and names behind a title. Every distinct entity gets one surrogate, drawn with a secret key, in all texts
+numbers, and names behind a title; the README names what is not detected. Every distinct entity gets one surrogate, drawn with a secret key, in all texts
 (coreference), and no two entities of a kind share one (distinctness):
 
-* Numbers keep their signs: every digit becomes another digit, brackets, blanks and the country code stay, a card keeps its first digit and
+* Numbers keep their signs: every digit becomes another digit, brackets, blanks and what stands before the last ten digits of a phone number stay, a card keeps its first digit and
   gets a valid check digit, IPv4 numbers stay in range. Addresses stay under reserved example domains.
 * A name keeps its title, and so its gender, its script (Latin, Cyrillic, Greek, Han, Kana, Arabic), its number of parts and its case.
 
@@ -15,7 +15,7 @@ Names get one more syllable with every ``GROWS`` attempts, so there are enough f
 Texts are cut at the matches and joined again; only the matches are moved to count them, and texts are shuffled only if they hold one.
 
 Defined cases: null texts stay null, empty ones empty; repeated rows are all replaced alike; a text without an entity comes out as it is;
-equal entities in different writing (case of an address, signs of a number) are one entity and keep their writing.
+equal entities in different writing (case of an address, signs of a number, zeros of an IPv6 address) are one entity and keep their writing.
 """
 
 from __future__ import annotations
@@ -32,11 +32,14 @@ KEY = "change-me"
 PATTERNS = {
     "email": r"[A-Za-z0-9_%+-]+(?:\.[A-Za-z0-9_%+-]+)*@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}",
     "iban": r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b",
-    "ipv6": r"(?<![0-9A-Fa-f:])(?:[0-9a-fA-F]{1,4}:){7}[0-9a-fA-F]{1,4}(?![0-9A-Fa-f:])",
+    "ipv6": r"(?<![0-9A-Fa-f:])(?:[0-9a-fA-F]{1,4}:){7}[0-9a-fA-F]{1,4}(?![0-9A-Fa-f:])"
+    r"|(?<![0-9A-Za-z:.])(?=[0-9A-Fa-f:]*[0-9A-Fa-f]{3})(?=[A-Fa-f:]*[0-9])(?:[0-9a-fA-F]{1,4}(?::[0-9a-fA-F]{1,4}){0,6})?::(?:[0-9a-fA-F]{1,4}(?::[0-9a-fA-F]{1,4}){0,5})?(?![0-9A-Za-z:]|\.[0-9])",
     "ipv4": r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?![0-9]|\.[0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
-    "card": r"(?<![0-9A-Za-z])[0-9]{4}([ -]?)[0-9]{4}\1[0-9]{4}\1[0-9]{1,7}(?![0-9A-Za-z])",
-    "phone": r"(?<![0-9A-Za-z+]|[0-9][.-])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{3}[ .-])[0-9]{3,4}[ .-][0-9]{3,4}(?![0-9A-Za-z]|[.-][0-9])",
+    "card": r"(?<![0-9A-Za-z])(?:[0-9]{4}([ -]?)[0-9]{4}\1[0-9]{4}\1[0-9]{1,7}|3[0-9]{3}(?: [0-9]{6} [0-9]{4,5}|-[0-9]{6}-[0-9]{4,5}))(?![0-9A-Za-z])",
+    "phone": r"(?<![0-9A-Za-z+]|[0-9][.-])(?:(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{3}[ .-])[0-9]{3,4}[ .-][0-9]{3,4}"
+    r"|\+(?=(?:[ .()-]{0,2}[0-9]){8})[1-9][0-9]{0,2}(?:[ .-]?\([0-9]{1,4}\))?(?:[ .-]?[0-9]{2,4}|[ .-][0-9]){2,6}"
+    r"|0[1-9](?:[ .-][0-9]{2}){4}|0[0-9]{2,4}[ /-][0-9]{5,8})(?![0-9A-Za-z]|[.-][0-9])",
 }
 #: Titles by gender.
 TITLES = {
@@ -86,10 +89,19 @@ def _kind(match: Column) -> Column:
 _PUNCTUATION = r"[^\p{L}\p{N}]"
 
 
+def _full_ipv6(address: Column) -> Column:
+    """All eight groups of four digits, in lower case."""
+    ends = F.split(F.lower(address), "::")
+    left, right = (F.filter(F.split(F.coalesce(F.get(ends, i), F.lit("")), ":"), lambda g: g != "") for i in (0, 1))
+    groups = F.concat(left, F.array_repeat(F.lit("0"), F.lit(8) - F.size(left) - F.size(right)), right)
+    return F.array_join(F.transform(groups, lambda g: F.lpad(g, 4, "0")), ":")
+
+
 def canonical(kind: Column, match: Column) -> Column:
     """What two writings of one entity share: letters in lower case and digits, for a name its parts without the title."""
     bare = F.when(kind == "name", F.regexp_replace(match, r"^\S+ ", "")).otherwise(match)
-    return F.when(kind.isin("email", "ipv4", "ipv6"), F.lower(match)).otherwise(F.lower(F.regexp_replace(bare, _PUNCTUATION, "")))
+    address = F.when(kind == "ipv6", _full_ipv6(match)).otherwise(F.lower(match))
+    return F.when(kind.isin("email", "ipv4", "ipv6"), address).otherwise(F.lower(F.regexp_replace(bare, _PUNCTUATION, "")))
 
 
 def _draws(key: str, kind: Column, entity: Column, attempt: Column) -> Column:
@@ -213,7 +225,7 @@ def distinct_surrogates(known: DataFrame, key: str) -> DataFrame:
     made = surrogate(key, F.col("kind"), F.col("entity"), F.col("gender"), F.col("parts"), F.col("attempt"))
     drawn = materialize(known.withColumn("attempt", F.lit(0)).withColumn("made", made))
     while True:
-        mark = F.when(F.col("kind") == "name", F.lower(F.regexp_replace("made", _PUNCTUATION, ""))).otherwise(F.lower("made"))
+        mark = F.when(F.col("kind") == "name", F.lower(F.regexp_replace("made", _PUNCTUATION, ""))).when(F.col("kind") == "ipv6", _full_ipv6(F.col("made"))).otherwise(F.lower("made"))
         marked = drawn.withColumn("mark", mark)
         # who drew first keeps it: the earliest attempt, then the smallest entity
         owner = marked.groupBy("kind", "mark").agg(F.min(F.struct("attempt", "entity")).alias("owner"), F.count("*").alias("drew"))

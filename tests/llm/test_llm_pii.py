@@ -106,3 +106,32 @@ def test_more_one_part_names_than_short_surrogates(spark, first, count):
     known = spark.range(count).selectExpr("'name' AS kind", f"concat('{first}', id) AS entity", "'n' AS gender", f"array(concat('{first}', id)) AS parts")
     made = [r.made for r in pii.distinct_surrogates(known, "k").collect()]
     assert len(made) == len(set(made)) == count
+
+
+FORMS = {
+    "phone": ["+14155550123", "+44 20 7946 0958", "+33 1 23 45 67 89", "01 23 45 67 89", "+49 (0)30 1234567", "030 1234567", "+1 (017) 555-7713"],
+    "ipv6": ["2001:db8::1", "fe80::1ff:fe23:4567:890a", "2001:db8:0:0:0:0:0:1", "2001:DB8::"],
+    "card": ["3782 822463 10005", "3782-822463-10005", "3056 930902 5904", "4111 1111 1111 1111"],
+}
+
+
+def test_usual_forms_are_replaced(spark):
+    rows = [(kind, form) for kind, forms in FORMS.items() for form in forms]
+    docs = spark.createDataFrame([(i, f"see {form}, then") for i, (_, form) in enumerate(rows)], "doc_id long, text string")
+    got = {r.doc_id: r for r in pseudonymised(docs, "k1").collect()}
+    for i, (kind, form) in enumerate(rows):
+        assert got[i].kinds == [kind] and form not in got[i].text, form
+        assert got[i].text.startswith("see ") and got[i].text.endswith(", then"), form
+        if kind != "ipv6":
+            assert re.sub(r"\d", "#", got[i].text) == re.sub(r"\d", "#", f"see {form}, then")
+        if kind == "card":
+            assert luhn(re.sub(r"\D", "", got[i].text))
+    one, other = (got[rows.index(("ipv6", a))].text for a in ("2001:db8::1", "2001:db8:0:0:0:0:0:1"))
+    assert one == other
+
+
+def test_like_forms_stay(spark):
+    texts = ["std::vector a::b x[1::2] at 12:30:45 and ::1", "born 1999-12-31, 100 000 000 and +5 to 12"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.text for r in pseudonymised(docs, "k1").collect()}
+    assert got[0] == texts[0] and got[1].startswith("born 1999-12-31") and got[1].endswith("and +5 to 12")
