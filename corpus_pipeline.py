@@ -1,7 +1,7 @@
 """From raw documents to packed training sequences: each stage works on all that the one before it kept.
 
 Stages keep the columns of ``documents`` (doc_id, text, lang, source, n_chars), the last one returns token pieces with their places in
-sequences. Rows are told apart by a number of their own, so null and repeated ids are no matter. An empty table passes all stages.
+sequences. Other columns are kept whatever their names are: the four filtering stages carry a row in one struct. Rows are told apart by a number of their own, so null and repeated ids are no matter. An empty table passes all stages.
 """
 
 from __future__ import annotations
@@ -19,22 +19,33 @@ from propensity.session import materialize
 ROW = "row_number"
 
 
+def wrapped(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, whole): the other columns are in ``whole`` by their places, so no name of a stage's own meets one of theirs."""
+    others = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns) if c != "text"]
+    return docs.select("doc_id", "text", F.struct(*others).alias("whole"))
+
+
+def unwrapped(rows: DataFrame, docs: DataFrame, **values) -> DataFrame:
+    """The columns of ``docs`` from ``wrapped`` rows, with ``values`` in place of some."""
+    return rows.select(*[values.get(c, F.col("text") if c == "text" else F.col(f"whole.c{i}")).alias(c) for i, c in enumerate(docs.columns)])
+
+
 def numbered(docs: DataFrame) -> DataFrame:
-    """The rows with a number each, written once so that the numbers hold in every later job."""
-    return materialize(docs.withColumn(ROW, F.monotonically_increasing_id()))
+    """The wrapped rows with a number each, written once so that the numbers hold in every later job."""
+    return materialize(wrapped(docs).withColumn(ROW, F.monotonically_increasing_id()))
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose probability of good quality is below one half go."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return selected(docs, labels).where("keep").select(*docs.columns)
+    return unwrapped(selected(wrapped(docs), labels).where("keep"), docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each class of near-duplicates the document with the smallest id stays."""
     rows = numbered(docs)
     classes = near_duplicates(rows.select(F.struct("doc_id", ROW).alias("key"), "text"), "key")
-    return rows.join(classes.where("first").select(f"key.{ROW}"), ROW, "left_semi").select(*docs.columns)
+    return unwrapped(rows.join(classes.where("first").select(f"key.{ROW}"), ROW, "left_semi"), docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,16 +53,19 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     rows = numbered(docs)
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     hit = decontaminate(rows, items, doc_id=ROW).where("n_hit > 0").select(ROW)
-    return rows.join(hit, ROW, "left_anti").select(*docs.columns)
+    return unwrapped(rows.join(hit, ROW, "left_anti"), docs)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are replaced by a mark; every document stays."""
-    found = secret_spans(docs)
+    found = secret_spans(wrapped(docs))
     clean = F.struct(redacted(F.col("text"), F.col("spans")).alias("text"))
-    changed = F.size("spans") > 0
-    values = {"text": F.col("clean.text"), "n_chars": F.when(changed, F.length("clean.text").cast("long")).otherwise(F.col("n_chars"))}
-    return found.withColumn("clean", clean).select(*[values.get(c, F.col(c)).alias(c) for c in docs.columns])
+    rows = found.withColumn("clean", clean)
+    values = {"text": F.col("clean.text")}
+    if "n_chars" in docs.columns:
+        kept = F.col(f"whole.c{docs.columns.index('n_chars')}")
+        values["n_chars"] = F.when(F.size("spans") > 0, F.length("clean.text").cast("long")).otherwise(kept)
+    return unwrapped(rows, docs, **values)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -4,6 +4,7 @@ import re
 
 import oracle
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline as pipeline
 from propensity.llm.decontaminate import decontaminate
@@ -57,3 +58,13 @@ def test_nulls_repeats_and_empty_input(spark):
         assert out.count() == left
         assert pipeline.packing(spark, out, SF).count() == left
     assert pipeline.quality(spark, docs, SF).columns == docs.columns
+
+
+def test_extra_columns_keep_their_values(spark):
+    names = ["spans", "clean", "keep", "tails", "expected_grade", "row_number", "whole", "a.b"]
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(60)
+    more = docs.select("*", *[F.concat(F.lit(f"{n} "), F.col("doc_id").cast("string")).alias(n) for n in names])
+    for name, stage in pipeline.STAGES[:-1]:
+        out = stage(spark, more, SF)
+        assert out.columns == more.columns, name
+        assert all(r[n] == f"{n} {r.doc_id}" for r in out.collect() for n in names), name
