@@ -249,13 +249,16 @@ def quality_findings(raw: DataFrame, clean: DataFrame, spec: TableSpec, pattern:
         return df.select(F.lit(metric).alias("metric"), column.alias("column"), value.cast("string").alias("value"))
 
     ids = id_pattern(raw, spec.id, pattern)
+    # raw rows may hold text; those without a valid target don't count
+    target = v.parsed_number(F.col(spec.target).cast("string"))
+    read = raw.select(F.when(target.isin(0, 1), target).alias(spec.target))
     parts = [
         rows(conflicting_targets(clean, spec).agg(F.count("*").alias("n")), "conflicting_targets", nothing, F.col("n")),
         rows(effect_screen(clean, spec), "effect", F.col("feature"), F.col("effect")),
         rows(sentinel_counts(raw, columns), "sentinels", F.col("sentinel"), F.col("cells")),
         rows(near_constant(clean, list(spec.features)), "near_constant", F.col("column"), F.col("top_share")),
         *[rows(ids, f"id_{c}", F.lit(spec.id), F.col(c)) for c in ids.columns],
-        rows(prevalence_before_after(clean, clean, spec).where("stage = 'deduplicated'"), "prevalence", F.col("stage"), F.col("prevalence")),
+        rows(prevalence_before_after(read, clean, spec), "prevalence", F.col("stage"), F.col("prevalence")),
         rows(observed_types(clean), "observed_type", F.col("column"), F.col("type")),
     ]
     return reduce(DataFrame.unionByName, parts)

@@ -3,7 +3,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pytest
-from conftest import raw_frame_of
+from conftest import raw_frame_of, raw_records
 
 from propensity.leads import LEADS
 from propensity.operators import quality
@@ -115,3 +115,12 @@ def test_report_has_every_field(raw_frame, clean):
         "missing_counts", "duplicate_rows", "duplicate_ids", "target_prevalence", "date_min", "date_max",
         "cardinality", "rare_categories", "outliers",
     }
+
+
+def test_findings_hold_the_prevalence_before_and_after(spark):
+    records = raw_records()
+    raw = raw_frame_of(spark, records + [r for r in records if r["completed_purchase"] == "1"])
+    found = quality.quality_findings(raw, prepare(raw, LEADS).frame, LEADS).where("metric = 'prevalence'").collect()
+    ones = sum(r["completed_purchase"] == "1" for r in records)
+    got = {r["column"]: float(r["value"]) for r in found}
+    assert set(got) == {"raw", "deduplicated"} and abs(got["raw"] - 2 * ones / (60 + ones)) < 1e-9 and got["deduplicated"] < got["raw"]
