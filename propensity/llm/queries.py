@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from propensity.llm import decontaminate, near_duplicates, neighbours, packing, pii, quality, resampling, secrets, sharding, substrings, toxicity, urls
+from propensity.llm import decontaminate, lexical, near_duplicates, neighbours, packing, pii, quality, resampling, secrets, sharding, substrings, toxicity, urls
 
 QUERIES = {
     "op1_decontamination": decontaminate.op1_decontamination,
@@ -15,12 +15,14 @@ QUERIES = {
     "op8_near_duplicates": near_duplicates.op8_near_duplicates,
     "op9_secrets": secrets.op9_secrets,
     "op10_quality": quality.op10_quality,
+    "op11_lexical_search": lexical.op11_lexical_search,
     "op12_resampling": resampling.op12_resampling,
     "op13_substrings": substrings.op13_substrings,
 }
 ORACLES = {
     "op1_decontamination": decontaminate.OP1_SQL,
     "op7_sharding": sharding.OP7_SQL,
+    "op11_lexical_search": lexical.OP11_SQL,
     "op12_resampling": resampling.OP12_SQL,
     "op13_substrings": substrings.OP13_SQL,
 }

@@ -1,0 +1,106 @@
+from __future__ import annotations
+
+import math
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import oracle
+import pytest
+
+from propensity.llm.lexical import OP11_SQL, FpTree, _nodes, measures, op11_lexical_search, ranked_search, saturated
+
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def terms(text):
+    return ["".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t) for t in TERM.findall(text or "")]
+
+
+def brute(docs, items, k):
+    found = [(i, terms(t)) for i, t in docs]
+    n, length = sum(bool(w) for _, w in found), sum(len(w) for _, w in found)
+    df = Counter(t for _, w in found for t in set(w))
+    out = []
+    for item, text in items:
+        scores = []
+        for doc_id, w in found:
+            tf = Counter(w)
+            m = 10 + 90 * len(w) * n // length
+            score = sum(math.floor(1000 * math.log((2 * n + 2) / (2 * df[t] + 1))) * (1_000_000_000 * tf[t] // (1000 * tf[t] + 8 * m)) for t in set(terms(text)) if tf[t])
+            if score > 0:
+                scores.append((-score, doc_id is None, doc_id or 0, doc_id))
+        out += [(item, rank, s[3], -s[0]) for rank, s in enumerate(sorted(scores, key=lambda s: s[:3])[:k], 1)]
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("sizes", [{}, {"tree_docs": 40, "leaf": 2}, {"block_terms": 12, "tree_docs": 100, "leaf": 4}])
+def test_equal_to_brute_force(spark, sizes):
+    rng = random.Random(5)
+    words = [f"w{min(int(rng.expovariate(0.1)), 60)}" for _ in range(400)] + ["Öl", "ÖL", "𝒳y"]
+    docs = [(i, rng.choice([" ", "-", "\n"]).join(rng.choice(words).upper() if i % 3 else rng.choice(words) for _ in range(rng.randrange(1, 50)))) for i in range(300)]
+    docs += [(400 + i, docs[7][1]) for i in range(40)]  # copies: equal scores
+    docs += [(5, docs[9][1]), (5, docs[9][1]), (None, docs[9][1]), (901, None), (902, ""), (903, "..."), (904, "w1 " * 200_000 + "öl")]
+    items = [(i, " ".join(rng.sample(words, 12))) for i in range(8)] + [(8, docs[7][1]), (9, docs[9][1]), (10, ""), (11, None), (12, "unknown words"), (None, "w3"), (8, docs[7][1])]
+    d = spark.createDataFrame([(*r, "x", 1) for r in docs], "doc_id long, text string, terms string, n int")
+    b = spark.createDataFrame([(*r, 2) for r in items], "item_id long, text string, row int")
+    for k in (1, 10):
+        got = sorted(((r.item_id, r.rank, r.doc_id, r.score) for r in ranked_search(d, b, k, **sizes).collect()), key=repr)
+        assert got == brute(docs, items, k)
+
+
+def test_empty_tables(spark):
+    d = spark.createDataFrame([(1, "some words")], "doc_id long, text string")
+    b = spark.createDataFrame([(1, "some")], "item_id long, text string")
+    # one document holds the term: its weight is floor(1000 ln(4/3))
+    assert [(r.rank, r.doc_id) for r in ranked_search(d, b).collect()] == [(1, 1)]
+    assert ranked_search(d.limit(0), b).collect() == ranked_search(d, b.limit(0)).collect() == []
+    assert ranked_search(d.where("false"), b.where("false")).columns == ["item_id", "rank", "doc_id", "score"]
+
+
+def tree_of(vectors, n_terms, leaf):
+    first = np.cumsum([0] + [len(v) for v in vectors])
+    flat = np.array([t for v in vectors for t in sorted(v)], np.int64)
+    tf = np.array([v[t] for v in vectors for t in sorted(v)], np.int64)
+    m = measures(np.array([sum(v.values()) for v in vectors], np.int64), len(vectors), sum(sum(v.values()) for v in vectors))
+    return FpTree.grow(list(range(len(vectors))), first, flat, tf, m, n_terms, leaf), m
+
+
+def test_bounds_hold_below_every_node_and_prune():
+    rng = random.Random(2)
+    vectors = [Counter(min(int(rng.expovariate(0.05)), 99) for _ in range(rng.randrange(1, 40))) for _ in range(600)]
+    vectors += [vectors[3]] * 50
+    tree, m = tree_of(vectors, 100, 4)
+    assert sorted(tree.ids) == list(range(650)) and int(tree.own[-1]) == 650
+
+    def below(node):
+        return set(range(int(tree.own[node]), int(tree.own[node + 1]))).union(*(below(c) for c in tree.children[node]))
+
+    for node in range(len(tree.children)):
+        docs = [tree.ids[d] for d in below(node)]
+        assert tree.least[node] == min(m[d] for d in docs)
+        assert all(tree.most[node, t] == max(vectors[d][t] for d in docs) for t in range(100))
+    # a rare term's item visits few documents; copies lie in one node
+    best: list = []
+    seen = tree.search(np.array([80, 95]), np.array([5000, 9000]), 3, best)
+    assert 0 < seen < 650
+    wanted = sorted(((int(sum(w * saturated(np.array(vectors[d][t]), m[d]) for t, w in ((80, 5000), (95, 9000)))), -d) for d in range(650)), reverse=True)[:3]
+    assert sorted(((s, -e.id) for s, e in best), reverse=True) == [x for x in wanted if x[0] > 0]
+    home = {int(np.searchsorted(tree.own, tree.ids.index(d), side="right")) for d in range(600, 650)}
+    assert len(home) == 1
+
+
+def test_nodes_of_a_few_prefixes():
+    # documents ab, abc, abd, ac, b: the first four share one term, the first three two
+    assert _nodes([0, 2, 2, 1, 0], 5, 2) == ([0, 0, 0], [5, 4, 3], [0, 0, 1])
+    assert _nodes([0, 2, 2, 1, 0], 5, 4) == ([0, 0], [5, 4], [0, 0])
+    assert _nodes([0], 1, 2) == ([0], [1], [0])
+
+
+def test_measures_do_not_overflow():
+    assert measures(np.array([10**9, 1]), 10**11, 10**13).tolist() == [10 + 90 * 10**20 // 10**13, 10]
+
+
+def test_query_equals_its_sql(spark):
+    assert oracle.difference(op11_lexical_search(spark, "/root/testdata/sf0.001"), oracle.connect("/root/testdata/sf0.001"), OP11_SQL) is None
