@@ -36,13 +36,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from propensity.llm.words import mixed, runs, slices, span_hashes
+from propensity.llm.words import SLICE_BYTES, mixed, runs, slices, span_hashes
 from propensity.session import materialize
 
 WINDOW = 35
 #: Perfect difference sets, the period first.
 COVERS = ((13, (0, 1, 3, 9)), (7, (0, 1, 3)), (3, (0, 1)), (1, (0,)))
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 8 << 20
 BUCKET_KEYS = 4_000_000
 _ANCHOR_BYTES, _WINDOW_BYTES = 5, 12
 _OTHER = np.uint64(0x5851F42D4C957F2D)
@@ -86,6 +86,17 @@ def _inside(data: np.ndarray) -> np.ndarray:
     return ~((data == 0x20) | ((data >= 0x09) & (data <= 0x0D)))
 
 
+def _word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The words' hashes, some ``SLICE_BYTES`` of text at a time, as eight bytes are needed for each byte."""
+    out, a = np.zeros(len(starts), np.uint64), 0
+    while a < len(starts):
+        base = int(starts[a])
+        b = max(a + 1, int(np.searchsorted(ends, base + SLICE_BYTES)))
+        out[a:b] = span_hashes(data[base : ends[b - 1]], starts[a:b] - base, ends[a:b] - base)
+        a = b
+    return out
+
+
 @dataclass
 class Chunk:
     """The words of a chunk's documents: byte places, hashes, and for document i the words first[i]:first[i + 1]."""
@@ -103,7 +114,7 @@ class Chunk:
         table = pa.ipc.open_stream(texts).read_all().combine_chunks()
         ((_, _, data, offsets),) = slices(table["text"].combine_chunks(), 1 << 62)
         starts, ends = runs(_inside(data), offsets)
-        return cls(table["id"].combine_chunks(), data, offsets, starts, ends, span_hashes(data, starts, ends), np.searchsorted(starts, offsets))
+        return cls(table["id"].combine_chunks(), data, offsets, starts, ends, _word_hashes(data, starts, ends), np.searchsorted(starts, offsets))
 
     def anchors(self, window: int) -> tuple[np.ndarray, np.ndarray]:
         """Words at cover places that start an anchor, and the anchors' hashes."""
