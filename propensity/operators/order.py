@@ -7,8 +7,12 @@ into many slices by the next key. Only one number per slice (and group) is combi
 from __future__ import annotations
 
 import math
+import re
+import struct
 from collections.abc import Iterable, Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from decimal import Decimal
+from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -97,22 +101,142 @@ def running_totals(
     )
 
 
-# --- order statistics ---------------------------------------------------------------------------
+# --- selection of places ------------------------------------------------------------------------
+
+BITS = 10  # of a key that one scan settles
+VALUES = 1_000  # rows of an interval whose keys are counted one by one
+_LONGEST = (1 << 63) - 1
+_MANTISSA = 1 << 52
+
 
-BINS = 256
-VALUES = 1_000  # rows of an interval from which the values themselves are fetched
-_EXACT = 1 << 53
+def ordered_bits(value: Column) -> Column:
+    """A double as a whole number of the same order: its sign, exponent and fraction bits. NaN is the largest, both zeros are one.
+
+    Powers of two are exact, so the quotient below is; the exponent that the logarithm suggests may be off by one and is put right.
+    """
+    size = F.abs(value)
+    power = F.greatest(F.least(F.floor(F.log2(size)).cast("double"), F.lit(1023.0)), F.lit(-1022.0))
+    part = size / F.pow(F.lit(2.0), power)
+    shift = F.when(part >= 2, 1.0).when(part < 1, -1.0).otherwise(0.0)
+    fraction = part / F.pow(F.lit(2.0), shift) - 1
+    normal = (power + shift + 1023).cast("long") * _MANTISSA + (fraction * float(_MANTISSA)).cast("long")
+    small = (size / F.lit(5e-324)).cast("long")
+    bits = F.when(size == math.inf, F.lit(2047 * _MANTISSA)).when(size >= 2.2250738585072014e-308, normal).otherwise(small)
+    return F.when(F.isnan(value), F.lit(_LONGEST)).when(value < 0, -bits).otherwise(bits)
+
+
+def double_of(bits: int) -> float:
+    """The double with these :func:`ordered_bits`."""
+    if bits == _LONGEST:
+        return math.nan
+    return math.copysign(struct.unpack("<d", struct.pack("<q", abs(bits)))[0], -1.0 if bits < 0 else 1.0)
+
+
+def text_keys(text: Column, width: int) -> list[Column]:
+    """Whole numbers that order texts of up to ``width`` bytes like their bytes: seven bytes each, with how many there are."""
+    data = F.encode(text, "UTF-8")
+    keys = []
+    for at in range(0, max(width, 1), 7):
+        part = F.substring(data, at + 1, 7)
+        bits = F.conv(F.rpad(F.hex(part), 14, "0"), 16, 10).cast("long")
+        keys.append(F.shiftleft(bits, 3) + F.octet_length(part))
+    return keys
+
+
+@dataclass(frozen=True)
+class Search:
+    """Places (from 0) sought among the rows that meet ``where``, ordered by ``keys`` one after the other; keys are whole numbers
+    without null, within ``ends``."""
+
+    where: Column | None
+    keys: tuple[Column, ...]
+    ends: tuple[tuple[int, int], ...]
+    rows: int
+    places: tuple[int, ...]
 
 
-@dataclass
-class _Interval:
-    """Values from ``low`` to ``high`` (both occur), ``rows`` of them, ``below`` rows before, and the places sought in it."""
+@dataclass(frozen=True)
+class _Part:
+    """Rows of a search whose first keys are ``settled`` and whose next one lies from ``low`` to ``high``."""
 
-    low: float
-    high: float
+    search: int
+    settled: tuple[int, ...]
+    low: int
+    high: int
     rows: int
     below: int
-    places: list[int]
+    sums: tuple[int, ...]  # of all rows below
+    places: tuple[int, ...]
+
+
+def select_places(df: DataFrame, searches: Sequence[Search], sums: Sequence[Column] = ()) -> list[dict[int, tuple]]:
+    """For each search ``{place: (keys at the place, sums over the rows before it)}``, without ordering any rows.
+
+    Each scan counts the rows of the open parts by the next ``BITS`` bits of their key. The place's bin, from its smallest to its largest
+    key, is the next part, so a key of 64 bits takes 7 scans at most whatever the values are. What moves are counters, at most 2^BITS for each part
+    and task. A place at the start of a bin is not followed further if only sums are asked for.
+    """
+    found: list[dict[int, tuple]] = [{} for _ in searches]
+    parts = [_Part(i, (), *s.ends[0], s.rows, 0, (0,) * len(sums), s.places) for i, s in enumerate(searches) if s.places]
+    parts = _open(parts, searches, found)
+    while parts:
+        parts = _open(_scanned(df, searches, parts, sums, found), searches, found)
+    return found
+
+
+def _open(parts: list[_Part], searches: Sequence[Search], found: list[dict]) -> list[_Part]:
+    """Parts with one key go on with the next key; after the last one their places are found."""
+    rest = []
+    for p in parts:
+        while p is not None and p.low == p.high:
+            settled, ends = (*p.settled, p.low), searches[p.search].ends
+            if len(settled) == len(ends):
+                found[p.search].update({place: (settled, p.sums) for place in p.places})
+                p = None
+            else:
+                p = replace(p, settled=settled, low=ends[len(settled)][0], high=ends[len(settled)][1])
+        if p is not None:
+            rest.append(p)
+    return rest
+
+
+def _scanned(df: DataFrame, searches: Sequence[Search], parts: list[_Part], sums: Sequence[Column], found: list[dict]) -> list[_Part]:
+    """One scan: the parts of the next one."""
+    cells = []
+    for i, p in enumerate(parts):
+        s, depth = searches[p.search], len(p.settled)
+        key, inside = s.keys[depth], s.where
+        for k, at in zip(s.keys, p.settled):
+            inside = k == at if inside is None else inside & (k == at)
+        if p.rows < s.rows or inside is None:
+            between = key.between(p.low, p.high)
+            inside = between if inside is None else inside & between
+        shift = 0 if p.rows <= VALUES else max(0, ((p.high >> 1) - (p.low >> 1)).bit_length() + 1 - BITS)
+        cells.append(F.when(inside, F.struct(F.lit(i).alias("i"), F.shiftright(key, shift).alias("bin"), key.alias("key"))))
+    added = [x.cast("long").alias(f"s{j}") for j, x in enumerate(sums)]
+    hits = df.select(F.explode(F.array(*cells)).alias("x"), *added).where("x IS NOT NULL").select("x.*", *[f"s{j}" for j in range(len(sums))])
+    totals = [F.coalesce(F.sum(f"s{j}"), F.lit(0)).alias(f"s{j}") for j in range(len(sums))]
+    counted = hits.groupBy("i", "bin").agg(F.count("*").alias("rows"), F.min("key").alias("low"), F.max("key").alias("high"), *totals)
+    bins: dict[int, list] = {}
+    for r in counted.collect():  # 2^BITS rows for each part at most, or VALUES
+        bins.setdefault(r["i"], []).append((r["low"], r["high"], r["rows"], tuple(r[f"s{j}"] for j in range(len(sums)))))
+    following = []
+    for i, p in enumerate(parts):
+        below, so_far = p.below, p.sums
+        for low, high, rows, here in sorted(bins.get(i, [])):
+            mine = tuple(x for x in p.places if below <= x < below + rows)
+            if sums and below in mine:  # nothing of the bin stands before its first place
+                found[p.search][below] = ((*p.settled, low), so_far)
+                mine = tuple(x for x in mine if x != below)
+            if mine:
+                following.append(_Part(p.search, p.settled, low, high, rows, below, so_far, mine))
+            below, so_far = below + rows, tuple(a + b for a, b in zip(so_far, here, strict=True))
+        if below != p.below + p.rows:
+            raise RuntimeError("the rows changed between two scans; materialize the frame first")
+    return following
+
+
+# --- order statistics ---------------------------------------------------------------------------
 
 
 def order_statistics(df: DataFrame, wanted: Mapping[str, Iterable[tuple[float, str]]]) -> dict:
@@ -122,99 +246,61 @@ def order_statistics(df: DataFrame, wanted: Mapping[str, Iterable[tuple[float, s
     (place ``(n-1)*share`` rounded half to even). Returns ``{column: {(share, how): value}}``; None if a
     column has no value.
 
-    Each scan counts the values of the intervals that hold an open place in ``BINS`` equal bins; a place's bin, from its
-    smallest to its largest value, is its next interval. From an interval with few rows the distinct values are fetched. The
-    smallest and the largest value of an interval fall into different bins, so every scan narrows it, and a bin with one value is found. What
-    moves are counters, at most ``BINS`` for each place and task; no column is sorted and no value has a task of its own.
+    Values become whole numbers of the same order: doubles their bits, whole numbers themselves, decimals of up to 18 digits their digits. Places
+    are found by :func:`select_places`, all columns in the same scans. Other columns count as doubles.
 
-    NaN counts as null. Whole numbers beyond 2^53 are refused, as they are no longer exact as doubles.
+    NaN counts as null. ``nearest`` gives whole numbers and decimals exactly, of any size; ``linear`` gives the nearest double.
     """
     wanted = {c: list(dict.fromkeys(pairs)) for c, pairs in wanted.items()}
     if not wanted:
         return {}
-    doubles, facts = _doubles(df, list(wanted))
-    found: dict[str, dict[int, float]] = {c: {} for c in wanted}
-    open_: list[tuple[str, _Interval]] = []
-    for c, pairs in wanted.items():
-        f = facts[c]
-        places = sorted({p for share, how in pairs for p in _places(f["n"], share, how)}) if f["n"] else []
-        for p in places:
-            if p < f["least"]:
-                found[c][p] = -math.inf
-            elif p >= f["n"] - f["most"]:
-                found[c][p] = math.inf
-        inner = [p for p in places if p not in found[c]]
-        if inner:
-            open_.append((c, _Interval(f["low"], f["high"], f["n"] - f["least"] - f["most"], f["least"], inner)))
-    open_ = _settled(open_, found)
-    while open_:
-        open_ = _settled(_narrowed(doubles, open_, found), found)
-    return {c: {pair: _value(found[c], facts[c]["n"], *pair) if facts[c]["n"] else None for pair in pairs} for c, pairs in wanted.items()}
-
-
-def _doubles(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, dict[str, dict]]:
-    """The columns as doubles without NaN, and of each its rows, infinite rows and finite ends, in one pass."""
-    whole = {f.name for f in df.schema if isinstance(f.dataType, (T.LongType, T.DecimalType))}
-    doubles = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in columns])
-    aggregates = []
-    for i, c in enumerate(columns):
-        x = F.col(c)
-        finite = F.when(F.abs(x) < math.inf, x)
-        aggregates += [
-            F.struct(
-                F.count(x).alias("n"),
-                F.count_if(x == -math.inf).alias("least"),
-                F.count_if(x == math.inf).alias("most"),
-                F.min(finite).alias("low"),
-                F.max(finite).alias("high"),
-            ).alias(f"f{i}")
-        ]
-    row = doubles.agg(*aggregates).first()
-    facts = {c: row[f"f{i}"].asDict() for i, c in enumerate(columns)}
-    for c in whole & set(columns):
-        if facts[c]["low"] is not None and max(-facts[c]["low"], facts[c]["high"]) >= _EXACT:
-            raise ValueError(f"column {c} has whole numbers beyond 2^53, which have no exact place as doubles")
-    return doubles, facts
-
-
-def _settled(intervals: list[tuple[str, _Interval]], found: dict) -> list[tuple[str, _Interval]]:
-    """Intervals with more than one value; places in the others are found."""
-    rest = []
-    for c, x in intervals:
-        if x.low == x.high:
-            found[c].update(dict.fromkeys(x.places, x.low))
-        else:
-            rest.append((c, x))
-    return rest
+    kinds = {c: _kind(df.schema[c].dataType) for c in wanted}
+    columns = {f"k{i}": c for i, c in enumerate(wanted)}
+    keyed = df.select(*[_key(F.col(f"`{c}`"), kinds[c]).alias(k) for k, c in columns.items()])
+    if is_computed(df):
+        keyed = materialize(keyed)
+    facts = keyed.agg(*[F.struct(F.count(k).alias("n"), F.min(k).alias("low"), F.max(k).alias("high")).alias(k) for k in columns]).first()
+    searches, sizes = [], {}
+    for k, c in columns.items():
+        n = sizes[c] = facts[k]["n"]
+        places = tuple(sorted({p for share, how in wanted[c] for p in _places(n, share, how)})) if n else ()
+        searches.append(Search(None, (F.col(k),), ((facts[k]["low"], facts[k]["high"]),), n, places))
+    found = select_places(keyed, searches)
+    result = {}
+    for places, (c, pairs) in zip(found, wanted.items(), strict=True):
+        values = {p: _value_of(keys[0], kinds[c]) for p, (keys, _) in places.items()}
+        result[c] = {pair: _value(values, sizes[c], *pair) if sizes[c] else None for pair in pairs}
+    return result
 
 
-def _narrowed(doubles: DataFrame, intervals: list[tuple[str, _Interval]], found: dict) -> list[tuple[str, _Interval]]:
-    """One scan: places of small intervals go to ``found``, of the others the intervals of the next scan are returned."""
-    cells = []
-    for i, (c, x) in enumerate(intervals):
-        value = F.col(c)
-        # halves, so that the width of an interval is finite
-        share = (value / 2 - x.low / 2) / (x.high / 2 - x.low / 2)
-        bin_ = F.least(F.floor(share * BINS), F.lit(BINS - 1)).cast("int") if x.rows > VALUES else F.lit(None).cast("int")
-        inside = (value >= x.low) & (value <= x.high)
-        cells.append(F.when(inside, F.struct(F.lit(i).alias("i"), bin_.alias("bin"), F.when(F.lit(x.rows <= VALUES), value).alias("exact"), value.alias("value"))))
-    hits = doubles.select(F.explode(F.array(*cells)).alias("x")).where("x IS NOT NULL").select("x.*")
-    counted = hits.groupBy("i", "bin", "exact").agg(F.count("*").alias("rows"), F.min("value").alias("low"), F.max("value").alias("high"))
-    parts: dict[int, list] = {}
-    for r in counted.collect():  # BINS or VALUES rows for each interval at most
-        parts.setdefault(r["i"], []).append((r["low"], r["high"], r["rows"]))
-    following = []
-    for i, (c, x) in enumerate(intervals):
-        below, places = x.below, list(x.places)
-        for low, high, rows in sorted(parts[i]):
-            mine = [p for p in places if below <= p < below + rows]
-            if mine:
-                following.append((c, _Interval(low, high, rows, below, mine)))
-            below += rows
-        left = len(places) - sum(len(y.places) for name, y in following if name == c and y.below >= x.below and y.below < x.below + x.rows)
-        if left or below != x.below + x.rows:
-            raise RuntimeError(f"column {c} changed between two scans; materialize the frame first")
-    return following
+def _kind(data_type: T.DataType) -> int | None:
+    """The decimal digits behind the point of an exact type; None for a double."""
+    if isinstance(data_type, T.IntegralType):
+        return 0
+    if isinstance(data_type, T.DecimalType) and data_type.precision <= 18:
+        return data_type.scale
+    return None
+
+
+def _key(value: Column, kind: int | None) -> Column:
+    if kind is None:
+        number = F.nanvl(value.cast("double"), F.lit(None).cast("double"))
+        return F.when(number.isNotNull(), ordered_bits(number))
+    return (value.cast(f"decimal(38,{kind})") * F.lit(10**kind)).cast("long") if kind else value.cast("long")
+
+
+def _value_of(key: int, kind: int | None) -> float | int | Decimal:
+    if kind is None:
+        return double_of(key)
+    return Decimal(key).scaleb(-kind) if kind else key
+
+
+_COMPUTED = re.compile(r"^\W*(Join|Aggregate|Window|Generate|Sort|Repartition|RebalancePartitions|MapIn|FlatMap|Deduplicate|Distinct)", re.MULTILINE)
+
+
+def is_computed(df: DataFrame) -> bool:
+    """Whether each scan would join, group or sort anew; a plain table is read again instead of written."""
+    return bool(_COMPUTED.search(df._jdf.queryExecution().optimizedPlan().toString()))
 
 
 def quantiles(df: DataFrame, columns: Sequence[str], shares: Sequence[float]) -> dict[str, list[float | None]]:
@@ -234,10 +320,13 @@ def _places(n: int, share: float, how: str) -> list[int]:
     return [round(at)] if how == "nearest" else [math.floor(at), math.ceil(at)]
 
 
-def _value(found: Mapping[int, float], n: int, share: float, how: str) -> float:
+def _value(found: Mapping[int, float | int | Decimal], n: int, share: float, how: str) -> float | int | Decimal:
     at = (n - 1) * share
     if how == "nearest":
         return found[round(at)]
     low, high, part = found[math.floor(at)], found[math.ceil(at)], at - math.floor(at)
+    if not all(isinstance(x, float) or float(x) == x for x in (low, high)):  # no doubles: interpolated exactly, rounded once
+        return float(Fraction(low) + (Fraction(high) - Fraction(low)) * Fraction(part))
+    low, high = float(low), float(high)
     gap = high - low
     return low + gap * part if part < 0.5 else high - gap * (1 - part)

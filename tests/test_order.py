@@ -1,10 +1,24 @@
 from __future__ import annotations
 
+from decimal import Decimal
+
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from propensity.operators.order import deciles, global_rank, order_statistics, quantiles, running_totals
+from propensity.operators.order import (
+    Search,
+    deciles,
+    double_of,
+    global_rank,
+    order_statistics,
+    ordered_bits,
+    quantiles,
+    running_totals,
+    select_places,
+    text_keys,
+)
 
 
 @pytest.fixture(scope="module")
@@ -66,17 +80,75 @@ def test_quantiles_match_numpy_to_the_bit(values, rows):
         assert got[c] == (list(np.quantile(known, shares)) if len(known) else [None] * 11)
 
 
-@pytest.mark.parametrize("bins, limit", [(2, 1), (3, 7), (256, 1), (256, 10**9)])
-def test_places_need_any_number_of_scans(values, monkeypatch, bins, limit):
+@pytest.mark.parametrize("bits, limit", [(1, 1), (2, 7), (8, 1), (8, 10**9)])
+def test_places_need_any_number_of_scans(values, monkeypatch, bits, limit):
     from propensity.operators import order
 
-    monkeypatch.setattr(order, "BINS", bins)
+    monkeypatch.setattr(order, "BITS", bits)
     monkeypatch.setattr(order, "VALUES", limit)
     part = values.where("id < 3000")
     got = quantiles(part, ["score"], [0.25, 0.5, 1.0])
     assert got["score"] == list(np.quantile(part.toPandas()["score"], [0.25, 0.5, 1.0]))
 
 
+@pytest.fixture
+def scans(monkeypatch):
+    from propensity.operators import order
+
+    counted, scanned = [], order._scanned
+    monkeypatch.setattr(order, "_scanned", lambda *a: counted.append(1) or scanned(*a))
+    return counted
+
+
+@pytest.mark.parametrize("spread", ["log-uniform", "lognormal", "uniform", "whole"])
+def test_the_number_of_scans_does_not_follow_the_spread(spark, scans, spread):
+    rng = np.random.default_rng(4)
+    many = {
+        "log-uniform": rng.choice([-1, 1], 20_000) * 10.0 ** rng.uniform(-320, 308, 20_000),
+        "lognormal": rng.lognormal(0, 10, 20_000),
+        "uniform": rng.random(20_000),
+        "whole": rng.integers(-(1 << 63), (1 << 63) - 1, 20_000),
+    }[spread]
+    frame = spark.createDataFrame(pd.DataFrame({"x": many}))
+    shares = [0.0, 0.1, 0.5, 0.9, 1.0]
+    found = order_statistics(frame, {"x": [(s, "nearest") for s in shares]})["x"]
+    assert list(found.values()) == [np.sort(many)[round(19_999 * s)] for s in shares]
+    assert len(scans) <= 7
+
+
+def test_bits_have_the_order_of_doubles(spark):
+    rng = np.random.default_rng(1)
+    edges = [2.0**e for e in range(-1074, 1024)]
+    x = np.array([0.0, 5e-324, 2.2250738585072014e-308, 2.225073858507201e-308, np.finfo(float).max, np.inf, *edges, *np.nextafter(edges, 0), *np.nextafter(edges, np.inf)])
+    x = np.concatenate([x, -x, rng.integers(0, 2047 << 52, 20_000).view(np.float64)])
+    rows = spark.createDataFrame(pd.DataFrame({"x": x})).select("x", ordered_bits(F.col("x")).alias("bits")).toPandas()
+    magnitude = np.abs(rows["x"].to_numpy()).view(np.int64)
+    assert (rows["bits"] == np.where(rows["x"] < 0, -magnitude, magnitude)).all()
+    assert [double_of(b) for b in rows["bits"]] == rows["x"].tolist()
+    assert spark.range(1).select(ordered_bits(F.lit(float("nan")))).first()[0] == (1 << 63) - 1
+
+
+def test_text_keys_have_the_order_of_bytes(spark):
+    texts = ["", "a", "a\x00", "ab", "abcdefg", "abcdefgh", "abcdefg\x00", "Z", "é", "𝒳", "abcdefghijklmno", "z" * 14, "z" * 15]
+    frame = spark.createDataFrame([(t,) for t in texts], "t string")
+    rows = frame.select("t", F.array(*text_keys(F.col("t"), 16)).alias("k")).collect()
+    assert [r.t for r in sorted(rows, key=lambda r: r.k)] == sorted(texts, key=lambda t: t.encode())
+
+
+def test_places_by_several_keys_with_sums(spark):
+    frame = spark.range(3000).select((F.col("id") % 3).alias("a"), F.expr("(id * 7919) % 1000 - 500").alias("b"), (F.col("id") % 2).alias("y"))
+    wanted = sorted(((r.a, r.b, r.y) for r in frame.collect()), key=lambda r: r[:2])
+    places = (0, 1, 999, 1000, 1500, 2999)
+    keys = (F.col("a"), F.col("b"))
+    search = Search(None, keys, ((0, 2), (-600, 600)), 3000, places)
+    (found,) = select_places(frame, [search], [F.col("y")])
+    assert {p: found[p][1][0] for p in places} == {p: sum(r[2] for r in wanted[:p]) for p in places}
+    (found,) = select_places(frame, [search])
+    assert {p: found[p][0] for p in places} == {p: wanted[p][:2] for p in places}
+    part = Search(F.col("y") == 1, keys, ((0, 2), (-600, 600)), 1500, (7,))
+    assert select_places(frame, [part])[0][7][0] == [r[:2] for r in wanted if r[2]][7]
+
+
 def test_nan_infinities_and_wide_ranges(spark):
     inf, nan = float("inf"), float("nan")
     rows = [(1.0, -inf, 1e308, 7.0), (2.0, 0.0, -1e308, 7.0), (nan, inf, 1e-300, 7.0), (None, inf, 0.0, 7.0), (nan, nan, 5.0, 7.0)]
@@ -91,11 +163,13 @@ def test_nan_infinities_and_wide_ranges(spark):
     assert order_statistics(frame.where("isnan(a)").select("a"), {"a": [(1.0, "linear")]}) == {"a": {(1.0, "linear"): None}}
 
 
-def test_whole_numbers_beyond_doubles_are_refused(spark):
-    frame = spark.createDataFrame([((1 << 53) + 1,), (5,)], "x long")
-    with pytest.raises(ValueError):
-        quantiles(frame, ["x"], [0.5])
-    assert quantiles(frame.where("x = 5"), ["x"], [0.5]) == {"x": [5.0]}
+def test_whole_numbers_and_decimals_of_any_size(spark):
+    big = (1 << 53) + 1
+    frame = spark.createDataFrame([(big, Decimal("90071992547409.93")), (5, Decimal("0.10")), (-big, None)], "x long, d decimal(18,2)")
+    found = order_statistics(frame, {"x": [(1.0, "nearest"), (0.0, "nearest"), (0.75, "linear")], "d": [(1.0, "nearest"), (0.5, "linear")]})
+    assert list(found["x"].values()) == [big, -big, (big + 5) / 2]
+    assert found["d"] == {(1.0, "nearest"): Decimal("90071992547409.93"), (0.5, "linear"): 45035996273705.015}
+    assert quantiles(frame.where("x = 5"), ["x", "d"], [0.5]) == {"x": [5.0], "d": [0.1]}
 
 
 def test_nearest_rounds_half_to_even(spark):
