@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from propensity.functions import values as v
 from propensity.operators.order import deciles, quantiles
+from propensity.session import materialize
 from propensity.spec import TableSpec
 
 # Texts that often stand for "no value".
@@ -43,6 +44,37 @@ def duplicate_counts(raw: DataFrame, spec: TableSpec, columns: Sequence[str]) ->
     return extra(columns, "duplicate_rows").unionByName(extra([spec.id], "duplicate_ids"))
 
 
+def near_duplicate_records(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(column, groups, rows) for every one of ``columns``: groups of rows that agree in all the others but not in it, and their rows.
+
+    A row's key without a column is the exclusive or of the other columns' digests, so all keys come from one pass. Rows that differ in one column agree
+    in the whole first or the whole second half of the columns: only rows whose half occurs again get their keys without each column of
+    the other half. Groups are counted with the smallest and largest digest of the column left out, which maps sum up before the
+    shuffle; no group is held together and no pairs are formed, whatever its size. Digests have 128 bits. Nulls equal each other and nothing else.
+    """
+    halves = columns[: len(columns) // 2], columns[len(columns) // 2 :]
+    digests = {c: [F.xxhash64(F.lit(seed), F.lit(i), F.col(f"`{c}`").isNull(), F.col(f"`{c}`")) for seed in (1, 2)] for i, c in enumerate(columns)}
+
+    def both(names: Sequence[str], less: str | None = None) -> list:
+        parts = [digests[c] for c in names if c != less]
+        return [reduce(lambda a, b: a.bitwiseXOR(b), p) for p in zip(*parts)] if parts else [F.lit(0).cast("long")] * 2
+
+    sides = []
+    for kept, other in (halves, halves[::-1]):
+        left_out = [F.struct(F.lit(columns.index(c)).alias("at"), *[h.alias(f"o{j}") for j, h in enumerate(both(other, c))], *[h.alias(f"v{j}") for j, h in enumerate(digests[c])]) for c in other]
+        if left_out:
+            sides.append(F.struct(F.lit(len(sides)).alias("side"), *[h.alias(f"h{j}") for j, h in enumerate(both(kept))], F.array(*left_out).alias("left_out")))
+    names = df.sparkSession.createDataFrame(list(enumerate(columns)), "at int, column string")
+    keyed = df.select(F.explode(F.array(*sides)).alias("x")).select("x.*")
+    half = ["side", "h0", "h1"]
+    again = keyed.groupBy(*half).agg(F.count("*").alias("n")).where("n > 1").select(*half)
+    keys = keyed.join(again, half, "left_semi").select(*half, F.explode("left_out").alias("x")).select(*half, "x.*")
+    least, most = F.min(F.struct("v0", "v1")), F.max(F.struct("v0", "v1"))
+    groups = keys.groupBy(*half, "at", "o0", "o1").agg(F.count("*").alias("rows"), least.alias("least"), most.alias("most")).where("least <> most")
+    counts = groups.groupBy("at").agg(F.count("*").alias("groups"), F.sum("rows").alias("rows"))
+    return names.join(counts, "at", "left").select("column", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("groups", "rows")])
+
+
 def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column, value, rows) for every distinct value, nulls included."""
     if not columns:
@@ -240,8 +272,8 @@ def quality_report(raw: DataFrame, clean: DataFrame, spec: TableSpec) -> DataFra
 
 
 def quality_findings(raw: DataFrame, clean: DataFrame, spec: TableSpec, pattern: str = r"^\S+$") -> DataFrame:
-    """(metric, column, value as text): conflicting targets, effects, stand-in texts, near-constant columns, id pattern,
-    prevalence before and after cleaning, and observed types."""
+    """(metric, column, value as text): conflicting targets, effects, stand-in texts, near-constant columns, id pattern, records that
+    differ in one column only, prevalence before and after cleaning, and observed types."""
     columns = [c for c in spec.columns if c in raw.columns]
     nothing = F.lit(None).cast("string")
 
@@ -249,6 +281,7 @@ def quality_findings(raw: DataFrame, clean: DataFrame, spec: TableSpec, pattern:
         return df.select(F.lit(metric).alias("metric"), column.alias("column"), value.cast("string").alias("value"))
 
     ids = id_pattern(raw, spec.id, pattern)
+    near = materialize(near_duplicate_records(raw, columns))
     # raw rows may hold text; those without a valid target don't count
     target = v.parsed_number(F.col(spec.target).cast("string"))
     read = raw.select(F.when(target.isin(0, 1), target).alias(spec.target))
@@ -258,6 +291,7 @@ def quality_findings(raw: DataFrame, clean: DataFrame, spec: TableSpec, pattern:
         rows(sentinel_counts(raw, columns), "sentinels", F.col("sentinel"), F.col("cells")),
         rows(near_constant(clean, list(spec.features)), "near_constant", F.col("column"), F.col("top_share")),
         *[rows(ids, f"id_{c}", F.lit(spec.id), F.col(c)) for c in ids.columns],
+        *[rows(near, f"near_duplicate_{c}", F.col("column"), F.col(c)) for c in ("groups", "rows")],
         rows(prevalence_before_after(read, clean, spec), "prevalence", F.col("stage"), F.col("prevalence")),
         rows(observed_types(clean), "observed_type", F.col("column"), F.col("type")),
     ]

@@ -135,6 +135,19 @@ def id_pattern(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("pattern_share", F.round("pattern_share", 9))
 
 
+_LINE_COLUMNS = ("l_quantity", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate", "l_suppkey")
+
+
+@query(" UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", count(*) AS groups, coalesce(sum(n), 0)::BIGINT AS rows FROM (
+  SELECT count(*) AS n FROM lineitem GROUP BY {", ".join(x for x in _LINE_COLUMNS if x != c)} HAVING count(DISTINCT {c}) > 1)"""
+    for c in _LINE_COLUMNS
+))
+def near_duplicate_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines that agree in all listed columns but one."""
+    return quality.near_duplicate_records(table(spark, sf_dir, "lineitem"), _LINE_COLUMNS)
+
+
 _EFFECT_NUMERIC = " UNION ALL ".join(
     f"""SELECT '{c}' AS feature, coalesce(abs(avg({x}) FILTER (converted = 1) - avg({x}) FILTER (converted = 0))
     / nullif(sqrt((var_pop({x}) FILTER (converted = 1) + var_pop({x}) FILTER (converted = 0)) / 2), 0), 0) AS effect FROM leads"""

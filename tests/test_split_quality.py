@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -124,3 +126,22 @@ def test_findings_hold_the_prevalence_before_and_after(spark):
     ones = sum(r["completed_purchase"] == "1" for r in records)
     got = {r["column"]: float(r["value"]) for r in found}
     assert set(got) == {"raw", "deduplicated"} and abs(got["raw"] - 2 * ones / (60 + ones)) < 1e-9 and got["deduplicated"] < got["raw"]
+
+
+def test_near_duplicate_records(spark):
+    rng = random.Random(1)
+    columns = ["id", "a", "b", "c", "d"]
+    rows = [tuple(rng.choice([None, 0.0, 1.5]) if j else rng.randrange(12) for j in range(5)) for _ in range(150)]
+    rows += [(99, 7.0, 7.0, 7.0, float(i % 3)) for i in range(60)] + [(100, None, 7.0, 7.0, 8.0), (100, 9.0, 7.0, 7.0, 8.0)]
+    frame = spark.createDataFrame(rows, "id int, a double, b double, c double, d double")
+    wanted = {}
+    for j, c in enumerate(columns):
+        groups = {}
+        for r in rows:
+            groups.setdefault(r[:j] + r[j + 1 :], []).append(r[j])
+        near = [g for g in groups.values() if len(set(g)) > 1]
+        wanted[c] = (len(near), sum(map(len, near)))
+    found = {r.column: (r.groups, r.rows) for r in quality.near_duplicate_records(frame, columns).collect()}
+    assert found == wanted and wanted["d"][1] >= 60
+    assert {r.column: r.groups for r in quality.near_duplicate_records(frame.limit(0), columns).collect()} == dict.fromkeys(columns, 0)
+    assert [tuple(r) for r in quality.near_duplicate_records(frame.select("a"), ["a"]).collect()] == [("a", 1, len(rows))]
