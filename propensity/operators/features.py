@@ -1,7 +1,7 @@
 """Feature preparation learned on the training rows and kept as standard Spark ML stages.
 
-Learned values (medians, means, vocabularies) become literals of ``SQLTransformer`` and
-``StringIndexerModel`` stages, so a fitted preparation saves and loads as a plain ``PipelineModel``.
+Learned values (medians, means) become literals of ``SQLTransformer`` stages, vocabularies are tables of a ``TableEncoder``, so a fitted
+preparation saves and loads as a plain ``PipelineModel`` and no list of categories passes through the driver.
 """
 
 from __future__ import annotations
@@ -10,21 +10,22 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexerModel, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from propensity.functions import values as v
-from propensity.operators.order import global_rank, quantiles
+from propensity.operators.order import quantiles
 from propensity.operators.quality import top_values, value_counts
+from propensity.operators.vocabulary import SparseAssembler, TableEncoder, vocabulary_table
 from propensity.session import materialize
-from propensity.spec import DataContractError, TableSpec
+from propensity.spec import TableSpec
 
 MIN_FREQUENCY = 20
 FILLED_CATEGORY = "missing"
 VECTOR = "features"
-# A one-hot vector longer than this is refused; the vocabulary travels with the model.
-VOCABULARY_LIMIT = 1_000_000
+# Up to this length a one-hot vector names each of its places.
+ONE_HOT_WIDTH = 10_000
 
 
 def medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
@@ -68,12 +69,6 @@ def filled(column: str, value: float | str | None) -> Column:
     return F.coalesce(F.col(column), F.lit(value)) if value is not None else F.col(column)
 
 
-def impute_numeric(df: DataFrame, values: Mapping[str, float | None], flags: Sequence[str]) -> DataFrame:
-    """Fill with the learned medians and add ``<column>__missing`` 0/1 indicators."""
-    marks = {f"{c}__missing": F.col(c).isNull().cast("double") for c in flags}
-    return df.withColumns(marks | {c: filled(c, x).cast("double") for c, x in values.items()})
-
-
 def scales(df: DataFrame, expressions: Mapping[str, Column]) -> dict[str, tuple[float, float]]:
     """Mean and population standard deviation (1 where it is 0) of expressions, in one pass."""
     aggregates = []
@@ -83,58 +78,15 @@ def scales(df: DataFrame, expressions: Mapping[str, Column]) -> dict[str, tuple[
     return {name: (row[f"m:{name}"] or 0.0, row[f"s:{name}"] or 1.0) for name in expressions}
 
 
-def standardized(value: Column, mean: float, deviation: float) -> Column:
-    return (value - F.lit(float(mean))) / F.lit(float(deviation))
+def encoder(counts: DataFrame, columns: Sequence[str], fill: Mapping[str, str | None], min_frequency: int = 1) -> TableEncoder:
+    """The stage that gives each filled category its place among those seen at least ``min_frequency`` times after the fill."""
+    return TableEncoder.of(vocabulary_table(filled_counts(counts, fill), min_frequency), columns, fill)
 
 
-@dataclass(frozen=True)
-class Vocabulary:
-    """Frequent categories in sorted order; ``pooled`` says whether rarer ones were seen at fit."""
-
-    values: tuple[str, ...]
-    pooled: bool
-
-    @property
-    def width(self) -> int:
-        return len(self.values) + int(self.pooled)
-
-
-def vocabularies(
-    counts: DataFrame, columns: Sequence[str], fill: Mapping[str, str | None], min_frequency: int = MIN_FREQUENCY
-) -> dict[str, Vocabulary]:
-    """Categories seen at least ``min_frequency`` times after the fill. Their number is checked first."""
-    whole = filled_counts(counts, fill)
-    often = F.col("rows") >= min_frequency
-    sizes = {
-        r["column"]: r
-        for r in whole.groupBy("column")
-        .agg(F.count_if(often).alias("frequent"), F.count_if(~often).alias("rare"))
-        .collect()
-    }
-    if sum(r["frequent"] for r in sizes.values()) > VOCABULARY_LIMIT:
-        raise DataContractError(f"more than {VOCABULARY_LIMIT} categories; raise min_frequency or drop a column")
-    found: dict[str, list[str]] = {c: [] for c in columns}
-    for r in whole.where(often).select("column", "value").collect():
-        found[r["column"]].append(r["value"])
-    return {c: Vocabulary(tuple(sorted(found[c])), c in sizes and sizes[c]["rare"] > 0) for c in columns}
-
-
-def vocabulary_frame(counts: DataFrame, fill: Mapping[str, str | None], min_frequency: int = 1) -> DataFrame:
-    """(column, value, place): 0-based place of each frequent value in sorted order; of any size."""
-    frequent = filled_counts(counts, fill).where(F.col("rows") >= min_frequency).select("column", "value")
-    places = global_rank(frequent, [F.asc("value")], by=["column"], rank="place")
-    return places.withColumn("place", (F.col("place") - 1).cast("int"))
-
-
-def with_codes(
-    df: DataFrame, id: str, vocabulary: DataFrame, fill: Mapping[str, str | None], other: Mapping[str, int | None]
-) -> DataFrame:
-    """(id, column, code) of every categorical cell; values outside the vocabulary get the column's ``other`` code."""
-    columns = list(fill)
-    cells = [F.struct(F.lit(c).alias("column"), filled(c, fill[c]).cast("string").alias("value")) for c in columns]
-    known = df.select(id, F.inline(F.array(*cells))).join(vocabulary, ["column", "value"], "left")
-    others = F.create_map(*[x for c, code in other.items() for x in (F.lit(c), F.lit(code).cast("int"))])
-    return known.select(id, "column", F.coalesce("place", F.try_element_at(others, F.col("column"))).alias("code"))
+def pooled_columns(counts: DataFrame, fill: Mapping[str, str | None], min_frequency: int) -> set[str]:
+    """Columns with categories below ``min_frequency``, which share a place."""
+    rare = filled_counts(counts, fill).where(F.col("rows") < min_frequency)
+    return {r["column"] for r in rare.select("column").distinct().collect()}
 
 
 # --- fitted stages ------------------------------------------------------------------------------
@@ -208,45 +160,41 @@ def _spline_stages(ends: Mapping[str, tuple[float, float]]) -> tuple[list, list[
 
 def one_hot_stages(
     train: DataFrame, columns: Sequence[str], learned: Learned, min_frequency: int = MIN_FREQUENCY
-) -> tuple[list, list[str]]:
-    """Most-frequent fill, index, one-hot; unseen values share the pooled column or are all zero."""
+) -> tuple[list, dict[str, int]]:
+    """Most-frequent fill and places; returns the stage and each code's width. Unseen values share the pooled place or have none."""
     if not columns:
-        return [], []
-    fill = learned.modes
-    words = vocabularies(learned.counts, columns, fill, min_frequency)
-    columns = [c for c in columns if words[c].width]  # a column without any value is left out
-    stages: list = [_sql({f"c_{c}": f"coalesce(CAST(`{c}` AS STRING), {v.text_sql(fill[c])})" for c in columns})]
-    for c in columns:
-        stages.append(
-            StringIndexerModel.from_labels(list(words[c].values) or ["\u0000"], f"c_{c}", f"i_{c}", handleInvalid="keep")
-        )
-    # Index len(vocabulary) means "other": its own column where rare values were pooled, else dropped.
-    indexed = train.limit(0)
+        return [], {}
+    stage = encoder(learned.counts, columns, learned.modes, min_frequency)
+    pooled = pooled_columns(learned.counts, learned.modes, min_frequency)
+    widths = {f"i_{c}": stage.facts[c]["size"] + int(c in pooled) for c in columns}
+    return [stage], {c: w for c, w in widths.items() if w}  # a column without any value is left out
+
+
+def assembled(train: DataFrame, stages: list, numbers: Sequence[str], widths: Mapping[str, int]) -> list:
+    """Stages that put numbers and one-hot codes into one vector; wide ones are written as sparse indices."""
+    if sum(widths.values()) > ONE_HOT_WIDTH:
+        return [SparseAssembler.of(numbers, widths, VECTOR)]
+    encoders, indexed = [], train.limit(0)
     for stage in stages:
         indexed = stage.transform(indexed)
-    for pooled in (True, False):
-        group = [c for c in columns if words[c].pooled == pooled]
+    for drop in (True, False):  # the last code means "other": dropped, unless values were pooled in it
+        group = [c for c, w in widths.items() if (_code_values(indexed, c) > w) == drop]
         if group:
-            encoder = OneHotEncoder(
-                inputCols=[f"i_{c}" for c in group], outputCols=[f"o_{c}" for c in group], dropLast=not pooled
-            )
-            stages.append(encoder.fit(indexed))
-    return stages, [f"o_{c}" for c in columns]
+            encoders.append(OneHotEncoder(inputCols=group, outputCols=[f"o_{c}" for c in group], dropLast=drop).fit(indexed))
+    return [*encoders, VectorAssembler(inputCols=[*numbers, *[f"o_{c}" for c in widths]], outputCol=VECTOR)]
+
+
+def _code_values(indexed: DataFrame, code: str) -> int:
+    return indexed.schema[code].metadata["ml_attr"]["num_vals"]
 
 
 def ordinal_stages(train: DataFrame, columns: Sequence[str], learned: Learned) -> tuple[list, list[str]]:
     """Most-frequent fill, then the place among the sorted training values, -1 if unseen."""
     if not columns:
         return [], []
-    fill = learned.modes
-    words = vocabularies(learned.counts, columns, fill, min_frequency=1)
-    columns = [c for c in columns if words[c].values]
-    stages: list = [_sql({f"c_{c}": f"coalesce(CAST(`{c}` AS STRING), {v.text_sql(fill[c])})" for c in columns})]
-    for c in columns:
-        stages.append(StringIndexerModel.from_labels(list(words[c].values), f"c_{c}", f"i_{c}", handleInvalid="keep"))
-    unseen = {c: len(words[c].values) for c in columns}
-    stages.append(_sql({f"k_{c}": f"IF(`i_{c}` >= {unseen[c]}, -1D, `i_{c}`)" for c in columns}))
-    return stages, [f"k_{c}" for c in columns]
+    stage = encoder(learned.counts, columns, learned.modes)
+    sizes = {c: stage.facts[c]["size"] for c in columns if stage.facts[c]["size"]}
+    return [stage, _sql({f"k_{c}": f"IF(`i_{c}` >= {n}, -1D, `i_{c}`)" for c, n in sizes.items()})] if sizes else [], [f"k_{c}" for c in sizes]
 
 
 def native_category_stages(
@@ -255,14 +203,9 @@ def native_category_stages(
     """Numbers with nulls marked, categories as nominal codes with ``missing`` as a value of its own."""
     marks = {f"n_{c}": f"coalesce(CAST(`{c}` AS DOUBLE), {v.number_sql(0.0)})" for c in numeric}
     marks |= {f"m_{c}": f"CAST(`{c}` IS NULL AS DOUBLE)" for c in learned.missing}
-    filled_sql = {f"c_{c}": f"coalesce(CAST(`{c}` AS STRING), {v.text_sql(FILLED_CATEGORY)})" for c in categorical}
-    stages: list = [_sql(marks | filled_sql)]
     if not categorical:
-        return stages, list(marks)
-    fill = {c: FILLED_CATEGORY for c in categorical}
-    words = vocabularies(learned.counts, categorical, fill, min_frequency=1)
-    for c in categorical:
-        stages.append(StringIndexerModel.from_labels(list(words[c].values), f"c_{c}", f"i_{c}", handleInvalid="keep"))
+        return [_sql(marks)], list(marks)
+    stages = [*([_sql(marks)] if marks else []), encoder(learned.counts, categorical, dict.fromkeys(categorical, FILLED_CATEGORY))]
     return stages, [*marks, *[f"i_{c}" for c in categorical]]
 
 
@@ -274,7 +217,10 @@ def fit_preparation(train: DataFrame, spec: TableSpec, kind: str, learned: Learn
     else:
         scaled = kind in ("linear", "spline")
         stages, names = numeric_stages(train, spec.numeric_features, learned, scale=scaled, splines=kind == "spline")
-        more, more_names = (one_hot_stages if scaled else ordinal_stages)(train, spec.categorical, learned)
+        if scaled:
+            more, widths = one_hot_stages(train, spec.categorical, learned)
+            return PipelineModel([*stages, *more, *assembled(train, stages + more, names, widths)])
+        more, more_names = ordinal_stages(train, spec.categorical, learned)
         stages, names = stages + more, names + more_names
     return PipelineModel([*stages, VectorAssembler(inputCols=names, outputCol=VECTOR)])
 

@@ -22,7 +22,7 @@ LABEL = "_label"
 SCORE = "score"
 HOLDOUT = "_holdout"
 PLACE = "_place"
-ROWS_PER_TASK = 4_000
+ROWS_PER_TASK, LEAST_TASKS, LEAST_ROWS = 1_000_000, 8, 20_000
 PATIENCE, LEAST_GAIN = 10, 1e-7
 
 
@@ -136,12 +136,17 @@ def fit(train: DataFrame, spec: TableSpec, model: Candidate, preparation: Pipeli
 
 def placed_by_id(prepared: DataFrame, rows: int) -> DataFrame:
     """The rows in partitions that depend on their ids and number only, so a model does not depend on the cluster."""
-    parts = max(1, -(-rows // ROWS_PER_TASK))
+    parts = partitions_for(rows)
     slot = F.pmod(F.xxhash64(PLACE), F.lit(parts)).cast("int")
     # one range for each slot number: the bounds are the numbers themselves, not a sample of the rows
     return prepared.repartitionById(parts, slot).sortWithinPartitions(PLACE).drop(PLACE)
 
 
+def partitions_for(rows: int) -> int:
+    """Every tree level passes over all partitions, so they hold up to ``ROWS_PER_TASK`` rows; at least ``LEAST_TASKS`` work on a large table."""
+    return max(1, min(LEAST_TASKS, -(-rows // LEAST_ROWS)), -(-rows // ROWS_PER_TASK))
+
+
 def best_rounds(estimator: GBTClassifier, prepared: DataFrame) -> int:
     """Rounds after which the loss on the held-out rows gains less than ``LEAST_GAIN`` for ``PATIENCE`` rounds in a row."""
     trial = estimator.fit(prepared.where(~F.col(HOLDOUT)))
@@ -163,7 +168,7 @@ def stop_round(losses: list[float]) -> int:
 
 def _widest_category(prepared: DataFrame) -> int:
     attributes = prepared.schema[VECTOR].metadata.get("ml_attr", {}).get("attrs", {}).get("nominal", [])
-    return max((len(a.get("vals", [])) for a in attributes), default=0)
+    return max((a.get("num_vals", len(a.get("vals", []))) for a in attributes), default=0)
 
 
 def predict(model: PipelineModel, df: DataFrame) -> DataFrame:

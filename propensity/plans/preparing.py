@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml import PipelineModel
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from propensity.operators import features
@@ -24,25 +25,29 @@ def _split(spark: SparkSession, sf_dir: str) -> Split:
     return chronological_split(materialize(order_leads(spark, sf_dir)), ORDER_LEADS, check=False)
 
 
-def _imputed(split: Split, columns: tuple[str, ...]) -> DataFrame:
+def _prepared(split: Split, columns: tuple[str, ...], scale: bool = False) -> DataFrame:
+    """All rows through the numeric stages that models are fitted with."""
     train = split.part("train")
-    learned = features.medians(train, columns)
-    return features.impute_numeric(split.frame, learned, features.missing_at_fit(train, columns))
+    learned = features.Learned(features.medians(train, columns), tuple(features.missing_at_fit(train, columns)), None, {})
+    stages, _ = features.numeric_stages(train, columns, learned, scale)
+    return PipelineModel(stages).transform(split.frame)
 
 
 @query(f"""{_PARTS}, m AS (SELECT {_MIDDLES}) SELECT lead_id,
   {', '.join(f"round(coalesce(p.{c}, m.{c}), 9) AS {c}" for c in _GAPS)} FROM parts p CROSS JOIN m""")
 def median_impute(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gaps filled with the exact training medians."""
-    return rounded(_imputed(_split(spark, sf_dir), _GAPS).select("lead_id", *_GAPS), *_GAPS)
+    filled = _prepared(_split(spark, sf_dir), _GAPS).select("lead_id", *[F.col(f"n_{c}").alias(c) for c in _GAPS])
+    return rounded(filled, *_GAPS)
 
 
 @query(f"""{_PARTS} SELECT lead_id,
   {', '.join(f"CAST({c} IS NULL AS DOUBLE) AS {c}__missing" for c in _GAPS)} FROM parts""")
 def missing_indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
     """0/1 marks for the columns that had a gap in the training window (total_price had none)."""
-    marked = _imputed(_split(spark, sf_dir), ("total_price", *_GAPS))
-    return marked.select("lead_id", *[c for c in marked.columns if c.endswith("__missing")])
+    marked = _prepared(_split(spark, sf_dir), ("total_price", *_GAPS))
+    marks = [c for c in marked.columns if c.startswith("m_")]
+    return marked.select("lead_id", *[F.col(c).alias(f"{c[2:]}__missing") for c in marks])
 
 
 @query(f"""WITH {sql.EVENT_TEXT}, {sql.TYPED},
@@ -64,13 +69,9 @@ s AS (SELECT {', '.join(f"avg({c}) AS m_{c}, coalesce(nullif(stddev_pop({c}), 0)
 SELECT lead_id, {', '.join(f"round(({c} - m_{c}) / s_{c}, 9) + 0 AS {c}" for c in _SCALED)} FROM filled CROSS JOIN s""")
 def standardize(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Imputed values and their indicators on the training scale."""
-    split = _split(spark, sf_dir)
-    whole = _imputed(split, ("total_price", "account_balance", "line_count"))
-    train = whole.where(F.col("split") == "train")
-    learned = features.scales(train, {c: F.col(c) for c in _SCALED})
-    return whole.select(
-        "lead_id", *[(F.round(features.standardized(F.col(c), *learned[c]), 9) + 0.0).alias(c) for c in _SCALED]
-    )
+    scaled = _prepared(_split(spark, sf_dir), ("total_price", "account_balance", "line_count"), scale=True)
+    names = {"line_count__missing": "z_m_line_count"}
+    return scaled.select("lead_id", *[(F.round(names.get(c, f"z_n_{c}"), 9) + 0.0).alias(c) for c in _SCALED])
 
 
 _FREQUENT = """counts AS (
@@ -92,10 +93,14 @@ def one_hot_infrequent(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderkey", F.col("o_custkey").cast("string").alias("customer"), F.col("o_orderpriority").alias("priority")
     )
     counts = features.category_counts(orders, columns)
-    fill = features.modes_of(counts, columns)
-    words = materialize(features.vocabulary_frame(counts, fill, features.MIN_FREQUENCY))
-    pooled = words.where("column = 'customer'").count()
-    return features.with_codes(orders, "o_orderkey", words, fill, {"customer": pooled, "priority": None})
+    (stage,), widths = features.one_hot_stages(orders, columns, features.Learned({}, (), counts, features.modes_of(counts, columns)))
+    return _codes(stage.transform(orders), "o_orderkey", {c: F.when(F.col(f"i_{c}") < widths[f"i_{c}"], F.col(f"i_{c}")) for c in columns})
+
+
+def _codes(encoded: DataFrame, id: str, codes: dict[str, Column]) -> DataFrame:
+    """(id, column, code) of several code columns."""
+    cells = [F.struct(F.lit(c).alias("column"), code.cast("int").alias("code")) for c, code in codes.items()]
+    return encoded.select(id, F.inline(F.array(*cells)))
 
 
 @query(f"""{_PARTS}, words AS (
@@ -108,10 +113,10 @@ LEFT JOIN places USING ("column", value)""")
 def ordinal_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Codes in sorted order; the segment left out of the fit counts as unseen (-1)."""
     split, columns = _split(spark, sf_dir), ["segment", "nation"]
-    counts = features.category_counts(split.part("train").where("segment <> 'MACHINERY'"), columns)
-    fill = features.modes_of(counts, columns)
-    words = features.vocabulary_frame(counts, fill)
-    return features.with_codes(split.frame, "lead_id", words, fill, {c: -1 for c in columns})
+    train = split.part("train").where("segment <> 'MACHINERY'")
+    counts = features.category_counts(train, columns)
+    stages, names = features.ordinal_stages(train, columns, features.Learned({}, (), counts, features.modes_of(counts, columns)))
+    return _codes(PipelineModel(stages).transform(split.frame), "lead_id", {c: F.col(k) for c, k in zip(columns, names, strict=True)})
 
 
 def _basis_sql(j: int) -> str:

@@ -40,19 +40,19 @@ def materialize(df: DataFrame) -> DataFrame:
     Later jobs then see one fixed version of it (same slices, same order numbers), survive the loss of
     executors without recomputing the lineage, and still read only the columns they use.
     """
-    path = f"{_frames(df.sparkSession)}/{uuid.uuid4().hex}"
+    path = f"{frames_path(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _frames(spark: SparkSession) -> str:
+def frames_path(spark: SparkSession) -> str:
     """Each application has a folder of its own, so none deletes what another one still reads."""
     return f"{shared_dir(spark)}/frames/{spark.sparkContext.applicationId}"
 
 
-def drop_frames(spark: SparkSession) -> None:
+def dropframes_path(spark: SparkSession) -> None:
     """Delete this application's intermediate frames. Frames returned by earlier calls cannot be read afterwards."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(_frames(spark))
+    path = spark._jvm.org.apache.hadoop.fs.Path(frames_path(spark))
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 

@@ -2,11 +2,13 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from propensity.leads import LEADS
 from propensity.operators import features, models
 from propensity.operators.clean import prepare
+from propensity.operators.vocabulary import TableEncoder, vocabulary_table
 from propensity.sources.reports import ModelBundle
 from propensity.spec import TableSpec
 
@@ -102,22 +104,63 @@ def test_linear_preparation(spark):
 def test_infrequent_categories_are_pooled(spark, rare):
     values = ["a"] * 30 + ["b"] * 25 + ["c"] * rare
     frame = spark.createDataFrame([(i, g) for i, g in enumerate(values)], "id long, g string")
-    stages, names = features.one_hot_stages(frame, ["g"], features.learn(frame, G_SPEC))
     out = spark.createDataFrame([(0, "a"), (1, "b"), (2, "c"), (3, "new"), (4, None)], "id long, g string")
-    for s in stages:
-        out = s.transform(out)
-    got = {r["id"]: r[names[0]].toArray().tolist() for r in out.collect()}
+    got = {r["id"]: r["features"].toArray().tolist() for r in features.fit_preparation(frame, G_SPEC, "linear").transform(out).collect()}
     other = [0.0, 0.0, 1.0] if rare < 20 else [0.0, 0.0, 0.0]
     assert got == {0: [1, 0, 0], 1: [0, 1, 0], 2: [0, 0, 1], 3: other, 4: [1, 0, 0]}
 
 
 def test_unseen_value_is_all_zero_without_a_pool(spark):
     frame = spark.createDataFrame([(i, "a" if i % 2 else "b") for i in range(60)], "id long, g string")
-    stages, names = features.one_hot_stages(frame, ["g"], features.learn(frame, G_SPEC))
     out = spark.createDataFrame([(0, "zzz")], "id long, g string")
-    for s in stages:
-        out = s.transform(out)
-    assert out.first()[names[0]].toArray().tolist() == [0.0, 0.0]
+    assert features.fit_preparation(frame, G_SPEC, "linear").transform(out).first()["features"].toArray().tolist() == [0.0, 0.0]
+
+
+@pytest.mark.parametrize("most", [8 << 20, 0])
+def test_encoding_by_broadcast_and_by_shuffle_agree(spark, most, tmp_path):
+    values = [None] * 40 + ["hot"] * 300 + ["", "\u00001", "b", "b"] + [f"v{i:03d}" for i in range(200)]
+    frame = spark.createDataFrame([(i, x) for i, x in enumerate(values)], "id long, `g x` string").withColumnRenamed("g x", "g")
+    counts = features.filled_counts(features.category_counts(frame, ["g"]), {"g": "hot"})
+    stage = TableEncoder.of(vocabulary_table(counts), ["g"], {"g": "hot"}, most)
+    words = sorted({x for x in values if x is not None})
+    assert stage.facts["g"]["size"] == len(words)
+    PipelineModel([stage]).save(f"{tmp_path}/m")
+    asked = frame.union(spark.createDataFrame([(9000, "new")], "id long, g string"))
+    for s in (stage, PipelineModel.load(f"{tmp_path}/m").stages[0]):
+        got = {r.id: r.i_g for r in s.transform(asked).collect()}
+        assert got == {i: float(words.index("hot" if x is None else x)) for i, x in enumerate(values)} | {9000: float(len(words))}
+
+
+def test_sparse_vectors_equal_the_named_ones(spark, monkeypatch, tmp_path):
+    frame = frame_of(spark)
+    named = features.fit_preparation(frame, SPEC, "linear").transform(frame)
+    monkeypatch.setattr(features, "ONE_HOT_WIDTH", 0)
+    fitted = models.fit(frame, SPEC, models.candidate("logistic_regression"))
+    sparse = fitted.transform(frame)
+    one, two = ({r.id: r.features.toArray().tolist() for r in f.select("id", "features").collect()} for f in (named, sparse))
+    assert one == two
+    ModelBundle(fitted, "v1", ("x",), "hash", 0.2, 0.1).save(spark, str(tmp_path))
+    loaded = ModelBundle.load(spark, str(tmp_path)).model
+    scores = [{r.id: r.score for r in models.predict(m, frame).collect()} for m in (fitted, loaded)]
+    assert scores[0] == scores[1] and len(scores[0]) == 400
+
+
+def test_two_million_categories(spark):
+    """No list of categories in the driver, no name for each place of the vector."""
+    frame = spark.range(2_000_000, numPartitions=8).select(
+        "id", F.concat(F.lit("c"), F.col("id").cast("string")).alias("g"), (F.col("id") % 2).cast("int").alias("y")
+    )
+    spec = TableSpec(id="id", time="", target="y", numeric=(), categorical=("g",), derive_time_parts=False)
+    learned = features.learn(frame, spec)
+    stages, widths = features.one_hot_stages(frame, ["g"], learned, min_frequency=1)
+    assert widths == {"i_g": 2_000_000}
+    few = frame.where("id % 400000 = 7").union(spark.createDataFrame([(-1, "unseen", 0)], "id long, g string, y int"))
+    out = PipelineModel([*stages, *features.assembled(frame, stages, [], widths)]).transform(few)
+    places = {r.id: (r.features.size, r.features.indices.tolist()) for r in out.collect()}
+    order = np.argsort(np.array([f"c{i}" for i in range(2_000_000)]), kind="stable")
+    place = np.empty(2_000_000, np.int64)
+    place[order] = np.arange(2_000_000)
+    assert places == {i: (2_000_000, [int(place[i])]) for i in range(7, 2_000_000, 400_000)} | {-1: (2_000_000, [])}
 
 
 def cox_de_boor(x, knots, degree, i):
@@ -191,3 +234,7 @@ def test_models_do_not_depend_on_partitions(spark):
     model = models.candidate("gradient_boosting", maxIter=6)
     one, two = (models.predict(models.fit(f, SPEC, model), frame).orderBy("id").collect() for f in (frame.repartition(2), frame.repartition(7)))
     assert one == two
+
+
+def test_partitions_of_a_sensible_size():
+    assert [models.partitions_for(n) for n in (0, 1, 20_000, 20_001, 10**6, 10**8, 10**11)] == [1, 1, 1, 2, 8, 100, 100_000]
