@@ -13,6 +13,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from propensity.operators import boosting
 from propensity.operators.features import VECTOR, fit_preparation, learn
 from propensity.operators.metrics import capacity_table, check_scored, probability_metrics
 from propensity.session import materialize
@@ -23,7 +24,6 @@ SCORE = "score"
 HOLDOUT = "_holdout"
 PLACE = "_place"
 ROWS_PER_TASK, LEAST_TASKS, LEAST_ROWS = 1_000_000, 8, 20_000
-PATIENCE, LEAST_GAIN = 10, 1e-7
 
 
 @dataclass(frozen=True)
@@ -37,9 +37,8 @@ class Candidate:
     def estimator(self, rows: int) -> Estimator | None:
         options = dict(self.settings)
         kind = options.pop("kind")
-        options.pop("early_stop", None)
         common = {"featuresCol": VECTOR, "labelCol": LABEL}
-        if kind == "prior":
+        if kind in ("prior", "histogram"):
             return None
         if kind == "logistic":
             # L2 strength C on the summed loss equals 1 / (C * rows) on Spark's averaged loss.
@@ -77,14 +76,7 @@ def candidates(seed: int = 42, forest_depth: int = 12, bins: int = 255) -> list[
         Candidate(
             "hist_gradient_boosting",
             "tree",
-            {
-                **boosted,
-                "maxIter": 180,
-                "maxDepth": 4,
-                "stepSize": 0.06,
-                "minInstancesPerNode": 40,
-                "early_stop": True,
-            },
+            {"kind": "histogram", "maxIter": 180, "learning_rate": 0.06, "max_leaf_nodes": 15, "min_samples_leaf": 40, "l2": 1.0, "early_stop": True},
         ),
         Candidate("gbt_categorical_depth_4", "native", {**boosted, "maxIter": 300, "maxDepth": 4, "stepSize": 0.04}),
         Candidate(
@@ -120,15 +112,18 @@ def fit(train: DataFrame, spec: TableSpec, model: Candidate, preparation: Pipeli
         train.withColumns({LABEL: F.col(spec.target).cast("double"), HOLDOUT: holdout, PLACE: F.col(spec.id).cast("string")})
     ).select(VECTOR, LABEL, HOLDOUT, PLACE)
     estimator = model.estimator(labels["n"])
-    if estimator.hasParam("maxBins"):
+    if estimator is not None and estimator.hasParam("maxBins"):
         estimator.set(estimator.getParam("maxBins"), max(estimator.getOrDefault("maxBins"), _widest_category(prepared) + 1))
     # Trees draw rows by partition: a row's partition and place follow from its id and the number of rows alone.
     prepared = placed_by_id(prepared, labels["n"])
     prepared.persist()  # read by every pass; a lost block is recomputed
     try:
-        if model.settings.get("early_stop"):
-            estimator.set(estimator.maxIter, best_rounds(estimator, prepared))
-        fitted = estimator.fit(prepared)
+        if estimator is None:
+            options = {k: x for k, x in model.settings.items() if k != "kind"}
+            settings = boosting.Settings(max_iter=options.pop("maxIter"), **options)
+            fitted = boosting.fit_histogram_boosting(prepared, VECTOR, LABEL, HOLDOUT, settings)
+        else:
+            fitted = estimator.fit(prepared)
     finally:
         prepared.unpersist()
     return PipelineModel([*preparation.stages, fitted])
@@ -147,25 +142,6 @@ def partitions_for(rows: int) -> int:
     return max(1, min(LEAST_TASKS, -(-rows // LEAST_ROWS)), -(-rows // ROWS_PER_TASK))
 
 
-def best_rounds(estimator: GBTClassifier, prepared: DataFrame) -> int:
-    """Rounds after which the loss on the held-out rows gains less than ``LEAST_GAIN`` for ``PATIENCE`` rounds in a row."""
-    trial = estimator.fit(prepared.where(~F.col(HOLDOUT)))
-    return stop_round(trial.evaluateEachIteration(prepared.where(HOLDOUT)))
-
-
-def stop_round(losses: list[float]) -> int:
-    """The round the rule stops at: ``PATIENCE`` rounds in a row without a gain over the best loss so far, or the last one."""
-    best, waited = float("inf"), 0
-    for n, loss in enumerate(losses, 1):
-        if loss < best - LEAST_GAIN:
-            best, waited = loss, 0
-        else:
-            waited += 1
-            if waited == PATIENCE:
-                return n
-    return max(1, len(losses))
-
-
 def _widest_category(prepared: DataFrame) -> int:
     attributes = prepared.schema[VECTOR].metadata.get("ml_attr", {}).get("attrs", {}).get("nominal", [])
     return max((a.get("num_vals", len(a.get("vals", []))) for a in attributes), default=0)

@@ -213,15 +213,6 @@ def test_learners_beat_the_prior(spark):
     assert rows["dummy_prior"]["roc_auc"] == 0.5
 
 
-def test_the_early_stop_waits_ten_rounds_for_a_gain():
-    falling = [1 / n for n in range(1, 31)]
-    assert models.stop_round(falling) == 30
-    assert models.stop_round([0.5, 0.4] + [0.4] * 50) == 12
-    assert models.stop_round([0.5, 0.4] + [0.4] * 9 + [0.3] + [0.3] * 9) == 21
-    assert models.stop_round([0.5, 0.5 - 1e-8] + [0.6] * 20) == 11  # a gain of less than 1e-7 is none
-    assert models.stop_round([0.7]) == 1
-
-
 def test_early_stopped_boosting_keeps_its_rounds(spark):
     frame = frame_of(spark, 600)
     fitted = models.fit(frame, SPEC, models.candidate("hist_gradient_boosting", maxIter=25))
