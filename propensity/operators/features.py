@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from propensity.functions import values as v
 from propensity.operators.order import quantiles
 from propensity.operators.quality import top_values, value_counts
-from propensity.operators.vocabulary import SparseAssembler, TableEncoder, vocabulary_table
+from propensity.operators.vocabulary import SparseAssembler, TableEncoder, TargetEncoder, vocabulary_table
 from propensity.session import materialize
 from propensity.spec import TableSpec
 
@@ -197,23 +197,29 @@ def ordinal_stages(train: DataFrame, columns: Sequence[str], learned: Learned) -
     return [stage, _sql({f"k_{c}": f"IF(`i_{c}` >= {n}, -1D, `i_{c}`)" for c, n in sizes.items()})] if sizes else [], [f"k_{c}" for c in sizes]
 
 
-def native_category_stages(
-    train: DataFrame, numeric: Sequence[str], categorical: Sequence[str], learned: Learned
-) -> tuple[list, list[str]]:
-    """Numbers with nulls marked, categories as nominal codes with ``missing`` as a value of its own."""
-    marks = {f"n_{c}": f"coalesce(CAST(`{c}` AS DOUBLE), {v.number_sql(0.0)})" for c in numeric}
+def target_mean_stages(train: DataFrame, spec: TableSpec, learned: Learned) -> tuple[list, list[str]]:
+    """Numbers with nulls marked, categories as smoothed target means with ``missing`` as a value of its own, of any vocabulary."""
+    marks = {f"n_{c}": f"coalesce(CAST(`{c}` AS DOUBLE), {v.number_sql(0.0)})" for c in spec.numeric_features}
     marks |= {f"m_{c}": f"CAST(`{c}` IS NULL AS DOUBLE)" for c in learned.missing}
-    if not categorical:
-        return [_sql(marks)], list(marks)
-    stages = [*([_sql(marks)] if marks else []), encoder(learned.counts, categorical, dict.fromkeys(categorical, FILLED_CATEGORY))]
-    return stages, [*marks, *[f"i_{c}" for c in categorical]]
+    stages: list = [_sql(marks)] if marks else []
+    if not spec.categorical:
+        return stages, list(marks)
+    stages.append(TargetEncoder.fitted(train, spec.categorical, dict.fromkeys(spec.categorical, FILLED_CATEGORY), spec.target))
+    return stages, [*marks, *[f"t_{c}" for c in spec.categorical]]
+
+
+def training_rows(preparation: PipelineModel, train: DataFrame, id: str, target: str) -> DataFrame:
+    """The training rows through the preparation; target means come from the rows before each only."""
+    for stage in preparation.stages:
+        train = stage.ordered(train, id, target) if isinstance(stage, TargetEncoder) else stage.transform(train)
+    return train
 
 
 def fit_preparation(train: DataFrame, spec: TableSpec, kind: str, learned: Learned | None = None) -> PipelineModel:
     """``linear``, ``spline``, ``tree`` or ``native`` preparation ending in one ``features`` vector."""
     learned = learned or learn(train, spec)
     if kind == "native":
-        stages, names = native_category_stages(train, spec.numeric_features, spec.categorical, learned)
+        stages, names = target_mean_stages(train, spec, learned)
     else:
         scaled = kind in ("linear", "spline")
         stages, names = numeric_stages(train, spec.numeric_features, learned, scale=scaled, splines=kind == "spline")

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from propensity.operators import boosting
-from propensity.operators.features import VECTOR, fit_preparation, learn
+from propensity.operators.features import VECTOR, fit_preparation, learn, training_rows
 from propensity.operators.metrics import capacity_table, check_scored, probability_metrics
 from propensity.session import materialize
 from propensity.spec import TableSpec
@@ -108,12 +108,9 @@ def fit(train: DataFrame, spec: TableSpec, model: Candidate, preparation: Pipeli
         return PipelineModel([SQLTransformer(statement=f"SELECT *, CAST('{labels['rate']!r}' AS DOUBLE) AS {SCORE} FROM __THIS__")])
     preparation = preparation or fit_preparation(train, spec, model.preparation)
     holdout = F.pmod(F.xxhash64(F.col(spec.id).cast("string")), F.lit(100)) < 15
-    prepared = preparation.transform(
-        train.withColumns({LABEL: F.col(spec.target).cast("double"), HOLDOUT: holdout, PLACE: F.col(spec.id).cast("string")})
-    ).select(VECTOR, LABEL, HOLDOUT, PLACE)
+    marked = train.withColumns({LABEL: F.col(spec.target).cast("double"), HOLDOUT: holdout, PLACE: F.col(spec.id).cast("string")})
+    prepared = training_rows(preparation, marked, spec.id, spec.target).select(VECTOR, LABEL, HOLDOUT, PLACE)
     estimator = model.estimator(labels["n"])
-    if estimator is not None and estimator.hasParam("maxBins"):
-        estimator.set(estimator.getParam("maxBins"), max(estimator.getOrDefault("maxBins"), _widest_category(prepared) + 1))
     # Trees draw rows by partition: a row's partition and place follow from its id and the number of rows alone.
     prepared = placed_by_id(prepared, labels["n"])
     prepared.persist()  # read by every pass; a lost block is recomputed
@@ -142,11 +139,6 @@ def partitions_for(rows: int) -> int:
     return max(1, min(LEAST_TASKS, -(-rows // LEAST_ROWS)), -(-rows // ROWS_PER_TASK))
 
 
-def _widest_category(prepared: DataFrame) -> int:
-    attributes = prepared.schema[VECTOR].metadata.get("ml_attr", {}).get("attrs", {}).get("nominal", [])
-    return max((a.get("num_vals", len(a.get("vals", []))) for a in attributes), default=0)
-
-
 def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
     """The frame's own columns plus ``score``, the probability of target 1."""
     scored = model.transform(df)

@@ -9,11 +9,13 @@ from __future__ import annotations
 import math
 import re
 import struct
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 from dataclasses import dataclass, replace
 from decimal import Decimal
 from fractions import Fraction
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -83,24 +85,56 @@ def running_totals(
 ) -> DataFrame:
     """Inclusive running sums along ``order`` (inside each ``by`` group).
 
-    ``sums`` maps the new column to the summed one. ``order`` should be unique inside a group: group by
-    the ordering value first, which also takes ties out of the shuffle.
+    ``sums`` maps the new column to the summed one, a whole number or a double. ``order`` should be unique inside a group: group by
+    the ordering value first, which also takes ties out of the shuffle. One range shuffle; a task adds up its sorted rows as they come,
+    and what the slices before it hold is added after.
     """
-    sliced = _in_slices(df, [F.col(c) for c in by] + list(order), slices).withColumn(SLICE, F.spark_partition_id())
-    inside = Window.partitionBy(SLICE, *by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    local = materialize(
-        sliced.select("*", *[F.sum(column).over(inside).alias(f"_in_{name}") for name, column in sums.items()])
-    )
+    sliced = _in_slices(df, [F.col(c) for c in by] + list(order), slices).sortWithinPartitions(*by, *order)
+    marks = [F.xxhash64(F.lit(seed), *by).alias(f"_group{seed}") for seed in (1, 2)]
+    kinds = {name: "double" if isinstance(df.schema[c].dataType, T.FractionalType) else "long" for name, c in sums.items()}
+    inside = [F.col(c).cast(kinds[name]).alias(f"_in_{name}") for name, c in sums.items()]
+    placed = sliced.select("*", F.spark_partition_id().alias(SLICE), *marks, *inside)
+    local = materialize(placed.mapInArrow(_added_up([f"_in_{name}" for name in sums]), placed.schema).drop("_group1", "_group2"))
     pieces = local.groupBy(SLICE, *by).agg(*[F.sum(column).alias(f"_all_{name}") for name, column in sums.items()])
     ahead = Window.partitionBy(*by).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
     offsets = pieces.select(
-        SLICE, *by, *[F.coalesce(F.sum(f"_all_{name}").over(ahead), F.lit(0)).alias(f"_off_{name}") for name in sums]
+        F.col(SLICE).alias("_at"),
+        *[F.col(c).alias(f"_by{i}") for i, c in enumerate(by)],
+        *[F.coalesce(F.sum(f"_all_{name}").over(ahead), F.lit(0)).alias(f"_off_{name}") for name in sums],
     )
-    return local.join(offsets, [SLICE, *by]).select(
+    # null groups are groups, too
+    same = [F.col(SLICE) == F.col("_at"), *[F.col(c).eqNullSafe(F.col(f"_by{i}")) for i, c in enumerate(by)]]
+    return local.join(offsets, same).select(
         *df.columns, *[(F.col(f"_in_{name}") + F.col(f"_off_{name}")).alias(name) for name in sums]
     )
 
 
+def _added_up(columns: Sequence[str]):
+    """Running sums of ``columns`` over a partition's rows as they come, from nothing where the group changes; nulls add nothing."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, carried = None, {}
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            one, two = (batch.column(c).to_numpy() for c in ("_group1", "_group2"))
+            new = np.ones(len(one), bool)
+            new[1:] = (one[1:] != one[:-1]) | (two[1:] != two[:-1])
+            new[0] = (one[0], two[0]) != last
+            start = np.maximum.accumulate(np.where(new, np.arange(len(one)), -1))  # -1: the group goes on from the batch before
+            arrays = list(batch.columns)
+            for c in columns:
+                at = batch.schema.get_field_index(c)
+                sums = np.cumsum(batch.column(at).fill_null(0).to_numpy(zero_copy_only=False))
+                before = np.concatenate([[0], sums])[np.maximum(start, 0)].astype(sums.dtype)
+                sums = sums - before + np.where(start < 0, carried.get(c, 0), 0).astype(sums.dtype)
+                arrays[at], carried[c] = pa.array(sums, batch.column(at).type), sums[-1]
+            last = one[-1], two[-1]
+            yield pa.RecordBatch.from_arrays(arrays, schema=batch.schema)
+
+    return add
+
+
 # --- selection of places ------------------------------------------------------------------------
 
 BITS = 10  # of a key that one scan settles
@@ -110,16 +144,25 @@ _MANTISSA = 1 << 52
 
 
 def ordered_bits(value: Column) -> Column:
-    """A double as a whole number of the same order: its sign, exponent and fraction bits. NaN is the largest, both zeros are one.
+    """A double as a whole number of the same order: its sign, exponent and fraction bits. NaN is the largest, both zeros are one."""
+    power = _power(value)
+    return _bits(value, power, _part(value, power))
 
-    Powers of two are exact, so the quotient below is; the exponent that the logarithm suggests may be off by one and is put right.
-    """
+
+def _power(value: Column) -> Column:
+    """The exponent that the logarithm suggests; it may be off by one."""
+    return F.greatest(F.least(F.floor(F.log2(F.abs(value))).cast("double"), F.lit(1023.0)), F.lit(-1022.0))
+
+
+def _part(value: Column, power: Column) -> Column:
+    """What the power leaves, exactly, as powers of two are exact: at least 1 and below 2, or half or twice that."""
+    return F.abs(value) / F.pow(F.lit(2.0), power)
+
+
+def _bits(value: Column, power: Column, part: Column) -> Column:
     size = F.abs(value)
-    power = F.greatest(F.least(F.floor(F.log2(size)).cast("double"), F.lit(1023.0)), F.lit(-1022.0))
-    part = size / F.pow(F.lit(2.0), power)
-    shift = F.when(part >= 2, 1.0).when(part < 1, -1.0).otherwise(0.0)
-    fraction = part / F.pow(F.lit(2.0), shift) - 1
-    normal = (power + shift + 1023).cast("long") * _MANTISSA + (fraction * float(_MANTISSA)).cast("long")
+    fraction = F.when(part >= 2, part / 2).when(part < 1, 2 * part - 2).otherwise(part - 1)  # with the exponent put right
+    normal = (power + 1023).cast("long") * _MANTISSA + (fraction * float(_MANTISSA)).cast("long")
     small = (size / F.lit(5e-324)).cast("long")
     bits = F.when(size == math.inf, F.lit(2047 * _MANTISSA)).when(size >= 2.2250738585072014e-308, normal).otherwise(small)
     return F.when(F.isnan(value), F.lit(_LONGEST)).when(value < 0, -bits).otherwise(bits)
@@ -256,7 +299,7 @@ def order_statistics(df: DataFrame, wanted: Mapping[str, Iterable[tuple[float, s
         return {}
     kinds = {c: _kind(df.schema[c].dataType) for c in wanted}
     columns = {f"k{i}": c for i, c in enumerate(wanted)}
-    keyed = df.select(*[_key(F.col(f"`{c}`"), kinds[c]).alias(k) for k, c in columns.items()])
+    keyed = _keyed(df, columns, kinds)
     if is_computed(df):
         keyed = materialize(keyed)
     facts = keyed.agg(*[F.struct(F.count(k).alias("n"), F.min(k).alias("low"), F.max(k).alias("high")).alias(k) for k in columns]).first()
@@ -282,10 +325,19 @@ def _kind(data_type: T.DataType) -> int | None:
     return None
 
 
-def _key(value: Column, kind: int | None) -> Column:
+def _keyed(df: DataFrame, columns: Mapping[str, str], kinds: Mapping[str, int | None]) -> DataFrame:
+    """The keys of all columns, in three steps so that no expression repeats another."""
+    doubles = [k for k, c in columns.items() if kinds[c] is None]
+    values = df.select(*[_value_for_key(F.col(f"`{c}`"), kinds[c]).alias(k) for k, c in columns.items()])
+    powers = values.select("*", *[_power(F.col(k)).alias(f"{k}_power") for k in doubles])
+    parts = powers.select("*", *[_part(F.col(k), F.col(f"{k}_power")).alias(f"{k}_part") for k in doubles])
+    bits = {k: F.when(F.col(k).isNotNull(), _bits(F.col(k), F.col(f"{k}_power"), F.col(f"{k}_part"))) for k in doubles}
+    return parts.select(*[bits.get(k, F.col(k)).alias(k) for k in columns])
+
+
+def _value_for_key(value: Column, kind: int | None) -> Column:
     if kind is None:
-        number = F.nanvl(value.cast("double"), F.lit(None).cast("double"))
-        return F.when(number.isNotNull(), ordered_bits(number))
+        return F.nanvl(value.cast("double"), F.lit(None).cast("double"))
     return (value.cast(f"decimal(38,{kind})") * F.lit(10**kind)).cast("long") if kind else value.cast("long")
 
 

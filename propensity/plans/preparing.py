@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from propensity.operators import features
 from propensity.operators.clean import coerce
 from propensity.operators.split import Split, chronological_split
+from propensity.operators.vocabulary import TargetEncoder
 from propensity.plans import sql
 from propensity.plans.bindings import EVENT_TEXT, ORDER_LEADS, event_text, order_leads, table
 from propensity.plans.measuring import rounded
@@ -119,6 +120,27 @@ def ordinal_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _codes(PipelineModel(stages).transform(split.frame), "lead_id", {c: F.col(k) for c, k in zip(columns, names, strict=True)})
 
 
+_MEANS = ("priority", "segment", "nation")
+_CELLS_OF = " UNION ALL ".join(f"SELECT lead_id, split, '{c}' AS \"column\", coalesce({c}, 'missing') AS value, CAST(converted AS BIGINT) AS y FROM parts" for c in _MEANS)
+
+
+@query(f"""{_PARTS}, prior AS (SELECT avg(converted) AS p FROM train), cells AS ({_CELLS_OF}),
+before AS (SELECT *, count(*) OVER w AS n, coalesce(sum(y) OVER w, 0) AS pos FROM cells WHERE split = 'train'
+           WINDOW w AS (PARTITION BY "column", value ORDER BY sha256('42:' || lead_id), lead_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+whole AS (SELECT "column", value, count(*) AS n, sum(y) AS pos FROM cells WHERE split = 'train' GROUP BY ALL)
+SELECT lead_id, "column", round((pos + p) / (n + 1), 9) AS code FROM before CROSS JOIN prior
+UNION ALL SELECT lead_id, "column", round(CASE WHEN n IS NULL THEN p ELSE (pos + p) / (n + 1) END, 9)
+FROM cells LEFT JOIN whole USING ("column", value) CROSS JOIN prior WHERE split <> 'train'""")
+def target_mean_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target means of the categories: of the rows before each in the training window, of the whole window for later rows."""
+    split = _split(spark, sf_dir)
+    train = split.part("train")
+    stage = TargetEncoder.fitted(train, _MEANS, dict.fromkeys(_MEANS, features.FILLED_CATEGORY), "converted")
+    rows = stage.ordered(train, "lead_id", "converted").unionByName(stage.transform(split.frame.where("split <> 'train'").select(*train.columns)))
+    cells = [F.struct(F.lit(c).alias("column"), F.round(f"t_{c}", 9).alias("code")) for c in _MEANS]
+    return rows.select("lead_id", F.inline(F.array(*cells)))
+
+
 def _basis_sql(j: int) -> str:
     t, s = f"(u + {3 - j})", f"(4 - (u + {3 - j}))"
     return f"""round(CASE WHEN {t} < 0 OR {t} >= 4 THEN 0 WHEN {t} < 1 THEN pow({t}, 3) / 6

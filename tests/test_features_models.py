@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
@@ -8,7 +10,7 @@ from pyspark.sql import functions as F
 from propensity.leads import LEADS
 from propensity.operators import features, models
 from propensity.operators.clean import prepare
-from propensity.operators.vocabulary import TableEncoder, vocabulary_table
+from propensity.operators.vocabulary import TableEncoder, TargetEncoder, vocabulary_table
 from propensity.sources.reports import ModelBundle
 from propensity.spec import TableSpec
 
@@ -229,3 +231,23 @@ def test_models_do_not_depend_on_partitions(spark):
 
 def test_partitions_of_a_sensible_size():
     assert [models.partitions_for(n) for n in (0, 1, 20_000, 20_001, 10**6, 10**8, 10**11)] == [1, 1, 1, 2, 8, 100, 100_000]
+
+
+def test_ordered_target_means_do_not_see_their_own_row(spark, monkeypatch, tmp_path):
+    rng = np.random.default_rng(5)
+    rows = [(i, None if x < 0.1 else "hot" if x < 0.6 else f"v{int(x * 40)}", int(y < 0.3)) for i, (x, y) in enumerate(rng.random((400, 2)))]
+    frame = spark.createDataFrame(rows, "id long, g string, y int").repartition(5)
+    stage = TargetEncoder.fitted(frame, ["g"], {"g": "missing"}, "y", seed=9)
+    prior = float(np.mean([r[2] for r in rows]))
+    seen, wanted = {}, {}
+    for i, g, y in sorted(rows, key=lambda r: hashlib.sha256(f"9:{r[0]}".encode()).hexdigest()):
+        n, pos = seen.get(g, (0, 0))
+        wanted[i] = (pos + prior) / (n + 1)
+        seen[g] = (n + 1, pos + y)
+    got = {r.id: r.t_g for r in stage.ordered(frame, "id", "y").collect()}
+    assert got == pytest.approx(wanted, abs=1e-12)
+    PipelineModel([stage]).save(f"{tmp_path}/m")
+    later = spark.createDataFrame([(1, "hot"), (2, None), (3, "new")], "id long, g string")
+    for s in (stage, PipelineModel.load(f"{tmp_path}/m").stages[0]):
+        codes = {r.id: r.t_g for r in s.transform(later).collect()}
+        assert codes == pytest.approx({i: (seen[g][1] + prior) / (seen[g][0] + 1) if g in seen else prior for i, g in ((1, "hot"), (2, None), (3, "new"))})
