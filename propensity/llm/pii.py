@@ -5,7 +5,7 @@ numbers, and names behind a title; the README names what is not detected. Every
 (coreference), and no two entities of a kind share one (distinctness):
 
 * Numbers keep their signs: every digit becomes another digit, brackets, blanks and what stands before the last ten digits of a phone number stay, a card keeps its first digit and
-  gets a valid check digit, IPv4 numbers stay in range. Addresses stay under reserved example domains.
+  gets a valid check digit, an IBAN valid ones, a reserved IPv4 address stays in its range while that has room. Addresses stay under reserved example domains.
 * A name keeps its title, and so its gender, its script (Latin, Cyrillic, Greek, Han, Kana, Arabic), its number of parts and its case.
 
 A surrogate is a function of (key, kind, entity, attempt). The distinct entities are drawn at once; those that meet another entity's
@@ -15,25 +15,29 @@ Names get one more syllable with every ``GROWS`` attempts, so there are enough f
 Texts are cut at the matches and joined again; only the matches are moved to count them, and texts are shuffled only if they hold one.
 
 Defined cases: null texts stay null, empty ones empty; repeated rows are all replaced alike; a text without an entity comes out as it is;
+very long texts take time in proportion to their length, whatever they hold;
 equal entities in different writing (case of an address, signs of a number, zeros of an IPv6 address) are one entity and keep their writing.
 """
 
 from __future__ import annotations
 
 from functools import reduce
+from secrets import token_hex
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from propensity.session import materialize
 
-KEY = "change-me"
+#: The setting that holds the secret key of the registered query; unset, every run draws a key of its own.
+KEY_SETTING = "spark.propensity.surrogate.key"
 #: Kinds by their patterns, in the order in which they are tried at a place.
 PATTERNS = {
-    "email": r"[A-Za-z0-9_%+-]+(?:\.[A-Za-z0-9_%+-]+)*@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}",
+    # possessive parts, tried at the start of a dotted run only: linear, and without recursion in the matcher
+    "email": r"(?<![A-Za-z0-9_%+-])(?<![A-Za-z0-9_%+-]\.)[A-Za-z0-9_%+-]++(?:\.[A-Za-z0-9_%+-]++)*+@(?:[A-Za-z0-9-]{1,63}+\.){1,10}[A-Za-z]{2,63}",
     "iban": r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b",
     "ipv6": r"(?<![0-9A-Fa-f:])(?:[0-9a-fA-F]{1,4}:){7}[0-9a-fA-F]{1,4}(?![0-9A-Fa-f:])"
-    r"|(?<![0-9A-Za-z:.])(?=[0-9A-Fa-f:]*[0-9A-Fa-f]{3})(?=[A-Fa-f:]*[0-9])(?:[0-9a-fA-F]{1,4}(?::[0-9a-fA-F]{1,4}){0,6})?::(?:[0-9a-fA-F]{1,4}(?::[0-9a-fA-F]{1,4}){0,5})?(?![0-9A-Za-z:]|\.[0-9])",
+    r"|(?<![0-9A-Za-z:.])(?=[0-9A-Fa-f:]{0,45}[0-9A-Fa-f]{3})(?=[A-Fa-f:]{0,45}[0-9])(?:[0-9a-fA-F]{1,4}(?::[0-9a-fA-F]{1,4}){0,6})?::(?:[0-9a-fA-F]{1,4}(?::[0-9a-fA-F]{1,4}){0,5})?(?![0-9A-Za-z:]|\.[0-9])",
     "ipv4": r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?![0-9]|\.[0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "card": r"(?<![0-9A-Za-z])(?:[0-9]{4}([ -]?)[0-9]{4}\1[0-9]{4}\1[0-9]{1,7}|3[0-9]{3}(?: [0-9]{6} [0-9]{4,5}|-[0-9]{6}-[0-9]{4,5}))(?![0-9A-Za-z])",
@@ -99,21 +103,26 @@ def _full_ipv6(address: Column) -> Column:
 
 def canonical(kind: Column, match: Column) -> Column:
     """What two writings of one entity share: letters in lower case and digits, for a name its parts without the title."""
-    bare = F.when(kind == "name", F.regexp_replace(match, r"^\S+ ", "")).otherwise(match)
     address = F.when(kind == "ipv6", _full_ipv6(match)).otherwise(F.lower(match))
-    return F.when(kind.isin("email", "ipv4", "ipv6"), address).otherwise(F.lower(F.regexp_replace(bare, _PUNCTUATION, "")))
+    name = _plain_name(F.regexp_replace(match, r"^\S+ ", ""))
+    return F.when(kind.isin("email", "ipv4", "ipv6"), address).when(kind == "name", name).otherwise(F.lower(F.regexp_replace(match, _PUNCTUATION, "")))
+
+
+def _plain_name(name: Column) -> Column:
+    """Letters in lower case, the parts kept apart: Ann Lee is not An Nlee."""
+    return F.lower(F.regexp_replace(name, r"[^\p{L}\p{N} ]", ""))
 
 
 def _draws(key: str, kind: Column, entity: Column, attempt: Column) -> Column:
-    """64 keyed hexadecimal digits (a nested digest, so the key can't be extended)."""
+    """192 keyed hexadecimal digits (nested digests, so the key can't be extended)."""
     inner = F.sha2(F.concat_ws("\u0001", F.lit(key), kind, entity, attempt.cast("string")), 256)
-    return F.sha2(F.concat(F.lit(key), F.lit("\u0002"), inner), 256)
+    return F.concat(*[F.sha2(F.concat(F.lit(key), F.lit(f"\u0002{i}"), inner), 256) for i in range(3)])
 
 
 def _number(draws: Column, at: Column | int, modulus: int) -> Column:
-    """A number below ``modulus`` from four digits of the draws; places beyond the end wrap."""
+    """A number below ``modulus`` from four digits of the draws, other ones for each of 47 places."""
     at = at if isinstance(at, Column) else F.lit(at)
-    return F.conv(F.substr(draws, (at * 3 % 60 + 1).cast("int"), F.lit(4)), 16, 10).cast("int") % modulus
+    return F.conv(F.substr(draws, (at % 47 * 4 + 1).cast("int"), F.lit(4)), 16, 10).cast("int") % modulus
 
 
 def _digits(entity: Column, draws: Column, keep: Column | int) -> Column:
@@ -139,6 +148,30 @@ def _with_check_digit(number: Column) -> Column:
     return F.concat(F.substr(number, F.lit(1), F.length(number) - 1), ((F.lit(10) - total % 10) % 10).cast("string"))
 
 
+def _with_iban_check(account: Column) -> Column:
+    """The account with the check digits that make it 1 modulo 97, letters counting from a = 10."""
+    country, rest = F.substr(account, F.lit(1), F.lit(2)), F.substr(account, F.lit(5))
+    value = lambda c: F.conv(c, 36, 10).cast("int")
+    left = F.aggregate(F.split(F.concat(rest, country, F.lit("00")), ""), F.lit(0), lambda a, c: F.pmod(a * F.when(value(c) > 9, 100).otherwise(10) + value(c), F.lit(97)))
+    return F.concat(country, F.lpad((F.lit(98) - left).cast("string"), 2, "0"), rest)
+
+
+def _octets(entity: Column, draws: Column, attempt: Column) -> Column:
+    """Another IPv4 address: of the same reserved range while that has room (by attempts), else one that is in none."""
+    old = F.split(entity, r"\.")
+    first, second = F.get(old, 0).cast("int"), F.get(old, 1).cast("int")
+    new = [_number(draws, i, 256) for i in range(4)]
+    public = F.pmod(new[0], F.lit(222)) + 1
+    public = F.when(public.isin(10, 127, 169, 172, 192), public + 1).otherwise(public)
+    ten = F.array(F.lit(10), *new[1:])
+    kept = (
+        F.when(first.isin(10, 127), F.array(first, *new[1:]))
+        .when(((first == 192) & (second == 168)) | ((first == 169) & (second == 254)), F.when(attempt < 8, F.array(first, second, *new[2:])).otherwise(ten))
+        .when((first == 172) & second.between(16, 31), F.when(attempt < 8, F.array(first, F.pmod(new[1], F.lit(16)) + 16, *new[2:])).otherwise(ten))
+    )
+    return F.array_join(F.when(attempt < 16, F.coalesce(kept, F.array(public, *new[1:]))).otherwise(F.array(public, *new[1:])).cast("array<string>"), ".")
+
+
 def _syllables(script: str, draws: Column, at: Column, ending: Column | None, attempt: Column) -> Column:
     names = F.split(F.lit(SYLLABLES[script]), " ")
     count = 2 if script in ("han", "kana", "arabic") else 3
@@ -171,14 +204,14 @@ def _name(parts: Column, gender: Column, draws: Column, attempt: Column) -> Colu
 def surrogate(key: str, kind: Column, entity: Column, gender: Column, parts: Column, attempt: Column) -> Column:
     """The canonical surrogate of a canonical entity."""
     draws = _draws(key, kind, entity, attempt)
-    octets = F.concat_ws(".", *[(_number(draws, i, 223) + 1).cast("string") for i in range(4)])
+    octets = _octets(entity, draws, attempt)
     email = F.concat(F.lit("user"), F.substr(draws, F.lit(1), F.lit(12)), F.lit("@example."), F.element_at(F.array(F.lit("com"), F.lit("org"), F.lit("net")), _number(draws, 9, 3) + 1))
     return (
         F.when(kind == "email", email)
         .when(kind == "ipv4", octets)
         .when(kind == "ipv6", F.concat(F.lit("2001:db8:"), F.concat_ws(":", *[F.substr(draws, F.lit(1 + 4 * i), F.lit(4)) for i in range(6)])))
         .when(kind == "card", _with_check_digit(_digits(entity, draws, 1)))
-        .when(kind == "iban", _digits(entity, draws, 2))
+        .when(kind == "iban", _with_iban_check(_digits(entity, draws, 2)))
         .when(kind == "name", _name(parts, gender, draws, attempt))
         .otherwise(_digits(entity, draws, F.when(F.length(entity) > 10, F.length(entity) - 10).otherwise(0)))
     )
@@ -225,7 +258,7 @@ def distinct_surrogates(known: DataFrame, key: str) -> DataFrame:
     made = surrogate(key, F.col("kind"), F.col("entity"), F.col("gender"), F.col("parts"), F.col("attempt"))
     drawn = materialize(known.withColumn("attempt", F.lit(0)).withColumn("made", made))
     while True:
-        mark = F.when(F.col("kind") == "name", F.lower(F.regexp_replace("made", _PUNCTUATION, ""))).when(F.col("kind") == "ipv6", _full_ipv6(F.col("made"))).otherwise(F.lower("made"))
+        mark = F.when(F.col("kind") == "name", _plain_name(F.col("made"))).when(F.col("kind") == "ipv6", _full_ipv6(F.col("made"))).otherwise(F.lower("made"))
         marked = drawn.withColumn("mark", mark)
         # who drew first keeps it: the earliest attempt, then the smallest entity
         owner = marked.groupBy("kind", "mark").agg(F.min(F.struct("attempt", "entity")).alias("owner"), F.count("*").alias("drew"))
@@ -245,7 +278,7 @@ def distinct_surrogates(known: DataFrame, key: str) -> DataFrame:
         )
 
 
-def pseudonymised(docs: DataFrame, key: str = KEY, text: str = "text") -> DataFrame:
+def pseudonymised(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     """``docs`` (columns kept) with ``text`` replaced and ``n_entities``, ``kinds`` (the kinds of the replaced entities in order)."""
     own = docs.columns
     found = F.coalesce(F.regexp_extract_all(F.col(text), F.lit(pattern()), F.lit(0)), F.array().cast("array<string>"))
@@ -267,4 +300,5 @@ def pseudonymised(docs: DataFrame, key: str = KEY, text: str = "text") -> DataFr
 
 def op2_surrogates(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return pseudonymised(docs).select("doc_id", "text", "n_entities", "kinds")
+    key = spark.conf.get(KEY_SETTING, None) or token_hex(32)
+    return pseudonymised(docs, key).select("doc_id", "text", "n_entities", "kinds")
