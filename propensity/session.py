@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,6 +16,9 @@ REQUIRED = {
 }
 
 
+_paths: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+
+
 def prepare_session(spark: SparkSession) -> SparkSession:
     """Apply the SQL settings every operator relies on (UTC times, ANSI errors, adaptive plans)."""
     for key, value in REQUIRED.items():
@@ -42,7 +46,16 @@ def materialize(df: DataFrame) -> DataFrame:
     """
     path = f"{frames_path(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    frame = df.sparkSession.read.schema(df.schema).parquet(path)
+    _paths[frame] = path
+    return frame
+
+
+def release(*frames: DataFrame) -> None:
+    """Delete frames that :func:`materialize` returned, once all that is read from them has been written; other frames are left alone."""
+    for frame in frames:
+        if path := _paths.pop(frame, None):
+            _delete(frame.sparkSession, path)
 
 
 def frames_path(spark: SparkSession) -> str:
@@ -50,9 +63,13 @@ def frames_path(spark: SparkSession) -> str:
     return f"{shared_dir(spark)}/frames/{spark.sparkContext.applicationId}"
 
 
-def dropframes_path(spark: SparkSession) -> None:
+def drop_frames(spark: SparkSession) -> None:
     """Delete this application's intermediate frames. Frames returned by earlier calls cannot be read afterwards."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(frames_path(spark))
+    _delete(spark, frames_path(spark))
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 

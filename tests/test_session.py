@@ -6,7 +6,7 @@ from pathlib import Path
 
 import pytest
 
-from propensity.session import checkpointed, drop_frames, materialize, shared_dir
+from propensity.session import checkpointed, drop_frames, materialize, release, shared_dir
 
 WITHOUT_FOLDER = """
 from pyspark.sql import SparkSession
@@ -64,3 +64,11 @@ def test_only_own_frames_are_dropped(spark):
     foreign.mkdir(parents=True)
     drop_frames(spark)
     assert not path.exists() and foreign.exists()
+
+
+def test_released_frames_are_deleted_and_others_stay(spark):
+    one, two = (materialize(spark.range(n)) for n in (3, 4))
+    release(one, spark.range(5), two.where("id > 1"))
+    assert two.count() == 4
+    with pytest.raises(Exception):
+        one.count()
