@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from propensity.session import materialize
+from propensity.session import materialize, release
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -16,6 +16,7 @@ def components(links: DataFrame) -> DataFrame:
     """
     both = materialize(links.select("a", "b").union(links.select("b", "a")).where("a <> b").distinct())
     roots = materialize(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("root")))
+    kept = roots
     while True:
         of = roots.select(F.col("node").alias("b"), F.col("root").alias("near"))
         around = both.join(of, "b").groupBy(F.col("a").alias("node")).agg(F.min("near").alias("near"))
@@ -25,6 +26,9 @@ def components(links: DataFrame) -> DataFrame:
         after = materialize(
             pulled.join(jump, "root", "left").select("node", "old", F.coalesce(F.least("root", "further"), "root").alias("root"))
         )
+        release(pulled, kept)
+        kept = after
         if after.where("root <> old").isEmpty():
+            release(both)
             return after.select("node", "root")
         roots = after.select("node", "root")

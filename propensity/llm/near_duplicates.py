@@ -11,7 +11,7 @@ similar texts are one edit apart, so they share their first or last half: these
 sketches are a chance: the README has the measured share of pairs that meet, by length and edits.
 
 1. One numpy pass makes signatures. Texts with equal words are one entry from there on, so thousands of copies cost one.
-2. Texts that share a sketch form a bucket. Each text is first aligned with one centre of each of its buckets; large groups of near
+2. Texts that share a sketch form a bucket. Each text is first aligned with one centre, the one with which it shares most buckets; large groups of near
    copies fall into one component after a number of checks that grows with their size, not its square.
 3. In the buckets that still hold several components, all texts of different components are compared in bounded blocks inside tasks, by
    length and by counts of hashed words: an edit changes these by two at most, so no similar pair is lost, and nothing is emitted
@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from propensity.llm.bitmaps import bit_map, probed
 from propensity.llm.components import components
 from propensity.llm.words import Words, grams, mixed, slices, words_of
-from propensity.session import materialize
+from propensity.session import materialize, release
 
 SHINGLE = 3
 SHORT_SHINGLE = 2
@@ -47,7 +47,7 @@ BANDS = 2 * SKETCHES + 4  # keys of a text: sketches of either shingle size, hal
 PICKS = 2  # written out in order_sketches
 SIMILARITY = 0.8
 BAG = 1024
-BLOCK = 512
+BLOCK = 128
 CELLS = 1 << 21  # of one banded alignment of several texts
 _rng = np.random.default_rng(20240801)
 _FLIP = _rng.integers(0, 1 << 63, SKETCHES, dtype=np.uint64)
@@ -215,7 +215,9 @@ def aligned(pairs: DataFrame, signed: DataFrame) -> DataFrame:
         WHEN levenshtein(code_a, code_b, least(200, {most})) >= 0 THEN true
         WHEN {most} <= 200 THEN false
         ELSE levenshtein(code_a, code_b, {most}) >= 0 END"""
-    return materialize(_with_both(near, signed, "code", "string").where(F.expr(within)).select("a", "b"))
+    links = materialize(_with_both(near, signed, "code", "string").where(F.expr(within)).select("a", "b"))
+    release(pairs, near)
+    return links
 
 
 def _with_both(pairs: DataFrame, signed: DataFrame, column: str, kind: str) -> DataFrame:
@@ -342,15 +344,19 @@ def near_links(signed: DataFrame, firsts: DataFrame) -> DataFrame:
     posts = sketches.select("uid", F.posexplode("sketches").alias("band", "key")).where("key <> 0")
     buckets = posts.groupBy("key").agg(F.min("uid").alias("centre"), F.count("*").alias("size")).where("size > 1")
     members = materialize(posts.join(buckets, "key"))
-    rays = members.where("uid <> centre").select(F.col("centre").alias("a"), F.col("uid").alias("b")).distinct()
+    release(sketches)
+    # of a text's centres the one that shares most keys with it; what another one would have joined is found inside the buckets
+    shared = members.where("uid <> centre").groupBy("uid", "centre").agg(F.count("*").alias("n"))
+    rays = shared.groupBy(F.col("uid").alias("b")).agg((-F.max(F.struct("n", (-F.col("centre")).alias("less")))["less"]).alias("a")).select("a", "b")
     links = aligned(rays, signed)
-    return links.union(materialize(_within_buckets(members, components(links), signed)))
+    return links.union(_within_buckets(members, components(links), signed))
 
 
 def _within_buckets(members: DataFrame, roots: DataFrame, signed: DataFrame) -> DataFrame:
     """Links between different components that share a bucket."""
     known = roots.withColumnRenamed("node", "uid")
     placed = materialize(members.join(known, "uid", "left").withColumn("comp", F.coalesce("root", "uid")).drop("root"))
+    release(members)
     mixed = placed.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("key")
     rows = (
         placed.join(mixed, "key", "left_semi")
@@ -361,7 +367,9 @@ def _within_buckets(members: DataFrame, roots: DataFrame, signed: DataFrame) ->
         .select("key", F.least("own", "other").alias("s"), F.greatest("own", "other").alias("t"), "own", "uid", "n", "comp", "band", "sketch", "bag", "code")
     )
     dealt = rows.repartition("key", "s", "t").sortWithinPartitions("key", "s", "t", "uid")
-    return dealt.mapInArrow(_similar, "a long, b long").distinct()
+    links = materialize(dealt.mapInArrow(_similar, "a long, b long").distinct())
+    release(placed)
+    return links
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -374,6 +382,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     roots = components(near_links(signed, copies.select(F.col("of").alias("uid")))).select(F.col("node").alias("of"), "root")
     classes = copies.join(roots, "of", "left").select("digest", F.coalesce("root", "of").alias("class"))
     rows = materialize(signed.select("uid", "id", "digest").join(classes, "digest").select("uid", "id", "class"))
+    release(signed)
     named = rows.groupBy("class").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "uid")).alias("m"), F.count("*").alias("class_size"))
     return rows.join(named, "class").select(
         F.col("id").alias(doc_id), F.col("m.id").alias("class_id"), "class_size", (F.col("uid") == F.col("m.uid")).alias("first")
