@@ -47,7 +47,7 @@ BANDS = 2 * SKETCHES + 4  # keys of a text: sketches of either shingle size, hal
 PICKS = 2  # written out in order_sketches
 SIMILARITY = 0.8
 BAG = 1024
-BLOCK = 256
+BLOCK = 512
 CELLS = 1 << 21  # of one banded alignment of several texts
 _rng = np.random.default_rng(20240801)
 _FLIP = _rng.integers(0, 1 << 63, SKETCHES, dtype=np.uint64)
