@@ -11,13 +11,13 @@ similar texts are one edit apart, so they share their first or last half: these
 sketches are a chance: the README has the measured share of pairs that meet, by length and edits.
 
 1. One numpy pass makes signatures. Texts with equal words are one entry from there on, so thousands of copies cost one.
-2. Texts that share a sketch form a bucket. Each text is first aligned with one centre of each of its buckets; large groups of near
-   copies fall into one component after a number of checks that grows with their size, not its square.
+2. Texts that share a sketch form a bucket with its smallest text as centre. Each text is first aligned with one centre, the one that shares most
+   keys with it; large groups of near copies fall into one component after a number of checks that grows with their size, not its square.
 3. In the buckets that still hold several components, all texts of different components are compared in bounded blocks inside tasks, by
    length and by counts of hashed words: an edit changes these by two at most, so no similar pair is lost, and nothing is emitted
-   for the pairs that differ in more, such as texts that only share a passage. The others are aligned on the spot.
-4. Alignment is banded, on words coded as single characters (2^20 codes), first in a narrow band, then in the widest one that the
-   similarity allows: Spark's Levenshtein distance for centres, a numpy one for many pairs at once inside buckets.
+   for the pairs that differ in more, such as texts that only share a passage. The others are aligned on the spot, each pair in one of its buckets.
+4. Alignment is banded, on words coded as single characters (2^20 codes), in the widest band that the similarity allows, with one bit a diagonal;
+   it ends as soon as the costs are too high.
 
 Defined cases: null and empty texts have no words and are copies of one another; a text of fewer words than a shingle is one shingle; repeated
 rows are copies, also with one id; null ids are in classes, but a class is named by its smallest id (null if all are).
@@ -26,7 +26,8 @@ rows are copies, also with one id; null ids are in classes, but a class is named
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from bisect import bisect_left, bisect_right
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -48,7 +49,7 @@ PICKS = 2  # written out in order_sketches
 SIMILARITY = 0.8
 BAG = 1024
 BLOCK = 512
-CELLS = 1 << 21  # of one banded alignment of several texts
+_SPREAD, _PRIME = 0x9E3779B97F4A7C15, (1 << 61) - 1
 _rng = np.random.default_rng(20240801)
 _FLIP = _rng.integers(0, 1 << 63, SKETCHES, dtype=np.uint64)
 _TIMES = _rng.integers(0, 1 << 63, SKETCHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -208,14 +209,7 @@ def aligned(pairs: DataFrame, signed: DataFrame) -> DataFrame:
     # lengths and bags are compared before codes are moved
     pairs = materialize(pairs)
     near = materialize(_with_both(pairs, signed, "bag", "binary").mapInArrow(_alike, "a long, b long"))
-    most = f"CAST(floor(greatest(n_a, n_b) * {round((1 - SIMILARITY) * 1000)} / 1000) AS INT)"
-    within = f"""CASE WHEN abs(n_a - n_b) > {most} THEN false
-        WHEN levenshtein(code_a, code_b, least(24, {most})) >= 0 THEN true
-        WHEN {most} <= 24 THEN false
-        WHEN levenshtein(code_a, code_b, least(200, {most})) >= 0 THEN true
-        WHEN {most} <= 200 THEN false
-        ELSE levenshtein(code_a, code_b, {most}) >= 0 END"""
-    links = materialize(_with_both(near, signed, "code", "string").where(F.expr(within)).select("a", "b"))
+    links = materialize(_with_both(near, signed, "code", "string").mapInArrow(_within, "a long, b long"))
     release(pairs, near)
     return links
 
@@ -245,42 +239,87 @@ def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(keep))
 
 
-def edits_within(one: np.ndarray, others: list[np.ndarray], most: np.ndarray) -> np.ndarray:
-    """Whether each of ``others`` is at most ``most`` edits from ``one``: one banded alignment for all of them at once."""
-    apart = np.abs(np.array([len(o) for o in others]) - len(one))
-    widest = int(most.max(initial=0))
-    ok, done = np.zeros(len(others), bool), -1
-    for width in [widest] if widest <= 64 else [24, min(200, widest), widest]:
-        # what a narrower band has not decided
-        left = np.flatnonzero((apart <= np.minimum(most, width)) & ~ok & (most > done))
-        for at in range(0, len(left), max(1, CELLS // (2 * width + 1))):
-            part = left[at : at + max(1, CELLS // (2 * width + 1))]
-            ok[part] = _banded(one, [others[i] for i in part.tolist()], width) <= most[part]
-        done = width
-    return ok
-
-
-def _banded(one: np.ndarray, others: list[np.ndarray], width: int) -> np.ndarray:
-    """Edits between ``one`` and each of ``others``, exact up to ``width``, on the diagonals from -width to width."""
-    far, n = 1 << 20, len(one)
-    sizes = np.array([len(o) for o in others])
-    text = np.zeros((len(others), max(n, int(sizes.max())) + 2 * width + 2), np.uint32)  # no code is 0
-    for k, o in enumerate(others):
-        text[k, width + 1 : width + 1 + len(o)] = o
-    diagonal = np.arange(-width, width + 1, dtype=np.int32)
-    cost = np.broadcast_to(np.where(diagonal >= 0, diagonal, far), (len(others), len(diagonal))).astype(np.int32)
-    for i in range(n):
-        step = cost + (text[:, i + 1 : i + 2 + 2 * width] != one[i])
-        step[:, :-1] = np.minimum(step[:, :-1], cost[:, 1:] + 1)
-        cost = np.minimum.accumulate(step - diagonal, axis=1) + diagonal
-    return cost[np.arange(len(others)), sizes - n + width]
+def _within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pairs whose codes are few enough edits apart."""
+    for batch in batches:
+        t = pa.Table.from_batches([batch])
+        most = _allowed(t["n_a"].to_numpy().astype(np.int64), t["n_b"].to_numpy().astype(np.int64)) // 1000
+        (one, left), (other, right) = _codes(t["code_a"]), _codes(t["code_b"])
+        spans = zip(left[:-1].tolist(), left[1:].tolist(), right[:-1].tolist(), right[1:].tolist(), most.tolist(), strict=True)
+        keep = [edits(one[a:b], other[c:d], e) <= e for a, b, c, d, e in spans]
+        yield pa.record_batch([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+
+def _codes(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """(one number a word, ends of the texts) of a column of codes."""
+    text = pa.concat_arrays(column.chunks).cast(pa.large_binary()) if column.num_chunks else pa.array([], pa.large_binary())
+    if not len(text):
+        return np.zeros(0, np.uint32), np.zeros(1, np.int64)
+    ends = np.frombuffer(text.buffers()[1], np.int64)[text.offset : text.offset + len(text) + 1]
+    data = np.frombuffer(text.buffers()[2], np.uint8)[ends[0] : ends[-1]] if ends[-1] > ends[0] else np.zeros(0, np.uint8)
+    return data.copy().view(np.uint32), (ends - ends[0]) // 4  # four bytes a word
+
+
+def _bags_of_codes(code: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Each text's counts of words in ``BAG`` classes of their codes."""
+    out = np.empty((len(ends) - 1, BAG), np.int16)
+    kind = (((code >> np.uint32(16)) & np.uint32(15)) << np.uint32(6)) | ((code >> np.uint32(24)) & np.uint32(63))  # last ten bits of a character
+    for k, (a, b) in enumerate(zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)):
+        out[k] = np.minimum(np.bincount(kind[a:b], minlength=BAG), 255)
+    return out
+
+
+def edits(one: np.ndarray, other: np.ndarray, most: int) -> int:
+    """Edits between two texts, or ``most`` + 1 if there are more: a banded alignment with one bit a diagonal.
+
+    Only cells at most ``most`` from the main diagonal are looked at. Differences of neighbouring cells are bits of Python integers,
+    so a word of ``other`` takes a few operations on 2 * ``most`` + 1 bits. The count follows the diagonal that ends in the
+    last cell; along it costs never fall, so it stops as soon as they exceed ``most``.
+    """
+    if abs(len(one) - len(other)) > most:
+        return most + 1
+    for _ in range(2):  # equal starts, then equal ends
+        m = min(len(one), len(other))
+        differ = one[:m] != other[:m]
+        same = int(differ.argmax()) if differ.any() else m
+        one, other = one[same:][::-1], other[same:][::-1]
+    if not len(one) or not len(other):
+        return len(one) + len(other)
+    n, k = len(one), most
+    values, at, counts = np.unique(one, return_inverse=True, return_counts=True)
+    places = np.split(np.argsort(at, kind="stable"), np.cumsum(counts)[:-1])
+    where = {v: p.tolist() for v, p in zip(values.tolist(), places, strict=True)}
+    # words of more than a 512th of the text have all their places as bits, at most 64 bytes a word of the text in all
+    frequent = {v: sum(1 << i for i in p) for v, p in where.items() if len(p) > n // 512}
+    whole = (1 << (2 * k + 1)) - 1
+    rise, fall = whole & ~((1 << k) - 1), 0  # bit t: whether the cell in row j - k + t is one more, one less than the one above it
+    end = n - len(other) + k
+    cost = max(0, n - len(other))
+    for j, word in enumerate(other.tolist()):
+        low = j - k  # place in ``one`` of bit 0
+        if word in frequent:
+            places = frequent[word]
+            match = (places >> low if low >= 0 else places << -low) & whole
+        else:
+            match, found = 0, where.get(word, ())
+            for i in found[bisect_left(found, low) : bisect_right(found, j + k)]:
+                match |= 1 << (i - low)
+        free = ((((match & rise) + rise) ^ rise) | match | fall) & whole  # no cost along the diagonal
+        if not free >> end & 1:
+            cost += 1
+            if cost > most:
+                return most + 1
+        right = fall | (whole ^ (free | rise))
+        down = free >> 1
+        rise, fall = (free & rise) | (whole ^ (down | right)), down & right
+    return cost
 
 
 def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by (key, s, t): links between rows of one group that have different components.
 
-    A pair is looked at in the group of the first sketch that it shares, and in no other; components that a link has joined
-    count as one in the rest of the group.
+    A pair is looked at in one of the groups that it shares, drawn by its numbers so that pairs of texts with many keys in common are spread
+    over tasks; components that a link has joined count as one in the rest of the group.
     """
     kept: pa.Table | None = None
     for batch in batches:
@@ -300,15 +339,12 @@ def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _links(table: pa.Table, edges: np.ndarray) -> pa.RecordBatch:
-    uid, n, comp, band, own, s, t = (table[c].to_numpy() for c in ("uid", "n", "comp", "band", "own", "s", "t"))
+    uid, n, comp, key, own, s, t = (table[c].to_numpy() for c in ("uid", "n", "comp", "key", "own", "s", "t"))
     n, comp = n.astype(np.int64), comp.copy()
-    sketch = np.asarray(pa.concat_arrays(table["sketch"].chunks).flatten()).reshape(-1, BANDS)
-    bag = _bags_of(table["bag"])
+    shared = pa.concat_arrays(table["keys"].chunks)
+    code, ends = _codes(table["code"])
+    bag = _bags_of_codes(code, ends)
     coarse = bag.reshape(len(bag), -1, 4).sum(2, dtype=np.int16)  # a cheaper bound, looked at first
-    text = pa.concat_arrays(table["code"].chunks).cast(pa.large_binary())
-    ends = np.frombuffer(text.buffers()[1], np.int64)[text.offset : text.offset + len(text) + 1]
-    code = np.frombuffer(text.buffers()[2], np.uint8)[ends[0] : ends[-1]].copy().view(np.uint32)  # four bytes a word
-    ends = (ends - ends[0]) // 4
     left, right = [], []
     for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
         across = s[a] != t[a]
@@ -319,18 +355,20 @@ def _links(table: pa.Table, edges: np.ndarray) -> pa.RecordBatch:
             allowed = _allowed(n[others], n[i])
             fits = (comp[others] != comp[i]) & (np.abs(n[others] - n[i]) * 1000 <= allowed)
             others, allowed = others[fits], allowed[fits]
-            if len(others):
-                before = np.flatnonzero(sketch[i, : band[i]])
-                fits = ~(sketch[others[:, None], before] == sketch[i, before]).any(1)
-                others, allowed = others[fits], allowed[fits]
             for level in (coarse, bag):
                 if len(others):
                     fits = _apart(level[others], level[i]) <= allowed
                     others, allowed = others[fits], allowed[fits]
-            if len(others):
-                words = [code[ends[k] : ends[k + 1]] for k in others.tolist()]
-                others = others[edits_within(code[ends[i] : ends[i + 1]], words, allowed // 1000)]
-                for k in others[np.unique(comp[others], return_index=True)[1]].tolist():
+            if not len(others):
+                continue
+            mine = set(shared[i].as_py())
+            for k, most in zip(others.tolist(), (allowed // 1000).tolist(), strict=True):
+                if comp[k] == comp[i]:
+                    continue
+                both = sorted(mine.intersection(shared[k].as_py()))
+                if both[(int(uid[i]) ^ int(uid[k])) * _SPREAD % _PRIME % len(both)] != key[a]:
+                    continue
+                if edits(code[ends[i] : ends[i + 1]], code[ends[k] : ends[k + 1]], most) <= most:
                     left.append(uid[i])
                     right.append(uid[k])
                     comp[a:b][comp[a:b] == comp[k]] = comp[i]
@@ -338,16 +376,37 @@ def _links(table: pa.Table, edges: np.ndarray) -> pa.RecordBatch:
     return pa.record_batch([pa.array(pair.min(0)), pa.array(pair.max(0))], names=["a", "b"])
 
 
+def _posts(wanted) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """(uid, key) of the keys that may be in the broadcast bit map ``wanted``."""
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("sketches")
+            key = lists.flatten().to_numpy()
+            of = np.repeat(np.arange(batch.num_rows), lists.value_lengths().to_numpy())
+            at = probed(wanted.value, key.view(np.uint64))
+            at = at[key[at] != 0]
+            yield pa.record_batch([batch.column("uid").take(pa.array(of[at])), pa.array(key[at])], names=["uid", "key"])
+
+    return make
+
+
 def near_links(signed: DataFrame, firsts: DataFrame) -> DataFrame:
     """Links (a, b) between different texts, the rows ``firsts`` (uid) of ``signed``, whose components are the classes."""
     sketches = materialize(signed.select("uid", "sketches").join(firsts, "uid", "left_semi"))
-    posts = sketches.select("uid", F.posexplode("sketches").alias("band", "key")).where("key <> 0")
-    buckets = posts.groupBy("key").agg(F.min("uid").alias("centre"), F.count("*").alias("size")).where("size > 1")
-    members = materialize(posts.join(buckets, "key"))
-    release(sketches)
-    rays = members.where("uid <> centre").select(F.col("centre").alias("a"), F.col("uid").alias("b")).distinct()
+    posts = sketches.select("uid", F.explode("sketches").alias("key")).where("key <> 0")
+    buckets = materialize(posts.groupBy("key").agg(F.min("uid").alias("centre"), F.count("*").alias("size")).where("size > 1"))
+    # keys of one text alone, most of them, are not moved again
+    wanted = signed.sparkSession.sparkContext.broadcast(bit_map(buckets.select(F.col("key").alias("h"))))
+    members = materialize(sketches.mapInArrow(_posts(wanted), "uid long, key long").join(buckets, "key"))
+    release(sketches, buckets)
+    # each text is aligned with the centre that shares most keys with it
+    met = members.where("uid <> centre").groupBy("uid", "centre").agg(F.count("*").alias("keys"))
+    rays = met.groupBy(F.col("uid").alias("b")).agg(F.min(F.struct((-F.col("keys")).alias("k"), "centre")).centre.alias("a")).select("a", "b")
     links = aligned(rays, signed)
-    return links.union(_within_buckets(members, components(links), signed))
+    roots = components(links)
+    release(links)
+    return roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(_within_buckets(members, roots, signed))
 
 
 def _within_buckets(members: DataFrame, roots: DataFrame, signed: DataFrame) -> DataFrame:
@@ -356,17 +415,19 @@ def _within_buckets(members: DataFrame, roots: DataFrame, signed: DataFrame) ->
     placed = materialize(members.join(known, "uid", "left").withColumn("comp", F.coalesce("root", "uid")).drop("root"))
     release(members)
     mixed = placed.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("key")
+    live = materialize(placed.join(mixed, "key", "left_semi"))
+    release(placed)
+    texts = signed.select("uid", "n", "code").join(live.groupBy("uid").agg(F.collect_list("key").alias("keys")), "uid")
     rows = (
-        placed.join(mixed, "key", "left_semi")
-        .join(signed.select("uid", "n", "bag", "code", F.transform("sketches", lambda x: F.shiftright(x, 32).cast("int")).alias("sketch")), "uid")
+        live.join(texts, "uid")
         .withColumn("parts", F.greatest(F.lit(1), F.ceil(F.col("size") / BLOCK)).cast("int"))
         .withColumn("own", F.pmod(F.xxhash64("uid"), F.col("parts")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        .select("key", F.least("own", "other").alias("s"), F.greatest("own", "other").alias("t"), "own", "uid", "n", "comp", "band", "sketch", "bag", "code")
+        .select("key", F.least("own", "other").alias("s"), F.greatest("own", "other").alias("t"), "own", "uid", "n", "comp", "keys", "code")
     )
     dealt = rows.repartition("key", "s", "t").sortWithinPartitions("key", "s", "t", "uid")
     links = materialize(dealt.mapInArrow(_similar, "a long, b long").distinct())
-    release(placed)
+    release(live)
     return links
 
 
