@@ -20,8 +20,8 @@ def test_query_equals_its_sql(spark, name):
     assert oracle.difference(QUERIES[name](spark, SF), oracle.connect(SF), ORACLES[name]) is None
 
 
-def test_ten_operators_are_registered():
-    assert sorted(int(re.match(r"op(\d+)_", q)[1]) for q in QUERIES) == list(range(1, 11))
+def test_thirteen_operators_are_registered():
+    assert sorted(int(re.match(r"op(\d+)_", q)[1]) for q in QUERIES) == list(range(1, 14))
 
 
 def test_stages(spark):
