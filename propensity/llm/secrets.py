@@ -10,7 +10,8 @@ Whole texts are scanned row by row in Arrow batches: a row needs nothing but its
 with exclusive ends.
 
 Defined cases: a null text is an empty one and has no span; repeated rows are scanned one by one; other columns are kept, but for those
-called like an added one.
+called like an added one. Time grows with the length of a text and the number of its spans, not with their product; one text of any length
+is held by one task. Spans with one start come in the order of ``KINDS``; a run that overlaps a base span is part of that one.
 """
 
 from __future__ import annotations
@@ -90,9 +91,16 @@ def _encoding(path: str):
 def random_spans(text: str, base: list[tuple[int, int, int]], vocabulary: str, ratio: float = RATIO) -> list[tuple[int, int, int]]:
     """Runs with fewer characters a token than ``least_ratio`` that are of no known form and outside the base spans."""
     found = []
+    taken = iter(sorted((s, e) for s, _, e in base))
+    first, last = next(taken, (len(text), len(text)))
     for m in _run.finditer(text):
         run = m[0]
-        if known_form(run) or any(s < m.end() and m.start() < e for s, _, e in base):
+        covered = False
+        while first < m.end() and not covered:  # base spans by start: each is passed once
+            covered = m.start() < last
+            if not covered:
+                first, last = next(taken, (len(text), len(text)))
+        if covered or known_form(run):
             continue
         if len(run) < least_ratio(len(run), ratio) * len(_encoding(vocabulary).encode_ordinary(run)):
             found.append((m.start(), 3, m.end()))
@@ -131,20 +139,24 @@ def secret_spans(docs: DataFrame, text: str = "text", vocabulary: str | None = N
     return kept.mapInArrow(scan, f"{kinds}, spans array<struct<kind:string,start:long,end:long>>")
 
 
+def _cut(text: str, spans: list[dict], mark: str) -> str:
+    out, at = [], 0
+    for span in spans:
+        if span["start"] >= at:
+            out += [text[at : span["start"]], mark]
+        at = max(at, span["end"])
+    return "".join([*out, text[at:]])
+
+
 def redacted(text: Column, spans: Column, mark: str = "[REDACTED]") -> Column:
-    """The text with every span replaced by the mark; spans that overlap are replaced once."""
-    start = F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at"))
-    done = F.aggregate(
-        spans,
-        start,
-        lambda acc, x: F.struct(
-            F.when(x.start >= acc.at, F.concat(acc.out, F.substr(text, (acc.at + 1).cast("int"), (x.start - acc.at).cast("int")), F.lit(mark)))
-            .otherwise(acc.out)
-            .alias("out"),
-            F.greatest(acc["at"], x.end).alias("at"),
-        ),
-    )
-    return F.when(F.size(spans) == 0, text).otherwise(F.concat(done.out, F.substr(text, (done["at"] + 1).cast("int"))))
+    """The text with every span replaced by the mark; spans that overlap are replaced once. Only texts with spans leave the JVM."""
+
+    @F.arrow_udf("string")
+    def cut(texts: pa.Array, found: pa.Array) -> pa.Array:
+        return pa.array([_cut(t.as_py(), s.as_py(), mark) if t.is_valid else None for t, s in zip(texts, found, strict=True)], pa.string())
+
+    hit = F.size(spans) > 0
+    return F.when(hit, cut(F.when(hit, text), F.when(hit, spans))).otherwise(text)
 
 
 def counted(spans: Column, kind: str) -> Column:

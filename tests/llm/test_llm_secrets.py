@@ -6,11 +6,12 @@ import re
 import string
 import subprocess
 import sys
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
-from propensity.llm.secrets import ACCESS, ASSIGN, HEX, known_form, op9_secrets, random_spans, redacted, vocabulary_path, secret_spans
+from propensity.llm.secrets import ACCESS, ASSIGN, HEX, base_spans, known_form, op9_secrets, random_spans, redacted, vocabulary_path, secret_spans
 
 SF = "/root/testdata/sf0.01"
 RANDOM = "kJ8fQ2zLx7Vn4TbW9pRs3mYc"
@@ -95,3 +96,24 @@ def test_random_letters_and_short_keys_are_found(signs, size, share):
 def test_plain_names_are_no_secrets():
     names = "internationalization INTERNATIONALIZATION Krankenversicherung getElementById readTimeoutMillis user-profile-2023 2024-05-06T07 iPhoneCamera"
     assert random_spans(names, [], vocabulary_path()) == []
+
+
+def test_spans_of_all_kinds_that_overlap_runs(spark):
+    """The walk along sorted base spans against a comparison with each of them."""
+    draw = random.Random(7)
+    pieces = [RANDOM, "token=" + RANDOM, "deadbeef" * 3, "AKIA" + "Z9" * 9, "plain", "secret: " + "ab12" * 4, "api_key=" + "deadbeef" * 3]
+    for _ in range(50):
+        text = "".join(draw.choice(pieces) + draw.choice([" ", ".", "\n", "/"]) for _ in range(40))
+        found, spans = base_spans(text), random_spans(text, base_spans(text), vocabulary_path())
+        assert spans == [s for s in random_spans(text, [], vocabulary_path()) if not any(a < s[2] and s[0] < e for a, _, e in found)]
+
+
+def test_a_long_text_of_many_spans(spark):
+    text = "\n".join(str(10**23 + i) for i in range(100_000))  # 2.5 MB, a span a line
+    docs = spark.createDataFrame([(1, text), (2, "z" * 1_000_000)], "doc_id long, text string")
+    started = time.monotonic()
+    rows = secret_spans(docs).select("doc_id", F.size("spans").alias("n"), redacted(F.col("text"), F.col("spans"), "#").alias("new"))
+    rows = {r.doc_id: r for r in rows.collect()}
+    assert time.monotonic() - started < 60
+    assert rows[1].n == 100_000 and rows[1].new == "\n".join(["#"] * 100_000)
+    assert rows[2].n == 0 and rows[2].new == "z" * 1_000_000
