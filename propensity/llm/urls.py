@@ -13,7 +13,8 @@ each distinct n-gram once. Its score meets the parts with a salt on both sides,
 
 Defined cases: a null URL, or one without ``://``, has an empty host and path, so no rule fits it; its text is scored as it is (null as
 empty, which scores 0). A host or path that is null or empty fits only rules whose host and path prefix allow that. Repeated rows are judged one by
-one; without ruled URLs of both kinds all scores are 0 and the cut is 0, which accepts.
+one; without ruled URLs of both kinds all scores are 0 and the cut is 0, which accepts. Scores equal to the cut accept. Long URLs are
+scored whole; the time of a URL grows with the square of its length, as the JVM finds characters by counting them.
 """
 
 from __future__ import annotations
@@ -179,10 +180,12 @@ def calibrated_cut(held: DataFrame) -> float:
 
 
 def judged(pages: DataFrame, rules=RULES) -> DataFrame:
-    """``pages`` (columns kept) with host, path, rule, score and verdict."""
+    """``pages`` (columns kept, but for those called like an added one) with host, path, rule, score and verdict."""
+    own = [c for c in pages.columns if c.lower() not in ("host", "path", "rule", "score", "verdict")]
+    # a row travels in one struct, so no name of the steps between meets one of its columns
+    whole = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(own)])
     host, path = parts(F.col("url"))
-    kept = pages.drop("host", "path", "rule", "ruled", "score", "verdict", "head", "tail", "fold")
-    kept = segments(kept.withColumn("host", host).withColumn("path", path))
+    kept = segments(pages.select("url", whole.alias("whole")).withColumn("host", host).withColumn("path", path))
     rule, verdict = fitting_rule(F.col("host"), F.col("path"), rules)
     kept = kept.withColumn("rule", rule).withColumn("ruled", verdict).withColumn("fold", F.pmod(F.xxhash64("url"), F.lit(5)))
     ruled = kept.where(F.col("ruled").isNotNull()).withColumn("accepted", F.col("ruled") == "allow").select("head", "tail", "fold", "accepted")
@@ -190,10 +193,11 @@ def judged(pages: DataFrame, rules=RULES) -> DataFrame:
     both = model.where("context = ''").select("good_n", "bad_n").first()
     if both is None or not both.good_n or not both.bad_n:
         model = model.limit(0)
-    everything = materialize(scored(kept, model))
+    everything = materialize(scored(kept.drop("url"), model))
     cut = calibrated_cut(everything.where("fold = 0 AND ruled IS NOT NULL").select("score", (F.col("ruled") == "allow").alias("accepted")))
     by_text = F.when(F.col("score") >= cut, "allow").otherwise("block")
-    return everything.withColumn("verdict", F.coalesce("ruled", by_text)).drop("head", "tail", "fold", "ruled")
+    columns = [F.col(f"whole.c{i}").alias(c) for i, c in enumerate(own)]
+    return everything.select(*columns, "host", "path", "rule", "score", F.coalesce("ruled", by_text).alias("verdict"))
 
 
 def op5_urls(spark, sf_dir: str) -> DataFrame:

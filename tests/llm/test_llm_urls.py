@@ -102,3 +102,20 @@ def test_without_training_urls_all_are_accepted(spark):
 def test_plan_is_native(spark):
     plan = judged(spark.createDataFrame([(1, "http://a.com/x")], "page_id long, url string"))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_columns_of_any_name_come_back(spark):
+    names = ["head", "tail", "fold", "ruled", "head_llr", "tail_n", "part", "of", "salt", "whole", "Score"]
+    urls = ["http://a.com/x", "http://b.net/es/1", None, "http://a.com/x"]
+    df = spark.createDataFrame([(i, u, *[f"{c}{i}" for c in names]) for i, u in enumerate(urls)], ["page_id", "url", *names])
+    out = judged(df)
+    assert out.columns == ["page_id", "url", *names[:-1], "host", "path", "rule", "score", "verdict"]
+    rows = sorted(out.collect(), key=lambda r: r.page_id)
+    assert [[r[c] for c in names[:-1]] for r in rows] == [[f"{c}{i}" for c in names[:-1]] for i in range(len(urls))]
+    assert [r.url for r in rows] == urls
+
+
+def test_a_long_url_is_scored_whole(spark):
+    urls = ["http://a.com/" + "x" * 20_000, "http://b.net/es/" + "y" * 20_000, "http://c.com/" + "x" * 19_999 + "y"]
+    rows = judged(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")).collect()
+    assert sorted(r.path for r in rows) == sorted(split(u)[1] for u in urls)
