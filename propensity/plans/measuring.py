@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from propensity.operators import metrics
-from propensity.operators.bootstrap import bootstrap_interval, bootstrap_replicates
+from propensity.operators.bootstrap import bootstrap_interval, bootstrap_replicates, resampled
 from propensity.operators.models import comparison
 from propensity.operators.order import order_statistics
 from propensity.operators.split import chronological_split
@@ -93,8 +93,8 @@ def score_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"{_TEST}, {sql.replicates('test', SAMPLES, SEED)} SELECT replicate, round(average_precision, 9) AS average_precision, round(roc_auc, 9) AS roc_auc FROM replicates")
 def bootstrap_replicate_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both metrics of all 200 resamples of the later window."""
-    found = bootstrap_replicates(scored_test(spark, sf_dir), SEED, SAMPLES)
+    """Both metrics of all 200 Poisson resamples of the later window."""
+    found = bootstrap_replicates(scored_test(spark, sf_dir), SEED, SAMPLES, resample="poisson")
     return rounded(found, "average_precision", "roc_auc")
 
 
@@ -107,8 +107,22 @@ _ENDS = " UNION ALL ".join(
 
 @query(f"{_TEST}, {sql.replicates('test', SAMPLES, SEED)} {_ENDS}")
 def bootstrap_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """95 % intervals of average precision and ROC-AUC."""
-    return rounded(bootstrap_interval(scored_test(spark, sf_dir), SEED, SAMPLES), "low", "high")
+    """95 % intervals of average precision and ROC-AUC, by Poisson resamples."""
+    return rounded(bootstrap_interval(scored_test(spark, sf_dir), SEED, SAMPLES, resample="poisson"), "low", "high")
+
+
+@query(f"""{_TEST} SELECT CAST(r.k AS INTEGER) AS replicate, n.drawn
+FROM (SELECT unnest(range(1, {SAMPLES} + 1)) AS k) AS r, (SELECT count(*) AS drawn FROM test) AS n""")
+def bootstrap_exact_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that each exact resample of the later window draws: as many as there are."""
+    draws = resampled(scored_test(spark, sf_dir), SEED, SAMPLES).select(F.posexplode("draws").alias("at", "times"))
+    return draws.groupBy((F.col("at") + 1).alias("replicate")).agg(F.sum("times").alias("drawn"))
+
+
+@query()
+def bootstrap_exact_replicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both metrics of all 200 exact resamples of the later window."""
+    return rounded(bootstrap_replicates(scored_test(spark, sf_dir), SEED, SAMPLES), "average_precision", "roc_auc")
 
 
 # Four rule-based scorers stand in for fitted models, so that every engine gets the same bits.
