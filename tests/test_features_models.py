@@ -251,3 +251,30 @@ def test_ordered_target_means_do_not_see_their_own_row(spark, monkeypatch, tmp_p
     for s in (stage, PipelineModel.load(f"{tmp_path}/m").stages[0]):
         codes = {r.id: r.t_g for r in s.transform(later).collect()}
         assert codes == pytest.approx({i: (seen[g][1] + prior) / (seen[g][0] + 1) if g in seen else prior for i, g in ((1, "hot"), (2, None), (3, "new"))})
+
+
+@pytest.mark.parametrize("kind", ["linear", "spline", "tree", "native"])
+def test_training_rows_are_placed_before_they_widen(spark, kind):
+    frame = frame_of(spark, 300)
+    preparation = features.fit_preparation(frame, SPEC, kind)
+    moved = []
+    place = lambda rows: (moved.append(rows), models.placed_by_id(rows.withColumn(models.PLACE, F.col("id").cast("string")), 3))[1]
+    rows = features.training_rows(preparation, frame, "id", "y", place).select("id", features.VECTOR)
+    assert len(moved) == 1 and features.VECTOR not in moved[0].columns
+    assert not [c for c in moved[0].columns if c[:2] in ("n_", "m_", "u_", "q0", "b0", "z_", "o_")]
+    plain = features.training_rows(preparation, frame, "id", "y").select("id", features.VECTOR)
+    assert {r.id: r.features for r in rows.collect()} == {r.id: r.features for r in plain.collect()}
+
+
+def test_linear_models_read_bounded_partitions(spark, monkeypatch):
+    monkeypatch.setattr(models, "VECTORS_PER_TASK", 60)
+    parts = []
+    placed = models.placed_by_id
+    monkeypatch.setattr(models, "placed_by_id", lambda rows, n: (parts.append(n), placed(rows, n))[1])
+    frame = frame_of(spark, 300)
+    few = models.predict(models.fit(frame, SPEC, models.candidate("spline_logistic_regression")), frame)
+    models.fit(frame, SPEC, quick("gradient_boosting"))
+    assert parts == [5, 1]
+    monkeypatch.setattr(models, "VECTORS_PER_TASK", 100_000)
+    one = models.predict(models.fit(frame, SPEC, models.candidate("spline_logistic_regression")), frame)
+    assert {r.id: r.score for r in few.collect()} == pytest.approx({r.id: r.score for r in one.collect()}, abs=1e-6)
