@@ -37,14 +37,17 @@ EPOCHS = 2
 GENERATIONS = 4
 POPULATION = 4
 WASTE = 8  # free tokens up to which a sequence is kept as it is
-SLICE = 4 << 20  # bytes of text whose distinct words are looked up together
+SLICE = 2 << 20  # bytes of text whose distinct words are looked up together
 MEMO = 250_000  # words of one generation of the memory for their ids
+ASKED = 4096  # words given to the tokenizer at once: it returns much more than their ids
 
 _recent: dict[bytes, bytes] = {}
 _older: dict[bytes, bytes] = {}
 _tokenizers: dict[str, object] = {}
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 0x20
+_LETTER = np.isin(np.arange(256), range(0x61, 0x7B))
+_SIGN = np.isin(np.arange(256), [*range(0x21, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)])
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -77,21 +80,25 @@ def _word_ids(words: list[bytes], path: str) -> list[bytes]:
                 unknown.append(w)
             else:
                 _recent[w] = known
-    encoded = tokenizer.encode_batch_fast([w.decode() for w in unknown], add_special_tokens=False)
-    _recent.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(unknown, encoded, strict=True))
+    for at in range(0, len(unknown), ASKED):
+        asked = unknown[at : at + ASKED]
+        encoded = tokenizer.encode_batch_fast([w.decode() for w in asked], add_special_tokens=False)
+        _recent.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(asked, encoded, strict=True))
     return [_recent[w] for w in words]
 
 
 def token_ids(data: np.ndarray, offsets: np.ndarray, path: str) -> tuple[np.ndarray, np.ndarray]:
     """(ids of all texts in a row, where each text's begin).
 
-    The tokenizer puts ASCII letters in lower case and never joins across a blank or a line break, so a text's ids are
-    those of the words between them. Each distinct word of a slice is looked up once. Where a special token may stand, case is kept, as
-    these are only recognised as written.
+    The tokenizer puts ASCII letters in lower case and never joins across a blank or a line break, nor from an ASCII letter to an ASCII
+    sign behind it, so a text's ids are those of the words between them. Each distinct word of a slice is looked up once, and a word before a
+    comma is the same as without one. Where a special token may stand, case is kept and no sign is cut off, as these are only recognised as written.
     """
+    cuts = np.zeros(0, np.int64)
     if b"<|" not in data.tobytes():
         data = _LOWER[data]
-    starts, ends = runs((data != 0x20) & (data != 0x0A), offsets)
+        cuts = np.flatnonzero(_LETTER[data[:-1]] & _SIGN[data[1:]]) + 1
+    starts, ends = runs((data != 0x20) & (data != 0x0A), np.concatenate([offsets, cuts]))
     _, first, which = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
     text = data.tobytes()
     words = [text[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]

@@ -94,3 +94,20 @@ def test_written_sequences_are_the_ids(spark, tokenizer, tmp_path):
     out = spark.read.parquet(str(tmp_path / "s")).collect()
     assert sum(r.n_tokens for r in out) == sum(len(whole(tokenizer, t)) for t in ("alpha beta", "gamma", "d " * 3000))
     assert all(len(r.ids) == 4 * r.n_tokens <= 8192 for r in out)
+
+
+def test_signs_behind_letters_are_cut_off(tokenizer, monkeypatch):
+    import numpy as np
+
+    from propensity.llm import packing
+
+    asked = set()
+    lookup = packing._word_ids
+    monkeypatch.setattr(packing, "_word_ids", lambda words, path: (asked.update(words), lookup(words, path))[1])
+    texts = ["Alpha alpha, alpha. alpha; (alpha) alpha!!! alpha", "it's they'll a's'd o''s x--'s it'S", "a.Σ aΣ. Σa.Σ b<≮ c≠ d-́ e≯", "a_b^c`d{e|f}g~h@i[j", "a1.b2,c 3d,e", "é,à á,b"]
+    data = "".join(texts).encode()
+    offsets = np.cumsum([0, *[len(t.encode()) for t in texts]])
+    ids, begin = packing.token_ids(np.frombuffer(data, np.uint8), offsets, tokenizer_path())
+    for i, t in enumerate(texts):
+        assert ids[begin[i] : begin[i + 1]].tolist() == tokenizer.encode(t, add_special_tokens=False).ids
+    assert b"alpha" in asked and b"," in asked and b"!!!" in asked and b"alpha," not in asked
