@@ -27,6 +27,7 @@ from propensity.llm.words import FOLD, runs, slices, span_hashes
 
 DIMENSIONS = 1 << 16
 FIT_ROWS = 10_000
+SLICE = 1 << 20  # bytes of text scored together
 _BLANK = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 
 
@@ -120,7 +121,7 @@ def grade_documents(docs: DataFrame, model: str, text: str = "text") -> DataFram
         weights, cuts = parts["weights"], parts["cuts"]
         for batch in batches:
             tails = [np.zeros((0, len(cuts)))]
-            for a, b, data, offsets in slices(batch.column(text)):
+            for a, b, data, offsets in slices(batch.column(text), SLICE):
                 rows, columns, values = features(data, offsets)
                 f = np.bincount(rows, weights=weights[columns] * values, minlength=b - a)
                 tails.append(sigmoid(f[:, None] - cuts))

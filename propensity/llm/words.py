@@ -75,7 +75,7 @@ class Words:
 def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(row, row behind, bytes, offsets) of consecutive rows of some ``limit`` bytes; a longer text comes alone.
 
-    Null texts are empty texts.
+    Null texts are empty texts. Memory that the rows needed is given back behind the last one: workers stay for later stages and operators.
     """
     column = column.cast(pa.large_string()).fill_null("")
     n = len(column)
@@ -90,6 +90,8 @@ def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, in
         b = min(b, n)
         yield a, b, data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
         a = b
+    pa.default_memory_pool().release_unused()
+    pa.system_memory_pool().release_unused()
 
 
 def runs(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
