@@ -13,14 +13,15 @@ from propensity.llm.decontaminate import decontaminate
 from propensity.llm.near_duplicates import near_duplicates
 from propensity.llm.packing import packed_documents
 from propensity.llm.quality import selected
-from propensity.llm.secrets import redacted, secret_spans
-from propensity.session import materialize
+from propensity.llm.secrets import secret_spans
+from propensity.session import materialize, small_batches
 
 ROW = "row_number"
 
 
 def wrapped(docs: DataFrame) -> DataFrame:
     """(doc_id, text, whole): the other columns are in ``whole`` by their places, so no name of a stage's own meets one of theirs."""
+    small_batches(docs.sparkSession)
     others = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns) if c != "text"]
     return docs.select("doc_id", "text", F.struct(*others).alias("whole"))
 
@@ -58,18 +59,17 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are replaced by a mark; every document stays."""
-    found = secret_spans(wrapped(docs))
-    clean = F.struct(redacted(F.col("text"), F.col("spans")).alias("text"))
-    rows = found.withColumn("clean", clean)
-    values = {"text": F.col("clean.text")}
+    rows = secret_spans(wrapped(docs), marked="marked")
+    values = {"text": F.coalesce("marked", "text")}
     if "n_chars" in docs.columns:
         kept = F.col(f"whole.c{docs.columns.index('n_chars')}")
-        values["n_chars"] = F.when(F.size("spans") > 0, F.length("clean.text").cast("long")).otherwise(kept)
+        values["n_chars"] = F.when(F.col("marked").isNotNull(), F.length("marked").cast("long")).otherwise(kept)
     return unwrapped(rows, docs, **values)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces with their sequence and offset."""
+    small_batches(spark)
     return packed_documents(docs)
 
 

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from propensity.llm.bitmaps import bit_map, probed
 from propensity.llm.components import components
 from propensity.llm.words import Words, grams, mixed, slices, words_of
-from propensity.session import materialize, release
+from propensity.session import materialize, release, small_batches
 
 SHINGLE = 3
 SHORT_SHINGLE = 2
@@ -48,6 +48,7 @@ PICKS = 2  # written out in order_sketches
 SIMILARITY = 0.8
 BAG = 1024
 BLOCK = 512
+SLICE = 1 << 19  # bytes of text signed at once: some 20 times as much is held for them
 CELLS = 1 << 21  # of one banded alignment of several texts
 _rng = np.random.default_rng(20240801)
 _FLIP = _rng.integers(0, 1 << 63, SKETCHES, dtype=np.uint64)
@@ -179,7 +180,7 @@ def signatures(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b, data, offsets in slices(batch.column(2)):
+            for a, b, data, offsets in slices(batch.column(2), SLICE):
                 w = words_of(data, offsets)
                 who, sketch = keys(w)
                 has = np.zeros(b - a, np.int64)
@@ -375,6 +376,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 
     ``class_id`` is the smallest id of the class, ``first`` marks one row of each class, one with that id.
     """
+    small_batches(docs.sparkSession)
     signed = materialize(signatures(docs, doc_id, text))
     copies = signed.groupBy("digest").agg(F.min("uid").alias("of"))
     roots = components(near_links(signed, copies.select(F.col("of").alias("uid")))).select(F.col("node").alias("of"), "root")

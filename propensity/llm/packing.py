@@ -37,7 +37,7 @@ EPOCHS = 2
 GENERATIONS = 4
 POPULATION = 4
 WASTE = 8  # free tokens up to which a sequence is kept as it is
-SLICE = 2 << 20  # bytes of text whose distinct words are looked up together
+SLICE = 1 << 20  # bytes of text whose distinct words are looked up together
 MEMO = 250_000  # words of one generation of the memory for their ids
 ASKED = 4096  # words given to the tokenizer at once: it returns much more than their ids
 

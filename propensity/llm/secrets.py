@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 ASSIGN = r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]+"
+MARK = "[REDACTED]"
 KINDS = ("assign", "access", "hex", "random")
 
 RATIO = 2.2
@@ -113,17 +114,24 @@ def vocabulary_path(name: str = "byte_bpe_50k.tiktoken") -> str:
     return public_tokenizers.path(name)
 
 
-def secret_spans(docs: DataFrame, text: str = "text", vocabulary: str | None = None, ratio: float = RATIO) -> DataFrame:
-    """``docs`` (columns kept) with ``spans``, an array of (kind, start, end) by start, then kind."""
+def secret_spans(docs: DataFrame, text: str = "text", vocabulary: str | None = None, ratio: float = RATIO, marked: str | None = None, mark: str = MARK) -> DataFrame:
+    """``docs`` (columns kept) with ``spans``, an array of (kind, start, end) by start, then kind.
+
+    ``marked`` names one more column: the text with every span replaced by ``mark``, null where there is no span. The same scan makes it,
+    as a Python function behind it would take a second worker for each task.
+    """
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         path = vocabulary or vocabulary_path()
         for batch in batches:
-            kinds, starts, ends, upto = [], [], [], [0]
+            kinds, starts, ends, upto, clean = [], [], [], [0], []
             for t in batch.column(text):
                 t = t.as_py() or ""
                 base = base_spans(t)
-                for s, k, e in sorted(base + random_spans(t, base, path, ratio)):
+                found = sorted(base + random_spans(t, base, path, ratio))
+                if marked:
+                    clean.append(_cut(t, [(s, e) for s, _, e in found], mark) if found else None)
+                for s, k, e in found:
                     kinds.append(KINDS[k])
                     starts.append(s)
                     ends.append(e)
@@ -132,28 +140,29 @@ def secret_spans(docs: DataFrame, text: str = "text", vocabulary: str | None = N
                 [pa.array(kinds, pa.string()), pa.array(starts, pa.int64()), pa.array(ends, pa.int64())], names=["kind", "start", "end"]
             )
             lists = pa.ListArray.from_arrays(pa.array(upto, pa.int32()), spans)
-            yield pa.record_batch([*batch.columns, lists], names=[*batch.schema.names, "spans"])
+            more = {"spans": lists} | ({marked: pa.array(clean, pa.string())} if marked else {})
+            yield pa.record_batch([*batch.columns, *more.values()], names=[*batch.schema.names, *more])
 
-    kept = docs.drop("spans")
+    kept = docs.drop("spans", *([marked] if marked else []))
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
-    return kept.mapInArrow(scan, f"{kinds}, spans array<struct<kind:string,start:long,end:long>>")
+    return kept.mapInArrow(scan, f"{kinds}, spans array<struct<kind:string,start:long,end:long>>" + (f", `{marked}` string" if marked else ""))
 
 
-def _cut(text: str, spans: list[dict], mark: str) -> str:
+def _cut(text: str, spans: list[tuple[int, int]], mark: str) -> str:
     out, at = [], 0
-    for span in spans:
-        if span["start"] >= at:
-            out += [text[at : span["start"]], mark]
-        at = max(at, span["end"])
+    for start, end in spans:
+        if start >= at:
+            out += [text[at:start], mark]
+        at = max(at, end)
     return "".join([*out, text[at:]])
 
 
-def redacted(text: Column, spans: Column, mark: str = "[REDACTED]") -> Column:
+def redacted(text: Column, spans: Column, mark: str = MARK) -> Column:
     """The text with every span replaced by the mark; spans that overlap are replaced once. Only texts with spans leave the JVM."""
 
     @F.arrow_udf("string")
     def cut(texts: pa.Array, found: pa.Array) -> pa.Array:
-        return pa.array([_cut(t.as_py(), s.as_py(), mark) if t.is_valid else None for t, s in zip(texts, found, strict=True)], pa.string())
+        return pa.array([_cut(t.as_py(), [(x["start"], x["end"]) for x in s.as_py()], mark) if t.is_valid else None for t, s in zip(texts, found, strict=True)], pa.string())
 
     hit = F.size(spans) > 0
     return F.when(hit, cut(F.when(hit, text), F.when(hit, spans))).otherwise(text)

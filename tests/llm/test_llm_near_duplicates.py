@@ -211,3 +211,17 @@ def test_pairs_at_the_similarity_share_a_key(n):
     _, key = nd.keys(nd.words_of(np.frombuffer(b"".join(pairs), np.uint8), offsets))
     met = ((key[::2] == key[1::2]) & (key[::2] != 0)).any(1)
     assert met.mean() >= (1 if n <= nd.ONE_EDIT else 0.98)
+
+
+def test_batches_for_python_are_bounded_in_bytes(spark):
+    before = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    docs = spark.createDataFrame([(i, f"{i} " * 4000) for i in range(2)], "doc_id long, text string")
+    try:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "67108864")
+        nd.near_duplicates(docs)
+        assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == str(4 << 20)
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "100000b")
+        nd.near_duplicates(docs)
+        assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == "100000b"
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", before)

@@ -68,3 +68,11 @@ def test_extra_columns_keep_their_values(spark):
         out = stage(spark, more, SF)
         assert out.columns == more.columns, name
         assert all(r[n] == f"{n} {r.doc_id}" for r in out.collect() for n in names), name
+
+
+def test_the_secrets_stage_has_one_python_node(spark):
+    docs = spark.createDataFrame([(1, "password=abcdefghijkl1234", 25)], "doc_id long, text string, n_chars long")
+    out = pipeline.secrets(spark, docs, SF)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "ArrowEvalPython" not in plan
+    assert out.collect() == [(1, "[REDACTED]", 10)]

@@ -117,3 +117,15 @@ def test_a_long_text_of_many_spans(spark):
     assert time.monotonic() - started < 60
     assert rows[1].n == 100_000 and rows[1].new == "\n".join(["#"] * 100_000)
     assert rows[2].n == 0 and rows[2].new == "z" * 1_000_000
+
+
+def test_the_scan_marks_what_the_function_replaces(spark):
+    """One Python node in a plan is one worker a task; two of them held twice the memory in every later stage."""
+    key = "q7Xk2Lm9Zt4Rw8Yb3Nc6Vd1Ps5Hf0Gj"
+    texts = [None, "", "plain words", f"a {key} b", "password=abcdefghijkl1234 secret: 0123456789abcdef0123 end", "token=" + "0123456789abcdef" * 2 + " é"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = secret_spans(docs, marked="m", mark="#")
+    assert rows._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    got = {r.doc_id: r for r in rows.withColumn("new", redacted(F.col("text"), F.col("spans"), "#")).collect()}
+    assert [got[i].m for i in range(3)] == [None] * 3
+    assert all(got[i].m == got[i].new != texts[i] for i in (3, 4, 5))
