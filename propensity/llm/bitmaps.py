@@ -19,7 +19,7 @@ def bit_map(hashes: DataFrame) -> bytes:
         .agg(F.bitmap_construct_agg(F.col("bit") % _BUCKET).alias("bits"))
     )
     whole = bytearray((1 << MAP_BITS) // 8)
-    for row in bits.toLocalIterator():
+    for row in bits.collect():  # bounded by the map; an iterator would start a job for every partition
         at = row.bucket * (_BUCKET // 8)
         whole[at : at + _BUCKET // 8] = row.bits
     return bytes(whole)

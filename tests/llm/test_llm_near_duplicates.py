@@ -213,6 +213,12 @@ def test_pairs_at_the_similarity_share_a_key(n):
     assert met.mean() >= (1 if n <= nd.ONE_EDIT else 0.98)
 
 
+def test_bags_bound_texts_that_lose_words_at_one_end_and_gain_them_at_the_other():
+    """Words only in one text are edits of their own, so the larger of both sums counts, not their mean."""
+    one, other = (np.bincount(range(a, b), minlength=nd.BAG).astype(np.int16) for a, b in ((0, 100), (25, 110)))
+    assert nd._apart(one[None], other[None]).tolist() == nd._apart(other[None], one).tolist() == [25_000]
+
+
 def test_batches_for_python_are_bounded_in_bytes(spark):
     before = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
     docs = spark.createDataFrame([(i, f"{i} " * 4000) for i in range(2)], "doc_id long, text string")
@@ -225,3 +231,20 @@ def test_batches_for_python_are_bounded_in_bytes(spark):
         assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == "100000b"
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", before)
+
+
+def test_a_bit_map_of_many_partitions_is_one_job(spark):
+    from propensity.llm.bitmaps import bit_map, probed
+
+    seen = spark.sparkContext.statusTracker()
+    group = "bits-of-many-partitions"
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        spark.sparkContext.setJobGroup(group, group)
+        hashes = np.arange(2000, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        bits = bit_map(spark.createDataFrame([(int(h),) for h in hashes.view(np.int64)], "h long"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    assert len(probed(bits, hashes)) == 2000 and len(seen.getJobIdsForGroup(group)) <= 2
